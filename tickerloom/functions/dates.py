@@ -36,21 +36,12 @@ def months_before(day: Column | str, months: int) -> Column:
     return F.add_months(day, -months)
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter by the anonymous (Meeus/Jones/Butcher) computus."""
-
-    def div(x: Column, n: int) -> Column:
-        return F.floor(x / F.lit(n)).cast("int")
-
-    a, b, c = year % 19, div(year, 100), year % 100
-    d, e = div(b, 4), b % 4
-    g = div(b - div(b + 8, 25) + 1, 3)
-    h = (a * 19 + b - d - g + 15) % 30
-    i, k = div(c, 4), c % 4
-    ell = (e * 2 + i * 2 - h - k + 32) % 7
-    m = div(a + h * 11 + ell * 22, 451)
-    n = h + ell - m * 7 + 114
-    return F.make_date(year, div(n, 31), n % 31 + 1)
+def good_friday(year: Column) -> Column:
+    """Good Friday of the years 1900 to 2099, by Carter's rule for Easter Sunday."""
+    moon = (F.lit(204) - (year % 19) * 11) % 30 + 21
+    moon = moon - F.when(moon > 48, 1).otherwise(0)
+    weekday = (year + F.floor(year / F.lit(4)) + moon + 1) % 7
+    return F.date_add(F.make_date(year, F.lit(3), F.lit(1)), (moon - weekday + 4).cast("int"))
 
 
 def is_exchange_holiday(day: Column) -> Column:
@@ -74,7 +65,7 @@ def is_exchange_holiday(day: Column) -> Column:
             fixed(1, 1, saturday_moves=False),
             (year >= 1998) & (month == 1) & monday & dom.between(15, 21),
             (month == 2) & monday & dom.between(15, 21),
-            friday & month.isin(3, 4) & (day == F.date_sub(easter_sunday(year), 2)),
+            friday & month.isin(3, 4) & (day == good_friday(year)),
             (month == 5) & monday & (dom >= 25),
             (year >= 2022) & fixed(6, 19),
             fixed(7, 4),
@@ -89,10 +80,3 @@ def is_exchange_holiday(day: Column) -> Column:
 def is_session(day: Column) -> Column:
     """Whether the US equity exchanges trade on this day."""
     return (F.weekday(day) < 5) & ~is_exchange_holiday(day)
-
-
-def official_week_end(monday: Column | str) -> Column:
-    """Last trading session of the week that starts on ``monday``."""
-    monday = F.col(monday) if isinstance(monday, str) else monday
-    days = [F.date_add(monday, k) for k in (4, 3, 2, 1, 0)]
-    return F.coalesce(*[F.when(is_session(d), d) for d in days])

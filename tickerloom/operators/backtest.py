@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from .. import SECURITY
 from ..functions.aggregates import value_at_earliest, value_at_latest
-from ..functions.dates import official_week_end, week_start
+from ..functions.dates import week_start
 from ..functions.flags import strict_cluster_flag, tolerance_band
 from ..functions.prices import percent_return
 from .asof import asof_join
+from .calendar import with_official_week_end
 from .daily import TIEBREAK, add_daily_indicators, clean_daily
 from .dedup import keep_first
 from .rolling import add_next, add_trailing_means, surge_days
@@ -191,10 +192,7 @@ def weekly_features(daily: DataFrame, calendar: DataFrame | None = None) -> Data
             F.bit_or(_weekday_bit("snapshot_date")).alias("_traded"),
         )
     )
-    if calendar is None:
-        bars = bars.withColumn("official_week_end_date", official_week_end("week_start_date"))
-    else:
-        bars = bars.join(F.broadcast(calendar), "week_start_date")
+    bars = with_official_week_end(bars, calendar, "inner")
     official = _weekday_bit("official_week_end_date")
     bars = bars.filter(F.col("_traded").bitwiseAND(official) != 0)
     bars = bars.drop("_traded", "official_week_end_date")

@@ -1,15 +1,18 @@
 """Trading weeks.
 
-The calendar has one row per calendar week (about 5,200 per century), so broadcasting
-it is bounded by the date domain and not by the data volume.
+A calendar has one row per calendar week: the built-in one covers 1972 to 2099 in about
+6,700 rows whatever the data volume, so broadcasting it is bounded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import is_session, official_week_end, week_start
+from ..functions.dates import is_session, week_start
+
+# First and last day the holiday rules are stated for.
+CALENDAR_SPAN = ("1972-01-01", "2099-12-31")
 
 
 def sessions_between(bounds: DataFrame, first: str, last: str) -> DataFrame:
@@ -25,14 +28,22 @@ def week_ends(sessions: DataFrame, date: str = "session_date") -> DataFrame:
     )
 
 
-def calendar_for(df: DataFrame, date: str = "date") -> DataFrame:
-    """Official week ends of the weeks that occur in ``df``."""
-    weeks = df.select(week_start(date).alias("week_start_date")).distinct()
-    return with_official_week_end(weeks)
+def trading_weeks(spark: SparkSession) -> DataFrame:
+    """The built-in calendar: official last session of every week."""
+    span = spark.range(1).select(*[F.lit(d).cast("date").alias(f"d{i}") for i, d in enumerate(CALENDAR_SPAN)])
+    return week_ends(sessions_between(span, "d0", "d1"))
+
 
+def calendar_or_default(df: DataFrame, calendar: DataFrame | None) -> DataFrame:
+    """The given calendar, or the built-in one, marked for broadcast (one row per week)."""
+    return F.broadcast(trading_weeks(df.sparkSession) if calendar is None else calendar)
 
-def with_official_week_end(df: DataFrame) -> DataFrame:
-    return df.withColumn("official_week_end_date", official_week_end("week_start_date"))
+
+def with_official_week_end(
+    df: DataFrame, calendar: DataFrame | None = None, how: str = "left"
+) -> DataFrame:
+    """Add ``official_week_end_date`` by ``week_start_date``."""
+    return df.join(calendar_or_default(df, calendar), "week_start_date", how)
 
 
 def market_week_ends(df: DataFrame, date: str = "date") -> DataFrame:
@@ -44,16 +55,16 @@ def market_week_ends(df: DataFrame, date: str = "date") -> DataFrame:
 
 def completed_weeks(df: DataFrame, calendar: DataFrame | None = None, date: str = "date") -> DataFrame:
     """Weeks in which the market data reached the official last session."""
-    weeks = market_week_ends(df, date)
-    if calendar is None:
-        weeks = with_official_week_end(weeks)
-    else:
-        weeks = weeks.join(F.broadcast(calendar), "week_start_date")
+    weeks = with_official_week_end(market_week_ends(df, date), calendar, "inner")
     return weeks.filter("market_week_end_date = official_week_end_date").select(
         "week_start_date", F.col("official_week_end_date").alias("week_end_date")
     )
 
 
-def is_official_week_end(date: str):
-    """Whether a date is the last session of its week."""
-    return F.col(date) == official_week_end(week_start(date))
+def mark_official_week_ends(df: DataFrame, date: str, calendar: DataFrame | None = None) -> DataFrame:
+    """Add whether each date is the last session of its week."""
+    weeks = df.withColumn("week_start_date", week_start(date))
+    marked = with_official_week_end(weeks, calendar)
+    return marked.withColumn(
+        "is_official_week_end", F.col(date).eqNullSafe(F.col("official_week_end_date"))
+    )

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import SECURITY
-from ..functions.dates import official_week_end
 from ..functions.flags import any_of
+from .calendar import with_official_week_end
 from .backtest import HORIZONS, PARAMETER_KEY
 
 
@@ -24,7 +24,7 @@ class QualityError(ValueError):
 def check_table(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """Failing rows per check, counted in one pass."""
     cells = [
-        F.struct(F.lit(name).alias("check"), F.count_if(bad).alias("failures"))
+        F.struct(F.lit(name).alias("check_name"), F.count_if(bad).alias("failures"))
         for name, bad in checks.items()
     ]
     return df.agg(F.array(*cells).alias("cells")).select(F.inline("cells"))
@@ -40,7 +40,7 @@ def require(checks: DataFrame) -> None:
     """Raise when any check has failures (the check table has one row per check)."""
     failed = checks.filter("failures > 0").limit(20).collect()
     if failed:
-        raise QualityError(", ".join(f"{r['check']}={r['failures']}" for r in failed))
+        raise QualityError(", ".join(f"{r['check_name']}={r['failures']}" for r in failed))
 
 
 def require_columns(df: DataFrame, columns: Sequence[str], table: str) -> None:
@@ -181,12 +181,12 @@ def daily_future_checks(snapshot: DataFrame) -> DataFrame:
     )
 
 
-def weekly_future_checks(snapshot: DataFrame) -> DataFrame:
+def weekly_future_checks(snapshot: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     return check_table(
-        snapshot,
+        with_official_week_end(snapshot, calendar),
         {
             "bad_official_week_end_rows": ~F.col("week_end_date").eqNullSafe(
-                official_week_end("week_start_date")
+                F.col("official_week_end_date")
             ),
             "bad_weekly_future_date_rows": F.col("weekly_h_confirmed_using_date")
             <= F.col("week_end_date"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import SECURITY
@@ -129,23 +129,32 @@ def screen_latest(
     )
 
 
-def ranked_screen(screen: DataFrame) -> DataFrame:
-    """Report order of a screen."""
-    return screen.orderBy(
-        F.desc("flag_all"),
-        F.desc("flag_ab"),
-        F.desc("flag_cd"),
-        F.desc("flag_f"),
-        F.desc("flag_h"),
+def _report_order() -> list[Column]:
+    flags = ("flag_all", "flag_ab", "flag_cd", "flag_f", "flag_h")
+    return [
+        *[F.desc(f) for f in flags],
         F.desc_nulls_last("volume_ratio"),
-        "ticker",
-        *SECURITY,
-    )
+        F.asc_nulls_last("ticker"),
+        *[F.asc(c) for c in SECURITY],
+    ]
+
+
+def ranked_screen(screen: DataFrame, n: int | None = None) -> DataFrame:
+    """A screen in report order; with ``n`` only its first rows, numbered.
+
+    A plain sort is range-partitioned.  Only the ``n`` rows of a top-n meet in one window
+    partition to be numbered.
+    """
+    ordered = screen.orderBy(*_report_order())
+    if n is None:
+        return ordered
+    position = F.row_number().over(Window.orderBy(*_report_order()))
+    return ordered.limit(n).withColumn("report_rank", position)
 
 
 def top_candidates(screen: DataFrame, n: int = 30) -> DataFrame:
     """The first ``n`` rows that pass everything."""
-    return ranked_screen(screen.filter("flag_all")).limit(n)
+    return ranked_screen(screen.filter("flag_all"), n)
 
 
 def parameter_tag(n_pct: float, annual_years: int, quarter_count: int, q: float, m: int) -> str:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import SECURITY
-from ..functions.dates import months_before, official_week_end
+from ..functions.dates import months_before
+from .calendar import with_official_week_end
 from .universe import annotate_universe
 
 DAILY_FUTURE = {
@@ -86,18 +87,14 @@ def daily_snapshot(daily: DataFrame, lookback_months: int = 3) -> DataFrame:
 def weekly_snapshot(weekly: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
     """Weekly serving rows of official weeks with their future inputs.
 
-    Weeks are checked against the calendar once per week, not once per row.
+    Weeks that the calendar does not know, or that end on another day, are dropped.
     """
     for column in WEEKLY_OPTIONAL:
         if column not in weekly.columns:
             weekly = weekly.withColumn(column, F.lit(None).cast("double"))
-    if calendar is None:
-        kept = weekly.filter(F.col("week_end_date") == official_week_end("week_start_date"))
-    else:
-        official = calendar.select(
-            "week_start_date", F.col("official_week_end_date").alias("week_end_date")
-        )
-        kept = weekly.join(F.broadcast(official), ["week_start_date", "week_end_date"], "left_semi")
+    kept = with_official_week_end(weekly, calendar, "inner").filter(
+        "week_end_date = official_week_end_date"
+    )
     rows = kept.select(
         "week_start_date",
         "week_end_date",
