@@ -5,19 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Exclusion reasons and their patterns, in the order they are reported.
+from .flags import any_of
+
+# Exclusion reasons and their patterns, in the order they are reported, each
+# with the lower-case literals of which one occurs in every match.
 UNIVERSE_RULES = (
-    ("redeemable marker", r"(^|\s)-REDH\b|\bREDH\b"),
-    ("redeemable security", r"\bREDEEM(?:ABLE)?\b"),
-    ("warrant security", r"\bWARRANTS?\b"),
-    ("rights security", r"\bRIGHTS?\b"),
-    ("unit security", r"\bUNITS?\b"),
+    ("redeemable marker", r"(^|\s)-REDH\b|\bREDH\b", ("redh",)),
+    ("redeemable security", r"\bREDEEM(?:ABLE)?\b", ("redeem",)),
+    ("warrant security", r"\bWARRANTS?\b", ("warrant",)),
+    ("rights security", r"\bRIGHTS?\b", ("right",)),
+    ("unit security", r"\bUNITS?\b", ("unit",)),
     (
         "SPAC/acquisition company",
         r"\bACQUISITION\b|\bACQ(?:\.|\s|$)|\bACQUTN\b|\bBLANK CHECK\b|\bSPAC\b",
+        ("acq", "blank check", "spac"),
     ),
 )
 
+# Letters that match an ASCII letter regardless of case but do not lower to it.
+ODD_CASE = ("\u0130", "\u0131", "\u017f")
+
 REASON_SEPARATOR = "; "
 
 
@@ -27,10 +34,16 @@ def search_text(ticker: str, name: str, iid: str) -> Column:
     return F.concat(parts[0], F.lit(" "), parts[1], F.lit(" "), parts[2])
 
 
-def exclusion_reason(text: Column) -> Column:
+def exclusion_reason(text: Column, folded: Column) -> Column:
     """Matching reasons in rule order joined by ``"; "``; empty when none match.
 
-    ``(?iU)``: case-insensitive, and word boundaries follow Unicode letters.
+    ``folded`` is the lower-cased text.  A rule's expression only runs on texts that hold one
+    of its literals, which a byte search finds much faster.  ``(?iU)``: case-insensitive, and
+    word boundaries follow Unicode letters.
     """
-    hits = [F.when(text.rlike("(?iU)" + pattern), reason) for reason, pattern in UNIVERSE_RULES]
+    odd = any_of([F.contains(text, F.lit(c)) for c in ODD_CASE])
+    hits = []
+    for reason, pattern, literals in UNIVERSE_RULES:
+        possible = any_of([F.contains(folded, F.lit(x)) for x in literals])
+        hits.append(F.when((possible | odd) & text.rlike("(?iU)" + pattern), reason))
     return F.concat_ws(REASON_SEPARATOR, *hits)

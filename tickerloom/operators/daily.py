@@ -34,13 +34,8 @@ def target_window(df: DataFrame, target_days: int, warmup_days: int, date: str =
     )
 
 
-def clean_daily(
-    raw: DataFrame,
-    tiebreak: Sequence[str] = TIEBREAK,
-    need_volume: bool = True,
-    keep_raw: bool = False,
-) -> DataFrame:
-    """Typed, adjusted, filtered and deduplicated daily rows.
+def priced_rows(raw: DataFrame, need_volume: bool = True, keep_raw: bool = False) -> DataFrame:
+    """Rows with a known adjusted close (and volume).
 
     ``keep_raw`` is the backtest variant of the adjusted close (last resort: raw close).
     """
@@ -48,8 +43,17 @@ def clean_daily(
         "adjusted_close_price",
         adjusted_close("adjusted_close_price", "close_price_raw", "adjustment_factor", keep_raw),
     ).filter("adjusted_close_price IS NOT NULL")
-    if need_volume:
-        rows = rows.filter("volume IS NOT NULL")
+    return rows.filter("volume IS NOT NULL") if need_volume else rows
+
+
+def clean_daily(
+    raw: DataFrame,
+    tiebreak: Sequence[str] = TIEBREAK,
+    need_volume: bool = True,
+    keep_raw: bool = False,
+) -> DataFrame:
+    """Adjusted, filtered and deduplicated daily rows."""
+    rows = priced_rows(raw, need_volume, keep_raw)
     return daily_rows_once(rows, [*SECURITY, "date"], tiebreak)
 
 

@@ -127,12 +127,17 @@ def _validity(rows: DataFrame, period: str) -> DataFrame:
 
 
 def recent_growth_flag(
-    history: DataFrame, period: str, periods: int, threshold: float, flag: str
+    history: DataFrame,
+    period: str,
+    periods: int,
+    threshold: float,
+    flag: str,
+    carry: dict[str, str] | None = None,
 ) -> DataFrame:
     """Per company: observations and minima over the last ``periods`` ranks, and the pass flag.
 
     Semantics (i): each measure must be known in all periods and its minimum must reach
-    the threshold.
+    the threshold.  ``carry`` adds further columns of the latest row as ``{name: column}``.
     """
     revenue, income = f"{period}_revenue_growth_yoy", f"{period}_operating_income_growth_yoy"
     names = [f"{period}_revenue_growth", f"{period}_operating_income_growth"]
@@ -150,7 +155,7 @@ def recent_growth_flag(
         history.filter(F.col(f"{period}_rank_desc") <= periods)
         .groupBy("gvkey")
         .agg(
-            *[F.max(F.when(first, F.col(c))).alias(n) for n, c in latest.items()],
+            *[F.max(F.when(first, F.col(c))).alias(n) for n, c in (latest | (carry or {})).items()],
             *[F.count(c).alias(f"{n}_obs") for n, c in zip(names, (revenue, income))],
             F.min(revenue).alias(f"{period}_min_revenue_growth"),
             F.min(income).alias(f"{period}_min_operating_income_growth"),
@@ -202,14 +207,24 @@ def screen_fundamentals(
     annual_years: int = 3,
     quarter_count: int = 4,
 ) -> DataFrame:
-    """Conditions A and B per company with its identity, best first."""
+    """Conditions A and B per company with its identity, best first.
+
+    Each history is aggregated once, identity included; the two meet in one full join.
+    """
     threshold = float(n_pct) / 100.0
-    a = recent_growth_flag(annual, "annual", annual_years, threshold, "flag_a")
-    b = recent_growth_flag(quarterly, "quarterly", quarter_count, threshold, "flag_b")
+    identity = ("ticker", "company_name", "currency")
+    a = recent_growth_flag(
+        annual, "annual", annual_years, threshold, "flag_a", {f"a_{c}": c for c in identity}
+    )
+    b = recent_growth_flag(
+        quarterly, "quarterly", quarter_count, threshold, "flag_b", {f"q_{c}": c for c in identity}
+    )
+    both = a.drop("latest_annual_datadate").join(
+        b.drop("latest_fyearq", "latest_fqtr"), "gvkey", "full"
+    )
     result = (
-        company_identity(annual, quarterly)
-        .join(a.drop("latest_annual_datadate"), "gvkey", "left")
-        .join(b.drop("latest_fyearq", "latest_fqtr"), "gvkey", "left")
+        both.withColumns({c: F.coalesce(F.col(f"q_{c}"), F.col(f"a_{c}")) for c in identity})
+        .drop(*[f"{side}_{c}" for side in "aq" for c in identity])
         .withColumns({"flag_a": or_false(F.col("flag_a")), "flag_b": or_false(F.col("flag_b"))})
         .withColumn("flag_ab", F.col("flag_a") & F.col("flag_b"))
     )

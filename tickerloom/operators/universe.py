@@ -26,8 +26,10 @@ def annotate_universe(
     df: DataFrame, ticker: str = "ticker", name: str = "company_name", iid: str = "iid"
 ) -> DataFrame:
     """Add the exclusion reasons and whether the security is excluded."""
-    reason = exclusion_reason(search_text(ticker, name, iid))
-    return df.withColumn("exclusion_reason", reason).withColumn(
+    rows = df.withColumn("_text", search_text(ticker, name, iid))
+    rows = rows.withColumn("_folded", F.lower("_text"))
+    rows = rows.withColumn("exclusion_reason", exclusion_reason(F.col("_text"), F.col("_folded")))
+    return rows.drop("_text", "_folded").withColumn(
         "is_excluded_universe", F.col("exclusion_reason") != ""
     )
 

@@ -14,7 +14,7 @@ from ..functions.dates import week_start
 from ..functions.flags import crossed_above, or_false, ratios_within
 from ..functions.prices import cluster_ratio, safe_ratio
 from .calendar import completed_weeks
-from .daily import TIEBREAK, clean_daily
+from .daily import TIEBREAK, clean_daily, priced_rows
 from .rolling import add_previous, add_trailing_means, by_time
 
 MEANS = {"wma5": 5, "wma10": 10, "wma30": 30}
@@ -84,9 +84,13 @@ def weekly_history(
     calendar: DataFrame | None = None,
     tiebreak: Sequence[str] = TIEBREAK,
 ) -> DataFrame:
-    """Weekly metrics for every completed week of ``raw``."""
+    """Weekly metrics for every completed week of ``raw``.
+
+    Copies of a row do not change the latest date of a week, so the completed weeks come
+    from the rows before deduplication: a plain partial aggregation.
+    """
     rows = clean_daily(raw, tiebreak, need_volume=False)
-    weeks = completed_weeks(rows, calendar)
+    weeks = completed_weeks(priced_rows(raw, need_volume=False), calendar)
     bars = add_weekly_ratios(add_weekly_averages(weekly_bars(rows, weeks)))
     bars = add_previous(bars, ["wma10", "wma30", *RATIOS], "week_end_date")
     return bars.withColumns({"flag_g": flag_g(), "flag_h": flag_h()})
@@ -112,7 +116,9 @@ def weekly_metrics(
     in_window = raw.filter(F.col("date") >= F.date_sub(latest, warmup_days))
     rows = weekly_history(in_window, calendar, tiebreak)
     if start_week is None:
-        kept = rows.join(F.broadcast(latest_weeks(rows, target_weeks)), "week_start_date", "left_semi")
+        # Every completed week has bars, so the latest bars are those of the latest weeks.
+        weeks = completed_weeks(priced_rows(in_window, need_volume=False), calendar)
+        kept = rows.join(F.broadcast(latest_weeks(weeks, target_weeks)), "week_start_date", "left_semi")
     else:
         monday = week_start(F.lit(start_week).cast("date"))
         kept = rows.filter(F.col("week_start_date") >= monday)

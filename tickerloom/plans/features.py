@@ -375,8 +375,9 @@ BAR_COLUMNS = (
 
 
 def _bars(spark, sf):
-    rows = daily.clean_daily(t.raw_daily(spark, sf), t.TIEBREAK, need_volume=False)
-    return weekly.weekly_bars(rows, calendar.completed_weeks(rows))
+    raw = t.raw_daily(spark, sf)
+    rows = daily.clean_daily(raw, t.TIEBREAK, need_volume=False)
+    return weekly.weekly_bars(rows, calendar.completed_weeks(daily.priced_rows(raw, need_volume=False)))
 
 
 @query("a05_a06_weekly_bars", BAR_COLUMNS, "weekly_bars")

@@ -95,23 +95,24 @@ def vendor_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _filings(spark: SparkSession, sf_dir: str, period: list[Column], names: list[str]) -> DataFrame:
     """Line items of a supplier per fiscal period and return flag: restated filings.
 
-    Sums are exact decimals, so they do not depend on the order of addition.
+    Amounts are summed as whole cents and basis points, so sums do not depend on the order
+    of addition.
     """
     line = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_returnflag", "l_extendedprice", "l_discount"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    margin = F.lit("0.06").cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    margin = 6 - F.round(F.col("l_discount") * 100).cast("long")
     sums = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumns(dict(zip(names, period)))
         .groupBy("l_suppkey", *names, "l_returnflag")
         .agg(
             F.max(F.col("o_orderdate").cast("date")).alias("datadate"),
-            F.sum(price).cast("double").alias("revenue"),
-            F.sum((price * margin).cast("decimal(18,4)")).cast("double").alias("income"),
+            (F.sum(cents) / F.lit(100.0)).alias("revenue"),
+            (F.sum(cents * margin) / F.lit(10000.0)).alias("income"),
         )
     )
     return sums.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
