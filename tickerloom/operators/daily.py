@@ -34,6 +34,13 @@ def target_window(df: DataFrame, target_days: int, warmup_days: int, date: str =
     )
 
 
+def target_bounds(df: DataFrame, target_days: int, warmup_days: int) -> dict[str, Column]:
+    """The window bounds as fields of one scalar subquery, which is computed once."""
+    window = target_window(df, target_days, warmup_days)
+    row = window.select(F.struct(*window.columns)).scalar()
+    return {c: row.getField(c) for c in window.columns}
+
+
 def priced_rows(raw: DataFrame, need_volume: bool = True, keep_raw: bool = False) -> DataFrame:
     """Rows with a known adjusted close (and volume).
 
@@ -104,12 +111,11 @@ def daily_metrics(
     The window bounds are scalar subqueries below the row-frame windows, so they prune
     files and row groups of a date-laid-out source; the target filter stays above them.
     """
-    window = target_window(raw, target_days, warmup_days)
-    start = window.select("warmup_start").scalar()
-    first = window.select("first_target").scalar()
-    last = window.select("last_target").scalar()
-    in_window = raw.filter((F.col("date") >= start) & (F.col("date") <= last))
-    return daily_history(in_window, tiebreak).filter(F.col("date") >= first)
+    bounds = target_bounds(raw, target_days, warmup_days)
+    in_window = raw.filter(
+        (F.col("date") >= bounds["warmup_start"]) & (F.col("date") <= bounds["last_target"])
+    )
+    return daily_history(in_window, tiebreak).filter(F.col("date") >= bounds["first_target"])
 
 
 def legacy_daily_flags(rows: DataFrame, limit: float = 0.01) -> DataFrame:

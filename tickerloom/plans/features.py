@@ -24,7 +24,7 @@ KEY = "date gvkey iid"
     "SELECT date, gvkey, iid, count(*) AS row_count FROM raw GROUP BY ALL",
 )
 def _(spark, sf):
-    return t.raw_daily(spark, sf).groupBy("date", "gvkey", "iid").agg(F.count("*").alias("row_count"))
+    return t.prices(spark, sf).groupBy("date", "gvkey", "iid").agg(F.count("*").alias("row_count"))
 
 
 _ADJUSTED = (
@@ -43,7 +43,7 @@ _ADJUSTED = (
 )
 def _(spark, sf):
     price = adjusted_close("adjusted_close_price", "close_price_raw", "adjustment_factor")
-    return t.raw_daily(spark, sf).withColumn("price", price)
+    return t.prices(spark, sf).withColumn("price", price)
 
 
 @query(
@@ -56,7 +56,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     price = adjusted_close("adjusted_close_price", "close_price_raw", "adjustment_factor", True)
-    return t.raw_daily(spark, sf).withColumn("price", price)
+    return t.prices(spark, sf).withColumn("price", price)
 
 
 @query(
@@ -78,14 +78,14 @@ def _(spark, sf):
 def _(spark, sf):
     price = adjusted_close("adjusted_close_price", "close_price_raw", "adjustment_factor")
     kept = price.isNotNull() & F.col("volume").isNotNull()
-    return t.raw_daily(spark, sf).filter(
+    return t.prices(spark, sf).filter(
         kept & F.col("date").between(F.lit("1997-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
     )
 
 
 @query("d01_daily_once", "date gvkey iid volume adjusted_close_price", "deduped")
 def _(spark, sf):
-    return daily.clean_daily(t.raw_daily(spark, sf), t.TIEBREAK)
+    return daily.clean_daily(t.prices(spark, sf), t.TIEBREAK)
 
 
 @query("d02_annual_once", "gvkey fyear datadate annual_revenue annual_operating_income", "annual_once")
@@ -112,13 +112,13 @@ def _(spark, sf):
     "SELECT * FROM deduped QUALIFY row_number() OVER (PARTITION BY gvkey, iid ORDER BY date DESC) = 1",
 )
 def _(spark, sf):
-    rows = daily.clean_daily(t.raw_daily(spark, sf), t.TIEBREAK)
+    rows = daily.clean_daily(t.prices(spark, sf), t.TIEBREAK)
     return dedup.latest_per_key(rows, ["gvkey", "iid"], ["date"])
 
 
 @query("d05_distinct_keys", "gvkey iid", "SELECT DISTINCT gvkey, iid FROM raw")
 def _(spark, sf):
-    return t.raw_daily(spark, sf).select("gvkey", "iid").dropDuplicates(["gvkey", "iid"])
+    return t.prices(spark, sf).select("gvkey", "iid").dropDuplicates(["gvkey", "iid"])
 
 
 @query(
@@ -127,14 +127,14 @@ def _(spark, sf):
     "SELECT gvkey, iid, date, count(*) AS row_count FROM raw GROUP BY ALL HAVING count(*) > 1",
 )
 def _(spark, sf):
-    return dedup.duplicate_keys(t.raw_daily(spark, sf), ["gvkey", "iid", "date"])
+    return dedup.duplicate_keys(t.prices(spark, sf), ["gvkey", "iid", "date"])
 
 
 # --- daily windows --------------------------------------------------------------------
 
 
 def _daily_rows(spark, sf):
-    return daily.clean_daily(t.raw_daily(spark, sf), t.TIEBREAK)
+    return daily.clean_daily(t.prices(spark, sf), t.TIEBREAK)
 
 
 def _indicators(spark, sf):
@@ -179,7 +179,7 @@ def _(spark, sf):
 
 @query("p13_flag_f", f"{KEY} flag_f", "daily")
 def _(spark, sf):
-    return daily.daily_history(t.raw_daily(spark, sf), t.TIEBREAK)
+    return daily.daily_history(t.prices(spark, sf), t.TIEBREAK)
 
 
 _LEGACY_DAILY = """
@@ -217,8 +217,8 @@ def _(spark, sf):
 
 @query("p06_target_dates_after_windows", "date gvkey iid ma100:float", "target_daily")
 def _(spark, sf):
-    rows = daily.daily_metrics(t.raw_daily(spark, sf), tiebreak=t.TIEBREAK)
-    dates = daily.latest_dates(t.raw_daily(spark, sf), 5)
+    rows = daily.daily_metrics(t.prices(spark, sf), tiebreak=t.TIEBREAK)
+    dates = daily.latest_dates(t.prices(spark, sf), 5)
     return rows.join(F.broadcast(dates), "date", "left_semi")
 
 
@@ -267,7 +267,7 @@ def _(spark, sf):
     "date + INTERVAL 1 YEAR AS year_after, count(*) AS row_count FROM raw GROUP BY ALL",
 )
 def _(spark, sf):
-    rows = t.raw_daily(spark, sf).groupBy("date").agg(F.count("*").alias("row_count"))
+    rows = t.prices(spark, sf).groupBy("date").agg(F.count("*").alias("row_count"))
     return rows.withColumns(
         {
             "months_before": months_before("date", 3),
@@ -283,7 +283,7 @@ def _(spark, sf):
     "SELECT date_trunc('week', date) AS week_start_date, count(*) AS row_count FROM raw GROUP BY ALL",
 )
 def _(spark, sf):
-    rows = t.raw_daily(spark, sf).groupBy(week_start("date").alias("week_start_date"))
+    rows = t.prices(spark, sf).groupBy(week_start("date").alias("week_start_date"))
     return rows.agg(F.count("*").alias("row_count"))
 
 
@@ -294,7 +294,7 @@ def _(spark, sf):
     "strftime(date, '%Y-%m-%d') AS date_value, count(*) AS row_count FROM raw GROUP BY ALL",
 )
 def _(spark, sf):
-    rows = t.raw_daily(spark, sf).groupBy("date").agg(F.count("*").alias("row_count"))
+    rows = t.prices(spark, sf).groupBy("date").agg(F.count("*").alias("row_count"))
     formats = {"year_value": "yyyy", "month_value": "MM", "date_value": "yyyy-MM-dd"}
     return rows.withColumns({n: F.date_format("date", f) for n, f in formats.items()})
 
@@ -315,7 +315,7 @@ def _(spark, sf):
 
 @query("t01_monday", "date monday:date", "SELECT DISTINCT date, date_trunc('week', date) AS monday FROM raw")
 def _(spark, sf):
-    return t.raw_daily(spark, sf).select("date").distinct().withColumn("monday", week_start("date"))
+    return t.prices(spark, sf).select("date").distinct().withColumn("monday", week_start("date"))
 
 
 @query(
@@ -325,7 +325,7 @@ def _(spark, sf):
     "USING (week_start_date)",
 )
 def _(spark, sf):
-    weeks = t.raw_daily(spark, sf).select(week_start("date").alias("week_start_date")).distinct()
+    weeks = t.prices(spark, sf).select(week_start("date").alias("week_start_date")).distinct()
     return calendar.with_official_week_end(weeks, how="inner")
 
 
@@ -335,7 +335,7 @@ def _(spark, sf):
     "SELECT DISTINCT date, date IN (SELECT official_week_end_date FROM calendar) AS is_official_week_end FROM raw",
 )
 def _(spark, sf):
-    return calendar.mark_official_week_ends(t.raw_daily(spark, sf).select("date").distinct(), "date")
+    return calendar.mark_official_week_ends(t.prices(spark, sf).select("date").distinct(), "date")
 
 
 @query(
@@ -344,7 +344,7 @@ def _(spark, sf):
     "SELECT DISTINCT week_start_date, week_end_date FROM weekly_bars",
 )
 def _(spark, sf):
-    rows = t.raw_daily(spark, sf)
+    rows = t.prices(spark, sf)
     price = adjusted_close("adjusted_close_price", "close_price_raw", "adjustment_factor")
     return calendar.completed_weeks(rows.filter(price.isNotNull()))
 
@@ -355,7 +355,7 @@ def _(spark, sf):
     "SELECT day AS session_date FROM sessions WHERE day BETWEEN (SELECT min(date) FROM raw) AND (SELECT max(date) FROM raw)",
 )
 def _(spark, sf):
-    bounds = t.raw_daily(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    bounds = t.prices(spark, sf).agg(F.min("date").alias("first"), F.max("date").alias("last"))
     return calendar.sessions_between(bounds, "first", "last")
 
 
@@ -365,7 +365,7 @@ def _(spark, sf):
     "SELECT date_trunc('week', date) AS week_start_date, max(date) AS market_week_end_date FROM raw GROUP BY ALL",
 )
 def _(spark, sf):
-    return calendar.market_week_ends(t.raw_daily(spark, sf))
+    return calendar.market_week_ends(t.prices(spark, sf))
 
 
 BAR_COLUMNS = (
@@ -410,18 +410,18 @@ WINDOW w AS (PARTITION BY gvkey, iid ORDER BY week_end_date))"""
 
 @query("w04_legacy_weekly_averages", "gvkey iid week_end_date wma5:float wma10:float wma30:float", _LEGACY_WEEKLY)
 def _(spark, sf):
-    return weekly.legacy_weekly_metrics(_daily_rows(spark, sf))
+    return weekly.legacy_weekly_metrics(daily.clean_daily(t.raw_daily(spark, sf), t.TIEBREAK))
 
 
 @query("p17_legacy_weekly_flags", "gvkey iid week_end_date legacy_g legacy_h", _LEGACY_WEEKLY)
 def _(spark, sf):
-    rows = weekly.legacy_weekly_metrics(_daily_rows(spark, sf))
+    rows = weekly.legacy_weekly_metrics(daily.clean_daily(t.raw_daily(spark, sf), t.TIEBREAK))
     return rows.withColumnsRenamed({"flag_g": "legacy_g", "flag_h": "legacy_h"})
 
 
 @query("w12_last_row_of_week", "gvkey iid week_start_date week_end_date", _LEGACY_WEEKLY)
 def _(spark, sf):
-    return weekly.legacy_weekly_metrics(_daily_rows(spark, sf))
+    return weekly.legacy_weekly_metrics(daily.clean_daily(t.raw_daily(spark, sf), t.TIEBREAK))
 
 
 def _weekly_history(spark, sf):

@@ -58,12 +58,12 @@ def _window_sql(condition: str) -> str:
     ),
 )
 def _(spark, sf):
-    return lake.window_for_targets(t.raw_daily(spark, sf))
+    return lake.window_for_targets(t.prices(spark, sf))
 
 
 @query("s05_weekly_window", _RAW_COLUMNS, _window_sql("date >= (SELECT max(date) FROM raw) - 500"))
 def _(spark, sf):
-    return lake.window_for_weeks(t.raw_daily(spark, sf))
+    return lake.window_for_weeks(t.prices(spark, sf))
 
 
 @query(
@@ -72,12 +72,12 @@ def _(spark, sf):
     _window_sql(f"date BETWEEN DATE '{BT_START}' - 420 AND DATE '{BT_END}'"),
 )
 def _(spark, sf):
-    return lake.window_for_backtest(t.raw_daily(spark, sf), BT_START, BT_END)
+    return lake.window_for_backtest(t.prices(spark, sf), BT_START, BT_END)
 
 
 @query("s07_lookback_window", _RAW_COLUMNS, _window_sql("date >= (SELECT max(date) FROM raw) - INTERVAL 3 MONTH"))
 def _(spark, sf):
-    return lake.window_for_lookback(t.raw_daily(spark, sf), 3)
+    return lake.window_for_lookback(t.prices(spark, sf), 3)
 
 
 @query(
@@ -87,7 +87,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Yearly files up to 1998 and date partitions from 1998 on; the overlap must not count twice."""
-    raw = t.raw_daily(spark, sf)
+    raw = t.prices(spark, sf)
     folder = workspace(spark)
     old = raw.filter(F.year("date") <= 1998).withColumn("file_year", F.year("date"))
     sinks.write_partitions(old, f"{folder}/yearly", ["file_year"])
@@ -277,7 +277,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     folder = workspace(spark)
-    sinks.write_parquet(t.raw_daily(spark, sf).filter(F.year("date") == 2000), f"{folder}/year_2000")
+    sinks.write_parquet(t.prices(spark, sf).filter(F.year("date") == 2000), f"{folder}/year_2000")
     sinks.split_yearly_file(spark, f"{folder}/year_2000", f"{folder}/dated")
     rows = lake.read_parquet(spark, f"{folder}/dated", merge=False)
     return rows.groupBy("date").agg(F.count("*").alias("row_count"))
@@ -400,7 +400,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     vendor = ingest.daily_rows(t.vendor_daily(spark, sf))
-    layers = {"vendor": vendor, "raw": t.raw_daily(spark, sf), "daily": layer(spark, sf, "daily")}
+    layers = {"vendor": vendor, "raw": t.prices(spark, sf), "daily": layer(spark, sf, "daily")}
     return lake.freshness(layers, reference="vendor")
 
 

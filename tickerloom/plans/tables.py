@@ -21,20 +21,26 @@ def trading_day(timestamp: str) -> Column:
 
 
 def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw daily security rows with their company names."""
+    supplier = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("gvkey"), F.col("s_name").alias("company_name")
+    )
+    return prices(spark, sf_dir).join(supplier, "gvkey", "left")
+
+
+def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily security rows: some adjusted closes are given, some factors are missing."""
     line = table(spark, sf_dir, "lineitem")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     close = F.try_divide("l_extendedprice", "l_quantity")
     factor = F.when(F.col("l_tax") > 0, F.col("l_tax") + 1)
     given = F.when(F.col("l_returnflag") == "A", close / (F.col("l_tax") + 1))
-    return line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left").select(
+    return line.select(
         trading_day("l_shipdate").alias("date"),
         F.col("l_suppkey").cast("string").alias("gvkey"),
         F.col("l_linestatus").alias("iid"),
         F.concat_ws("-", F.lit("T"), F.col("l_suppkey").cast("string"), "l_linestatus").alias(
             "ticker"
         ),
-        F.col("s_name").alias("company_name"),
         F.lit("USD").alias("currency"),
         close.alias("close_price_raw"),
         (close * (1 - F.col("l_discount"))).alias("open_price_raw"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import months_before
-from ..operators.daily import latest_dates, target_window
+from ..operators.daily import target_bounds
 
 
 def read_parquet(
@@ -35,10 +35,10 @@ def read_dual_layout(yearly: DataFrame, dated: DataFrame, cutoff_year: int, date
 
 def window_for_targets(df: DataFrame, target_days: int = 5, warmup_days: int = 250) -> DataFrame:
     """Rows from the warm-up start to the latest date of the target days."""
-    bounds = target_window(df, target_days, warmup_days)
-    start = bounds.select("warmup_start").scalar()
-    end = bounds.select("last_target").scalar()
-    return df.filter((F.col("date") >= start) & (F.col("date") <= end))
+    bounds = target_bounds(df, target_days, warmup_days)
+    return df.filter(
+        (F.col("date") >= bounds["warmup_start"]) & (F.col("date") <= bounds["last_target"])
+    )
 
 
 def window_for_weeks(df: DataFrame, warmup_days: int = 500) -> DataFrame:
@@ -78,14 +78,3 @@ def freshness(layers: dict[str, DataFrame], date: str = "date", reference: str |
     target = rows.filter(F.col("layer") == against).select("latest_date").scalar()
     return rows.withColumn("up_to_date", F.col("latest_date").eqNullSafe(target))
 
-
-__all__ = [
-    "freshness",
-    "latest_dates",
-    "read_dual_layout",
-    "read_parquet",
-    "window_for_backtest",
-    "window_for_lookback",
-    "window_for_targets",
-    "window_for_weeks",
-]
