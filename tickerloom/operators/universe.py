@@ -26,10 +26,12 @@ def annotate_universe(
     df: DataFrame, ticker: str = "ticker", name: str = "company_name", iid: str = "iid"
 ) -> DataFrame:
     """Add the exclusion reasons and whether the security is excluded."""
-    rows = df.withColumn("_text", search_text(ticker, name, iid))
-    rows = rows.withColumn("_folded", F.lower("_text"))
-    rows = rows.withColumn("exclusion_reason", exclusion_reason(F.col("_text"), F.col("_folded")))
-    return rows.drop("_text", "_folded").withColumn(
+    text = search_text(ticker, name, iid)
+    # The lambda binds the text and its lower-case form once per row, also when a filter on
+    # the result is pushed down and inlines the expression.
+    bound = F.array(F.struct(text.alias("text"), F.lower(text).alias("folded")))
+    reason = F.transform(bound, lambda r: exclusion_reason(r["text"], r["folded"]))
+    return df.withColumn("exclusion_reason", F.element_at(reason, 1)).withColumn(
         "is_excluded_universe", F.col("exclusion_reason") != ""
     )
 

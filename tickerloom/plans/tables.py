@@ -22,19 +22,23 @@ def trading_day(timestamp: str) -> Column:
 
 def raw_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw daily security rows with their company names."""
-    supplier = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("gvkey"), F.col("s_name").alias("company_name")
-    )
-    return prices(spark, sf_dir).join(supplier, "gvkey", "left")
+    line = table(spark, sf_dir, "lineitem")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    named = line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    return named.select(*_price_columns(), F.col("s_name").alias("company_name"))
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw daily security rows: some adjusted closes are given, some factors are missing."""
-    line = table(spark, sf_dir, "lineitem")
+    """Raw daily security rows without names, for queries that show none."""
+    return table(spark, sf_dir, "lineitem").select(*_price_columns())
+
+
+def _price_columns() -> list[Column]:
+    """Some adjusted closes are given, some factors are missing."""
     close = F.try_divide("l_extendedprice", "l_quantity")
     factor = F.when(F.col("l_tax") > 0, F.col("l_tax") + 1)
     given = F.when(F.col("l_returnflag") == "A", close / (F.col("l_tax") + 1))
-    return line.select(
+    return [
         trading_day("l_shipdate").alias("date"),
         F.col("l_suppkey").cast("string").alias("gvkey"),
         F.col("l_linestatus").alias("iid"),
@@ -54,7 +58,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("A").alias("security_status"),
         F.lit("0").alias("issue_type_code"),
         given.alias("adjusted_close_price"),
-    )
+    ]
 
 
 # Copies of a (security, date) key: the largest trade wins, further columns break ties.
