@@ -26,6 +26,9 @@ def asof_join(
     ``forward`` takes the first right time >= the left time, ``backward`` the last
     right time <= it.  At most one match per left row; right times are expected to be
     unique per key.  Left columns win on equal names.
+
+    A key is scanned by one task, so keep its rows bounded: deduplicate to one row per key
+    and date first, as all callers here do.
     """
     if direction not in ("forward", "backward"):
         raise ValueError(f"direction must be forward or backward, not {direction!r}")

@@ -39,6 +39,8 @@ FUNDAMENTAL_RENAMES = {"tic": "ticker", "conm": "company_name", "exchg": "exchan
 ANNUAL_RENAMES = {**FUNDAMENTAL_RENAMES, "curcd": "currency"}
 QUARTERLY_RENAMES = {**FUNDAMENTAL_RENAMES, "curcdq": "currency"}
 STANDARD_FORMAT = {"indfmt": "INDL", "consol": "C", "popsrc": "D", "datafmt": "STD"}
+# Fixed value: source tag of ingested daily rows.
+DATA_SOURCE = "compustat_daily_security"
 ARCHIVE_V2_COLUMNS = {
     "dlycaldt": "date",
     "dlyprc": "prc",
@@ -105,7 +107,7 @@ def ingest_year(secd: DataFrame, year: int, today: dt.date | None = None) -> Dat
     return normalise_daily(daily_rows(secd.filter(F.col("datadate").between(first, last))))
 
 
-def normalise_daily(rows: DataFrame, data_source: str = "compustat_daily_security") -> DataFrame:
+def normalise_daily(rows: DataFrame, data_source: str = DATA_SOURCE) -> DataFrame:
     """Missing factor counts as 1; adjusted close, source tag and load time are added."""
     rows = rows.withColumn("adjustment_factor", F.coalesce("adjustment_factor", F.lit(1.0)))
     return rows.withColumns(
