@@ -113,8 +113,8 @@ def _filings(spark: SparkSession, sf_dir: str, period: list[Column], names: list
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    margin = 6 - F.round(F.col("l_discount") * 100).cast("long")
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
+    margin = 6 - F.rint(F.col("l_discount") * 100).cast("long")
     sums = (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .withColumns(dict(zip(names, period)))
