@@ -78,3 +78,76 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
     return pack_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+_OP9_SQL = r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(text) + length(text) - length(replace(text, '\', ''))
+                + len(regexp_extract_all(text, '</?s>|\[/?(INST|SYS|ANSWER|ROLE|TEXT)\]')) AS size,
+             length(role) + length(role) - length(replace(role, '\', ''))
+                + len(regexp_extract_all(role, '</?s>|\[/?(INST|SYS|ANSWER|ROLE|TEXT)\]')) AS role_size FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(7 + size + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 19 WHEN 'system' THEN 13 ELSE 30 + role_size END)::BIGINT
+           AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@query("op9_chat", _OP9_SQL)
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .chat import format_conversations, read_back
+
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return read_back(format_conversations(turns.unionByName(probe)))
+
+
+@query("op1_quality_net")
+def op1_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .quality_net import score, train
+
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    fold = lambda doc_id: F.crc32(doc_id.cast("string").cast("binary")) % 5
+    network = train(docs, labels, lambda doc_id: fold(doc_id) != 0)
+    scored = score(docs, network)
+    return scored.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .language_id import identify, train
+
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = train(docs.filter(~held_out))
+    return identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op8_order_minhash")
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .order_minhash import compare_neighbours
+
+    return compare_neighbours(documents(spark, sf_dir))
+
+
+@query("op4_pseudonyms")
+def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pseudonyms import pseudonymise
+
+    return pseudonymise(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_replaced", "text")
