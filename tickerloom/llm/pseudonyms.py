@@ -4,7 +4,7 @@ Card numbers, telephone numbers, social security numbers, network addresses and
 validated and then permuted within their format by a keyed Feistel network: the result has the
 same length, separators and check digit or calendar validity, different values stay different,
 and equal values stay equal in all documents.  Mail addresses and long hexadecimal secrets,
-which have no small number format, become keyed digests of the same kind.
+which have no small number format, become keyed digests of the same kind.  What fails its check stays as it is.
 """
 
 from __future__ import annotations
@@ -105,22 +105,18 @@ def _put_back(shape: Column, digits: Column) -> Column:
 
 
 def _number(found: Column, key: str) -> Column:
-    """Cards keep a valid check digit; other numbers of this length have all digits permuted."""
+    """A card keeps a valid check digit; a number whose check digit is wrong is no card and stays."""
 
     def of(digits: Column) -> Column:
         n = F.char_length(digits)
         payload = F.substring(digits, F.lit(1), n - 1)
         valid = check_digit(payload) == F.substring(digits, n, F.lit(1))
         card = let(permute_digits(payload, key, F.lit("card")), lambda x: F.concat(x, check_digit(x)))
-        return F.when(valid, card).otherwise(let(permute_digits(digits, key, F.lit("number")), lambda x: _not_valid(x, digits)))
+        return F.when(valid, card).otherwise(digits)
 
     return _put_back(found, let(_digits(found), of))
 
 
-def _not_valid(permuted: Column, digits: Column) -> Column:
-    return permuted
-
-
 def _telephone(found: Column, key: str) -> Column:
     """The last ten digits are permuted; a country code stays."""
 
@@ -184,9 +180,13 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
 
     def spliced(matches: Column) -> Column:
         between = F.split(text, PATTERN, -1)
-        new = F.transform(matches, lambda m: pseudonym(m, key))
+        return let(F.transform(matches, lambda m: pseudonym(m, key)), lambda new: joined(matches, between, new))
+
+    def joined(matches: Column, between: Column, new: Column) -> Column:
         parts = F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
-        made = F.struct(F.array_join(parts, "").alias("text"), F.size(matches).cast("long").alias("n"))
+        changed = F.zip_with(matches, new, lambda a, b: (a != b).cast("long"))
+        n = F.aggregate(changed, F.lit(0).cast("long"), lambda s, x: s + x)
+        made = F.struct(F.array_join(parts, "").alias("text"), n.alias("n"))
         kept = F.struct(text.alias("text"), F.lit(0).cast("long").alias("n"))
         return F.when(F.coalesce(F.size(matches), F.lit(0)) > 0, made).otherwise(kept)
 

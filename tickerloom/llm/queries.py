@@ -151,3 +151,33 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pseudonyms import pseudonymise
 
     return pseudonymise(documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "n_replaced", "text")
+
+
+_OP10_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(array_to_string(words[i : i + 2], chr(10))) AS g
+  FROM w, unnest(range(1, greatest(len(words) - 1, 2))) AS t(i) WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n, bit_xor(hash(g)) AS x FROM s GROUP BY doc_id),
+c AS (SELECT n, x, min(doc_id) AS rep FROM n GROUP BY n, x),
+r AS MATERIALIZED (SELECT rep, c.n, g, row_number() OVER (PARTITION BY rep ORDER BY g) AS k FROM c JOIN s ON s.doc_id = rep),
+p AS MATERIALIZED (SELECT DISTINCT a.rep AS a, b.rep AS b FROM r a JOIN r b ON a.g = b.g AND a.rep < b.rep
+      WHERE a.k <= a.n - ceil(0.9 * a.n) + 1 AND b.k <= b.n - ceil(0.9 * b.n) + 1 AND 10 * a.n >= 9 * b.n AND 10 * b.n >= 9 * a.n),
+o AS (SELECT p.a, p.b, count(*) AS o FROM p JOIN r x ON x.rep = p.a JOIN r y ON y.rep = p.b AND x.g = y.g GROUP BY p.a, p.b),
+l AS MATERIALIZED (SELECT o.a, o.b FROM o JOIN c x ON x.rep = o.a JOIN c y ON y.rep = o.b
+      WHERE 100 * o >= 90 * (x.n + y.n - o)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+walk(node, reached) AS (SELECT rep, rep FROM c UNION SELECT walk.node, e.b FROM walk JOIN e ON e.a = walk.reached),
+f AS (SELECT node, min(reached) AS component FROM walk GROUP BY node)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(f.component, w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (n, x) LEFT JOIN f ON f.node = c.rep
+"""
+
+
+@query("op10_jaccard_join", _OP10_SQL)
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard_join import link_components
+
+    return link_components(documents(spark, sf_dir))
