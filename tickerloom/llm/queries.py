@@ -181,3 +181,21 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard_join import link_components
 
     return link_components(documents(spark, sf_dir))
+
+
+@query("op5_suffix_dedup")
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .suffix_dedup import remove_repeats
+
+    cut = remove_repeats(documents(spark, sf_dir))
+    lengths = F.transform("spans", lambda s: s["end"] - s["begin"])
+    removed = F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x)
+    return cut.select(
+        "doc_id",
+        (F.octet_length("kept") + removed).alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
