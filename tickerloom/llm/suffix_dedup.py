@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from ..sources.workspace import materialize, workspace
 from .texts import Rolling, few_collections, mix
@@ -344,12 +344,12 @@ class RepeatFinder:
         rest = self._names(self._with(shared, wanted), name_rest, True, False, "repeated-rest")
         return [tuples, rest]
 
-    def cut(self) -> DataFrame:
-        """``columns`` of each row, ``kept`` bytes and removed ``spans``."""
+    def cut(self, as_text: bool) -> DataFrame:
+        """``columns`` of each row, what is ``kept`` and the removed ``spans``."""
         rows = self._with(*self.repeated(), columns=("batch", "texts", "others"))
         length = self.length
         span = StructType.fromDDL("spans array<struct<begin: long, end: long>>").fields[0]
-        schema = StructType([*self.kept.fields, StructField("kept", BinaryType()), span])
+        schema = StructType([*self.kept.fields, StructField("kept", StringType() if as_text else BinaryType()), span])
         arrow = to_arrow_schema(schema)
         fields = list(to_arrow_schema(self.kept))
 
@@ -374,18 +374,20 @@ class RepeatFinder:
                         spans.append([{"begin": a, "end": b} for a, b in zip(low, high, strict=True)])
                     others = pa.StructArray.from_arrays(rows.column("others")[i].values.flatten(), fields=fields)
                     yield pa.RecordBatch.from_arrays(
-                        [*others.flatten(), pa.array(kept, pa.binary()), pa.array(spans, arrow.field("spans").type)], schema=arrow
+                        [*others.flatten(), pa.array([k.decode("utf-8", "ignore") for k in kept] if as_text else kept, arrow.field("kept").type), pa.array(spans, arrow.field("spans").type)], schema=arrow
                     )
 
         return rows.mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), length: int = LENGTH) -> DataFrame:
-    """``columns`` of each row, ``kept`` (bytes) and ``spans`` (removed stretches).
+def remove_repeats(docs: DataFrame, columns: tuple[str, ...] = ("doc_id",), length: int = LENGTH, as_text: bool = False) -> DataFrame:
+    """``columns`` of each row, ``kept`` (bytes) and ``spans`` (removed stretches, in bytes).
+
+    ``as_text`` gives ``kept`` as a string, without what is left of characters cut in two.
 
     A byte is removed if it lies in a string of ``length`` bytes that also begins anywhere else,
     in this text or another; strings are judged on the texts as given and do not cross texts.
     Null texts are empty; texts shorter than ``length`` stay; all copies of a repeated row lose
     what they share; rows keep their number and order does not matter.
     """
-    return RepeatFinder(docs, tuple(columns), length).cut()
+    return RepeatFinder(docs, tuple(columns), length).cut(as_text)

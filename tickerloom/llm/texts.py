@@ -70,7 +70,8 @@ def map_texts(
                 arrays += [pa.array(x, type=f.type) for x, f in zip(made, list(arrow)[n:], strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
 
-    return df.select(*columns, F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    text = [] if "text" in columns else [F.col("text").cast("string").alias("text")]
+    return df.select(*columns, *text).mapInArrow(run, schema)
 
 
 class Rolling:
