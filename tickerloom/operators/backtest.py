@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, fields
 from itertools import product
 
@@ -15,6 +16,7 @@ from ..functions.aggregates import value_at_earliest, value_at_latest
 from ..functions.dates import week_start
 from ..functions.flags import strict_cluster_flag, tolerance_band
 from ..functions.prices import percent_return
+from ..sources.sinks import append_event
 from .asof import asof_join
 from .calendar import with_official_week_end
 from .daily import TIEBREAK, add_daily_indicators, clean_daily
@@ -48,7 +50,6 @@ SELECTION_COLUMNS = (
     "selected_adjusted_price",
     *[f"flag_{c}" for c in "abcdefgh"],
 )
-GRID_BROADCAST_LIMIT = 100_000
 
 
 @dataclass(frozen=True)
@@ -279,9 +280,10 @@ def select_signals(
 
     A set is a point in four small axes (technical, annual, quarterly, weekly tolerance).
     Each row carries the *ids of the axis values it passes* as short arrays, so the daily
-    data is scanned and windowed once and nothing is multiplied by 192.  Only rows that
-    passed every axis are exploded, reduced to the first per security, and mapped to
-    parameter sets by a join with the grid.
+    data is scanned and windowed once and no wide row is multiplied by 192.  Of the rows that
+    passed every axis only key, date and ids are exploded, straight into a partial minimum of
+    the date; the first dates take their prices and names by a join on the key and are
+    mapped to parameter sets by a join with the grid.
     """
     spark = daily.sparkSession
     technical = _axis(p.technical for p in grid)
@@ -336,7 +338,8 @@ def select_signals(
         ),
     )
     combos = (
-        matched.withColumn("_screen", F.explode(screens))
+        matched.select(*SECURITY, "snapshot_date", "weekly_ids", "technical_ids", "annual_ids", "quarterly_ids")
+        .withColumn("_screen", F.explode(screens))
         .withColumn("screen_type", F.col("_screen.screen_type"))
         .withColumn("weekly_id", F.explode("_screen.weekly_ids"))
         .withColumn("technical_id", F.explode("technical_ids"))
@@ -344,7 +347,9 @@ def select_signals(
         .withColumn("quarterly_id", F.explode("quarterly_ids"))
     )
     axis_keys = ["technical_id", "annual_id", "quarterly_id", "weekly_id"]
-    first = keep_first(combos, ["screen_type", *axis_keys, *SECURITY], [F.asc("snapshot_date")])
+    first = combos.groupBy("screen_type", *axis_keys, *SECURITY).agg(F.min("snapshot_date").alias("snapshot_date"))
+    # A security has one row per date.
+    first = first.join(matched.drop("weekly_ids", "technical_ids", "annual_ids", "quarterly_ids"), [*SECURITY, "snapshot_date"])
     ids = spark.createDataFrame(
         [
             (
@@ -358,8 +363,7 @@ def select_signals(
         ],
         "parameter_set_id long, technical_id int, annual_id int, quarterly_id int, weekly_id int",
     )
-    if len(grid) <= GRID_BROADCAST_LIMIT:
-        ids = F.broadcast(ids)
+    ids = F.broadcast(ids)  # the grid is a list on the driver
     confirmed = F.col("screen_type") == a_h
     f_price = F.coalesce("future_daily_adjusted_close_price", "future_daily_close_price")
     passed, unknown = F.lit(True), F.lit(None).cast("boolean")
@@ -559,15 +563,58 @@ def price_outcomes(
     )
 
 
-def run_log(
-    outcomes: DataFrame, run_name: str, start: dt.date, end: dt.date, grid: Sequence[ParameterSet]
+def run_event(
+    spark: SparkSession,
+    run_id: str,
+    run_name: str,
+    start: dt.date,
+    end: dt.date,
+    set_count: int,
+    status: str,
+    outcome_count: int | None = None,
+    error: str | None = None,
 ) -> DataFrame:
-    """One row that records a run."""
-    return outcomes.agg(F.count(F.lit(1)).alias("outcome_count")).select(
-        F.lit(run_name).alias("run_name"),
-        F.lit(start).cast("date").alias("start_date"),
-        F.lit(end).cast("date").alias("end_date"),
-        F.lit(len(grid)).alias("parameter_set_count"),
-        F.lit("succeeded").alias("status"),
-        "outcome_count",
+    """One event of a run: ``running``, then ``succeeded`` or ``failed`` with its error."""
+    now = dt.datetime.now(dt.timezone.utc)
+    finished = None if status == "running" else now
+    row = (run_id, run_name, start, end, set_count, status, outcome_count, error, now, finished)
+    return spark.createDataFrame(
+        [row],
+        "run_id string, run_name string, start_date date, end_date date, parameter_set_count int, status string, "
+        "outcome_count long, error string, logged_at timestamp, finished_at timestamp",
     )
+
+
+def run_log(events: DataFrame) -> DataFrame:
+    """The state of each run: its final event, or ``running`` while it has none."""
+    final = F.col("finished_at").isNotNull()
+    return keep_first(events, ["run_id"], [F.desc(final.cast("int")), F.desc("logged_at")])
+
+
+def recorded_run(
+    spark: SparkSession,
+    log_path: str,
+    run_name: str,
+    start: dt.date,
+    end: dt.date,
+    set_count: int,
+    work: Callable[[], int],
+) -> str:
+    """Runs ``work``, which returns the number of stored outcomes, and logs how it went.
+
+    A failure is logged with its error and raised again.  Returns the run's id.
+    """
+    run_id = uuid.uuid4().hex
+
+    def log(status: str, count: int | None = None, error: str | None = None) -> None:
+        event = run_event(spark, run_id, run_name, start, end, set_count, status, count, error)
+        append_event(spark, log_path, event)
+
+    log("running")
+    try:
+        count = work()
+    except Exception as error:
+        log("failed", error=f"{type(error).__name__}: {error}")
+        raise
+    log("succeeded", count)
+    return run_id

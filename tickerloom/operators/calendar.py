@@ -35,15 +35,30 @@ def trading_weeks(spark: SparkSession) -> DataFrame:
 
 
 def calendar_or_default(df: DataFrame, calendar: DataFrame | None) -> DataFrame:
-    """The given calendar, or the built-in one, marked for broadcast (one row per week)."""
-    return F.broadcast(trading_weeks(df.sparkSession) if calendar is None else calendar)
+    """The given calendar, reduced to one row per week, or the built-in one; marked for
+    broadcast, because a calendar has as many rows as there are weeks."""
+    if calendar is None:
+        return F.broadcast(trading_weeks(df.sparkSession))
+    one = calendar.groupBy("week_start_date").agg(F.max("official_week_end_date").alias("official_week_end_date"))
+    return F.broadcast(one)
 
 
 def with_official_week_end(
     df: DataFrame, calendar: DataFrame | None = None, how: str = "left"
 ) -> DataFrame:
-    """Add ``official_week_end_date`` by ``week_start_date``."""
-    return df.join(calendar_or_default(df, calendar), "week_start_date", how)
+    """Add ``official_week_end_date`` by ``week_start_date``.
+
+    The built-in calendar must hold every week of the data: a week that its rules do not reach
+    is an error and never dropped.  A given calendar decides by itself which weeks there are.
+    """
+    if calendar is not None:
+        return df.join(calendar_or_default(df, calendar), "week_start_date", how)
+    rows = df.join(calendar_or_default(df, None), "week_start_date", "left")
+    beyond = F.col("week_start_date").isNotNull() & F.col("official_week_end_date").isNull()
+    message = F.concat(F.lit("no session rules for the week of "), F.col("week_start_date").cast("string"))
+    checked = F.when(beyond, F.raise_error(message).cast("date")).otherwise(F.col("official_week_end_date"))
+    rows = rows.withColumn("official_week_end_date", checked)
+    return rows.filter("official_week_end_date IS NOT NULL") if how == "inner" else rows
 
 
 def market_week_ends(df: DataFrame, date: str = "date") -> DataFrame:

@@ -38,7 +38,7 @@ def duplicate_check(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 
 def require(checks: DataFrame) -> None:
     """Raise when any check has failures (the check table has one row per check)."""
-    failed = checks.filter("failures > 0").limit(20).collect()
+    failed = checks.filter("failures > 0").collect()
     if failed:
         raise QualityError(", ".join(f"{r['check_name']}={r['failures']}" for r in failed))
 

@@ -11,6 +11,7 @@ from .. import SECURITY
 from ..functions.dates import months_before
 from ..functions.flags import cluster_flag, or_false
 from ..functions.prices import cluster_ratio
+from ..sources.workspace import materialize
 from .growth import recent_growth_flag, recent_pass_count
 
 
@@ -152,9 +153,24 @@ def ranked_screen(screen: DataFrame, n: int | None = None) -> DataFrame:
     return ordered.limit(n).withColumn("report_rank", position)
 
 
-def top_candidates(screen: DataFrame, n: int = 30) -> DataFrame:
-    """The first ``n`` rows that pass everything."""
-    return ranked_screen(screen.filter("flag_all"), n)
+def numbered_screen(screen: DataFrame) -> DataFrame:
+    """The whole screen with its position in report order.
+
+    Rows are sorted in ranges and numbered within each, and the ranges' sizes, a row per
+    task, give where each begins; no task sees all rows.
+    """
+    rows = materialize(screen.orderBy(*_report_order()).withColumn("_at", F.monotonically_increasing_id()), "report")
+    placed = rows.withColumns({"_range": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND((1 << 33) - 1)})
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = placed.join(F.broadcast(starts), "_range")
+    return numbered.withColumn("report_rank", F.col("_start") + F.col("_row") + 1).drop("_at", "_range", "_row", "_start")
+
+
+def top_candidates(screen: DataFrame, n: int = 30, passing: str = "flag_all") -> DataFrame:
+    """The first ``n`` rows that pass everything, or another of the screen's flags."""
+    return ranked_screen(screen.filter(passing), n)
 
 
 def parameter_tag(n_pct: float, annual_years: int, quarter_count: int, q: float, m: int) -> str:

@@ -110,10 +110,14 @@ def weekly_metrics(
 ) -> DataFrame:
     """Metrics of the latest ``target_weeks`` weeks, or of all weeks from ``start_week`` on.
 
-    Only rows of the latest ``warmup_days`` are read; raise it to rebuild older weeks.
+    Rows are read from ``warmup_days`` before the latest date, or before ``start_week`` if that
+    is earlier, so that the first week asked for has its averages.
     """
     latest = raw.select(F.max("date")).scalar()
-    in_window = raw.filter(F.col("date") >= F.date_sub(latest, warmup_days))
+    first = F.date_sub(latest, warmup_days)
+    if start_week is not None:
+        first = F.least(first, F.date_sub(week_start(F.lit(start_week).cast("date")), warmup_days))
+    in_window = raw.filter(F.col("date") >= first)
     rows = weekly_history(in_window, calendar, tiebreak)
     if start_week is None:
         # Every completed week has bars, so the latest bars are those of the latest weeks.

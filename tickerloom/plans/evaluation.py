@@ -63,7 +63,7 @@ def _(spark, sf):
 
 _PIT = """
 SELECT d.gvkey, d.iid, d.snapshot_date, x.valid AS valid_count, x.passed AS pass_count
-FROM (SELECT gvkey, iid, snapshot_date FROM bt_daily WHERE volume_ratio >= 1.3) d,
+FROM (SELECT gvkey, iid, snapshot_date FROM bt_daily) d,
 LATERAL (SELECT count(*) AS valid, count(*) FILTER (WHERE rev >= -0.1 AND inc >= -0.1) AS passed FROM (
   SELECT {p}_revenue_growth_yoy AS rev, {p}_operating_income_growth_yoy AS inc, row_number() OVER (ORDER BY {o}) AS k
   FROM {p} h WHERE h.gvkey = d.gvkey AND h.datadate <= d.snapshot_date AND has_valid_{p}_growth_pair) WHERE k <= {n}) x
@@ -71,7 +71,7 @@ WHERE x.valid = {n} AND x.passed = {n}"""
 
 
 def _pit(spark, sf, period: str, n: int, order):
-    signals = layer(spark, sf, "bt_daily").filter("volume_ratio >= 1.3")
+    signals = layer(spark, sf, "bt_daily")
     intervals = backtest.point_in_time_passes(
         growth.growth_serving(layer(spark, sf, period), period),
         f"{period}_revenue_growth",
@@ -235,22 +235,40 @@ def _(spark, sf):
     )
 
 
+RUN_DATES = ("latest_price_date", "high_price_date", "low_price_date", "return_6m_date", "return_1y_date", "return_2y_date")
+RUN_VALUES = (
+    *("selected_price", "latest_price", "latest_adjusted_price", "high_price", "low_price", "price_6m", "price_1y", "price_2y"),
+    *("return_pct", "max_return_pct", "max_drawdown_pct", "return_6m_pct", "return_1y_pct", "return_2y_pct"),
+)
+
+
 @query(
     "c19_run_grid",
-    "run_name start_date end_date parameter_set_count:int status outcome_count",
-    f"SELECT 'grid' AS run_name, DATE '{START}' AS start_date, DATE '{END}' AS end_date, {len(GRID)} AS parameter_set_count, "
-    "'succeeded' AS status, count(*) AS outcome_count FROM outcomes",
+    "run_name status parameter_set_count:int logged_outcomes:long parameter_set_id:long screen_type outcome_count trading_days:long "
+    + " ".join(f"n_{c}:long last_{c}" for c in RUN_DATES)
+    + " "
+    + " ".join(f"n_{c}:long sum_{c}:float" for c in RUN_VALUES),
+    f"SELECT 'grid' AS run_name, 'succeeded' AS status, {len(GRID)} AS parameter_set_count, "
+    "(SELECT count(*) FROM outcomes) AS logged_outcomes, parameter_set_id, screen_type, count(*) AS outcome_count, "
+    "sum(trading_days_after_selection) AS trading_days, "
+    + ", ".join(f"count({c}) AS n_{c}, max({c}) AS last_{c}" for c in RUN_DATES)
+    + ", "
+    + ", ".join(f"count({c}) AS n_{c}, sum({c}) AS sum_{c}" for c in RUN_VALUES)
+    + " FROM outcomes GROUP BY parameter_set_id, screen_type",
 )
 def run_grid(spark, sf):
-    """The whole backtest from raw rows to outcomes, as one run-log row."""
+    """The whole backtest from raw rows to stored outcomes, logged, and read back from the store."""
+    from ..sources import sinks
     from ..sources.workspace import materialize, workspace
     from .layers import build_annual, build_quarterly
 
     folder = workspace(spark)
-    daily = materialize(build_bt_daily(spark, sf), "daily", folder)
-    weekly = materialize(backtest.weekly_features(daily), "weekly", folder)
-    selections = materialize(
-        backtest.select_signals(
+    store, log = f"{folder}/outcomes", f"{folder}/runs"
+
+    def work() -> int:
+        daily = materialize(build_bt_daily(spark, sf), "daily", folder)
+        weekly = materialize(backtest.weekly_features(daily), "weekly", folder)
+        selections = backtest.select_signals(
             daily,
             weekly,
             growth.growth_serving(build_annual(spark, sf), "annual"),
@@ -258,12 +276,21 @@ def run_grid(spark, sf):
             GRID,
             ("datadate", "fyear"),
             QUARTERLY_ORDER,
-        ),
-        "selections",
-        folder,
+        )
+        selections = materialize(selections, "selections", folder)
+        sinks.write_sets(backtest.price_outcomes(selections, daily, folder), store)
+        return spark.read.parquet(store).count()
+
+    backtest.recorded_run(spark, log, "grid", START, END, len(GRID), work)
+    run = backtest.run_log(spark.read.parquet(log)).withColumn("logged_outcomes", F.col("outcome_count"))
+    totals = spark.read.parquet(store).groupBy("parameter_set_id", "screen_type").agg(
+        F.count("*").alias("outcome_count"),
+        F.sum("trading_days_after_selection").alias("trading_days"),
+        *[x for c in RUN_DATES for x in (F.count(c).alias(f"n_{c}"), F.max(c).alias(f"last_{c}"))],
+        *[x for c in RUN_VALUES for x in (F.count(c).alias(f"n_{c}"), F.sum(c).alias(f"sum_{c}"))],
     )
-    outcomes = backtest.price_outcomes(selections, daily, folder)
-    return backtest.run_log(outcomes, "grid", START, END, GRID)
+    # The log of this run is one row.
+    return totals.join(F.broadcast(run.select("run_name", "status", "parameter_set_count", "logged_outcomes")))
 
 
 # --- reports --------------------------------------------------------------------------

@@ -470,11 +470,11 @@ def weekly_metrics(spark, sf):
 @query(
     "c04_weekly_metrics_from_week",
     WEEKLY_COLUMNS,
-    f"SELECT *, {_AS_OF} FROM recent_weekly WHERE week_start_date >= date_trunc('week', DATE '2001-06-13')",
+    f"SELECT *, {_AS_OF} FROM early_weekly WHERE week_start_date >= date_trunc('week', DATE '1996-06-12')",
 )
 def _(spark, sf):
     raw = t.raw_daily(spark, sf)
-    return weekly.weekly_metrics(raw, start_week="2001-06-13", tiebreak=t.TIEBREAK)
+    return weekly.weekly_metrics(raw, start_week="1996-06-12", tiebreak=t.TIEBREAK)
 
 
 @query(

@@ -347,13 +347,19 @@ def _(spark, sf):
     "s23_replace_date_window",
     "date row_count replaced:long",
     "SELECT date, count(*) AS row_count, CASE WHEN date BETWEEN DATE '1999-01-01' AND DATE '1999-03-31' THEN count(*) ELSE 0 END AS replaced "
-    "FROM daily GROUP BY date",
+    "FROM daily WHERE year(date) = 1999 AND date <> DATE '1999-02-03' GROUP BY date",
 )
 def _(spark, sf):
-    rows = layer(spark, sf, "daily").select("date", "gvkey", "iid").withColumn("load", F.lit(0))
-    first, last = F.lit("1999-01-01").cast("date"), F.lit("1999-03-31").cast("date")
-    new = rows.filter(F.col("date").between(first, last)).withColumn("load", F.lit(1))
-    merged = sinks.replace_date_window(rows, new, "date")
+    """A stored table of which the dates of one quarter are loaded anew, read back."""
+    first, last = "1999-01-01", "1999-03-31"
+    path = f"{workspace(spark)}/daily"
+    in_1999 = F.col("date").between(F.lit("1999-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
+    rows = layer(spark, sf, "daily").filter(in_1999).select("date", "gvkey", "iid")
+    sinks.write_daily(rows.withColumn("load", F.lit(0)), path)
+    odd = F.col("date") != F.lit("1999-02-03").cast("date")  # a day that the new load lacks
+    new = rows.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")) & odd)
+    sinks.store_date_window(new.withColumn("load", F.lit(1)), path, first, last)
+    merged = lake.read_parquet(spark, path, merge=False)
     return merged.groupBy("date").agg(F.count("*").alias("row_count"), F.sum("load").alias("replaced"))
 
 
@@ -366,7 +372,11 @@ def _(spark, sf):
     rows = master(spark, sf).select("gvkey", "iid", "last_seen_date", "is_active")
     target = rows.withColumn("is_active", F.lit(True))
     updates = rows.filter("last_seen_date >= DATE '2001-10-15'")
-    return sinks.deactivate_then_upsert(target, updates, ["gvkey", "iid"])
+    path = f"{workspace(spark)}/master"
+    sinks.write_parquet(target, path)
+    stored = lake.read_parquet(spark, path, merge=False)
+    sinks.replace_table(sinks.deactivate_then_upsert(stored, updates, ["gvkey", "iid"]), path)
+    return lake.read_parquet(spark, path, merge=False)
 
 
 @query(
@@ -381,7 +391,10 @@ def _(spark, sf):
     rows = layer(spark, sf, "outcomes").select(*columns).withColumn("run", F.lit(0))
     new = rows.filter("parameter_set_id BETWEEN 40 AND 60").withColumn("run", F.lit(1))
     replaced = spark.range(40, 71).select(F.col("id").alias("parameter_set_id"))
-    merged = sinks.replace_sets(rows, new, replaced)
+    path = f"{workspace(spark)}/outcomes"
+    sinks.write_parquet(rows, path)
+    sinks.replace_table(sinks.replace_sets(lake.read_parquet(spark, path, merge=False), new, replaced), path)
+    merged = lake.read_parquet(spark, path, merge=False)
     return merged.groupBy("parameter_set_id").agg(
         F.count("*").alias("row_count"), F.sum("run").alias("rerun")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Vendor column -> our column.
@@ -88,10 +88,12 @@ def latest_trading_dates(secd: DataFrame, lookback_days: int = 10) -> DataFrame:
 def ingest_latest(secd: DataFrame, lookback_days: int = 10) -> DataFrame:
     """Daily rows of the latest trading dates, normalised.
 
-    The dates are ``lookback_days`` rows by construction, so broadcasting them is bounded.
+    The first of the dates also bounds the scan, which the source can apply by itself.  The dates are ``lookback_days`` rows by construction, so broadcasting them is bounded.
     """
     dates = latest_trading_dates(secd, lookback_days).withColumnRenamed("datadate", "date")
-    return normalise_daily(daily_rows(secd).join(F.broadcast(dates), "date", "left_semi"))
+    first = latest_trading_dates(secd, lookback_days).select(F.min("datadate")).scalar()
+    recent = secd.filter(F.col("datadate") >= first)
+    return normalise_daily(daily_rows(recent).join(F.broadcast(dates), "date", "left_semi"))
 
 
 def ingest_date(secd: DataFrame, day: dt.date | str) -> DataFrame:
@@ -159,6 +161,11 @@ def with_names_in_force(
     return prices.join(right, match).drop("_key")
 
 
+def _within_year(date: str, year: int) -> Column:
+    """A year as bounds on the date itself, which a source can push down."""
+    return (F.col(date) >= F.lit(dt.date(year, 1, 1))) & (F.col(date) < F.lit(dt.date(year + 1, 1, 1)))
+
+
 def ingest_archive(
     prices: DataFrame,
     names: DataFrame,
@@ -167,7 +174,7 @@ def ingest_archive(
     share_codes: Sequence[int] = (10, 11),
 ) -> DataFrame:
     """One year of the archived source with the names in force."""
-    rows = prices.filter(F.year("date") == year)
+    rows = prices.filter(_within_year("date", year))
     listed = names.filter((F.col("exchcd") == exchange) & F.col("shrcd").isin(*share_codes))
     return with_names_in_force(rows, listed).drop("namedt", "nameenddt")
 
@@ -182,7 +189,7 @@ def ingest_archive_v2(
 ) -> DataFrame:
     """One year of the archived v2 source: type filters and renames."""
     rows = prices.filter(
-        (F.year("dlycaldt") == year)
+        _within_year("dlycaldt", year)
         & (F.col("primaryexch") == exchange)
         & (F.col("sharetype") == share_type)
         & (F.col("securitytype") == security_type)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,8 +29,9 @@ def read_parquet(
 
 def read_dual_layout(yearly: DataFrame, dated: DataFrame, cutoff_year: int, date: str = "date") -> DataFrame:
     """Yearly history up to ``cutoff_year`` plus date partitions after it, without overlap."""
-    old = yearly.filter(F.year(date) <= cutoff_year)
-    new = dated.filter(F.year(date) > cutoff_year)
+    first_after = F.lit(dt.date(cutoff_year + 1, 1, 1))
+    old = yearly.filter(F.col(date) < first_after)
+    new = dated.filter(F.col(date) >= first_after)
     return old.unionByName(new, allowMissingColumns=True)
 
 

@@ -151,15 +151,60 @@ def upsert_parameters(target: DataFrame, grid: DataFrame, key: Sequence[str]) ->
     return upsert(target, numbered.select(*target.columns), key, preserve=("parameter_set_id",))
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrite a table that ``df`` may itself read: write aside, then swap by rename."""
+class SwapError(RuntimeError):
+    """A table could not be put in place; the table before it is still there."""
+
+
+def replace_table(df: DataFrame, path: str, rename=None) -> None:
+    """Overwrite a table that ``df`` may itself read: write aside, then swap by rename.
+
+    Renames report failure by their result.  If the new table cannot be moved in, the old one is
+    moved back; it is deleted only when the new one is in place.
+    """
     spark = df.sparkSession
     tag = uuid.uuid4().hex
     staged, retired = f"{path.rstrip('/')}.next-{tag}", f"{path.rstrip('/')}.old-{tag}"
     write_parquet(df, staged)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(hadoop(path)):
-        fs.rename(hadoop(path), hadoop(retired))
-    fs.rename(hadoop(staged), hadoop(path))
-    fs.delete(hadoop(retired), True)
+    rename = rename or (lambda a, b: fs.rename(hadoop(a), hadoop(b)))
+    had = fs.exists(hadoop(path))
+    if had and not rename(path, retired):
+        raise SwapError(f"{path} could not be set aside; the new table is at {staged}")
+    if not rename(staged, path):
+        if had and not rename(retired, path):
+            raise SwapError(f"{path} is at {retired} and could not be moved back; the new table is at {staged}")
+        raise SwapError(f"{staged} could not be moved to {path}, which is as it was")
+    if had:
+        fs.delete(hadoop(retired), True)
+
+
+def store_date_window(new: DataFrame, path: str, first: str, last: str, date: str = "date") -> None:
+    """Replace the dates ``first`` to ``last`` of a date-partitioned table by ``new``.
+
+    Partitions that ``new`` has are overwritten in one commit; dates of the window that it does
+    not have are dropped afterwards.  Dates outside the window must not occur in ``new``.
+    """
+    bounds = F.col(date).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+    checked = new.withColumn(
+        date, F.when(bounds, F.col(date)).otherwise(F.raise_error(F.lit(f"a date outside {first} to {last}")).cast("date"))
+    )
+    write_daily(checked, path, date)
+    spark = new.sparkSession
+    stored = spark.read.parquet(path)
+    parts = stored.filter(bounds).select("year", "month", date).distinct()
+    stale = parts.join(new.select(date).distinct(), date, "left_anti").collect()  # one row per day of the window
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for r in stale:
+        fs.delete(hadoop(f"{path}/year={r['year']}/month={int(r['month']):02d}/{date}={r[date]}"), True)
+
+
+def append_event(spark: SparkSession, path: str, event: DataFrame) -> None:
+    """Add rows to a log; earlier rows are never rewritten."""
+    event.coalesce(1).write.mode("append").option("compression", "zstd").parquet(path)
+
+
+def write_sets(df: DataFrame, path: str, key: str = "parameter_set_id") -> None:
+    """Replace exactly the parameter sets that occur in ``df``."""
+    write_partitions(df, path, [key], sort_by=("screen_type", *SECURITY))
