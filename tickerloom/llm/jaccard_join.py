@@ -5,7 +5,7 @@ n-grams are in random order, and two sets that link share at least T of their sm
 (``shared_least``).  What has fewer shared hashes links with nothing; the rest is grouped by
 rare shared hashes into parts that hold all links, and each part is searched for T
 occurrences with inverted lists over whole sets: short lists are merged with a heap, long
-ones are probed by binary search, and a pair links by its exact overlap.
+ones are probed by binary search (or counted, where they are too many to be set aside), and a pair links by its exact overlap.
 
 Links inside a component already found add nothing and are not looked for, so copies of one
 text that all differ a little cost a search each and not a pair each.
@@ -32,6 +32,10 @@ WORDS, PERCENT = 3, 90
 SHORT = 8
 #: Bytes of sets that one search holds; larger parts are searched block against block.
 PART_BYTES = 16 << 20
+#: Most bits of the bitmap of ids (16 MB in each executor).
+MOST_BITS = 1 << 27
+#: Entries of lists that can be counted in the time of one probe.
+PROBE = 24
 
 _UPPER = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"))
 
@@ -95,33 +99,50 @@ class Lists:
         self.ranks = [rank[e - k : e] for e, k in zip(ends.tolist(), self.sizes.tolist(), strict=True)]
 
     def occurrences(self, query: int, least: int, wanted: np.ndarray) -> list[tuple[int, int]]:
-        """(set, overlap) of the ``wanted`` sets that share ``least`` elements with one set."""
+        """(set, overlap) of the ``wanted`` sets that share ``least`` elements with one set.
+
+        Up to ``least - 1`` of the long lists are set aside: a set in question is then in the
+        others ``least`` less their number times.  Short lists are merged with a heap; a long
+        one that could not be set aside is counted.  The lists set aside are probed for each
+        set in question, or counted where that reads less.
+        """
         ranks = self.ranks[query]
         length = self.start[ranks + 1] - self.start[ranks]
         ranks, length = ranks[length > 1], length[length > 1]
         if len(ranks) < least:
             return []
+        others = np.flatnonzero(wanted)
+        if len(others) * len(ranks) * PROBE < length.sum():
+            return self._complete(others, np.zeros(self.n, np.int64), ranks, least)
         order = np.argsort(length, kind="stable")
+        ranks, length = ranks[order], length[order]
         aside = min(least - 1, int((length > SHORT).sum()))
-        short, long_ = ranks[order[: len(ranks) - aside]], ranks[order[len(ranks) - aside :]]
-        lists = []
-        for r in short:
-            found = self.sets[self.start[r] : self.start[r + 1]]
-            found = found[wanted[found]]
-            if len(found):
-                lists.append(found.tolist())
-        probes = np.sort(long_) * np.int64(self.n)
-        out = []
-        for other, hits in groupby(heapq.merge(*lists)):
-            count = sum(1 for _ in hits)
-            if count + aside < least:
-                continue
-            if aside:
-                at = np.searchsorted(self.keys, probes + other)
-                count += int((self.keys[np.minimum(at, len(self.keys) - 1)] == probes + other).sum())
-            if count >= least:
-                out.append((other, count))
-        return out
+        merged, probed = ranks[: len(ranks) - aside], ranks[len(ranks) - aside :]
+        few = np.searchsorted(length[: len(merged)], SHORT, "right")
+        count = self._counted(merged[few:])
+        for other, hits in groupby(heapq.merge(*(self.sets[self.start[r] : self.start[r + 1]].tolist() for r in merged[:few]))):
+            count[other] += sum(1 for _ in hits)
+        found = np.flatnonzero(wanted & (count >= max(1, least - aside)))
+        return self._complete(found, count, probed, least)
+
+    def _counted(self, ranks: np.ndarray) -> np.ndarray:
+        """How many of these lists each set is in."""
+        lists = [self.sets[self.start[r] : self.start[r + 1]] for r in ranks]
+        return np.bincount(np.concatenate(lists), minlength=self.n) if lists else np.zeros(self.n, np.int64)
+
+    def _complete(self, found: np.ndarray, count: np.ndarray, ranks: np.ndarray, least: int) -> list[tuple[int, int]]:
+        """The sets among ``found`` whose count with these lists reaches ``least``."""
+        if not len(found):
+            return []
+        total = count[found]
+        if len(found) * len(ranks) * PROBE < (self.start[ranks + 1] - self.start[ranks]).sum():
+            probes = (np.sort(ranks) * np.int64(self.n))[:, None] + found
+            at = np.minimum(np.searchsorted(self.keys, probes.ravel()), len(self.keys) - 1)
+            total = total + (self.keys[at] == probes.ravel()).reshape(probes.shape).sum(0)
+        elif len(ranks):
+            total = total + self._counted(ranks)[found]
+        kept = total >= least
+        return list(zip(found[kept].tolist(), total[kept].tolist(), strict=True))
 
 
 def search(sets: list[np.ndarray], sides: np.ndarray, percent: int, across: bool) -> list[tuple[int, int]]:
@@ -173,9 +194,10 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     t_of = lambda n: F.least(alpha(n), F.floor((n - alpha(n)) / 2) + 2)
     t_least = t_of(alpha(F.col("n")))
     by_hash = Window.partitionBy("h")
-    hashes = one.select("rep", "n", "k1", "k2", F.explode("prefix").alias("h"))
+    hashes = one.select("rep", F.explode("prefix").alias("h"))
     met = hashes.select("*", F.min("rep").over(by_hash).alias("low"), F.max("rep").over(by_hash).alias("high")).filter("low <> high")
-    enough = met.groupBy("rep", "n", "k1", "k2").agg(F.collect_set("h").alias("hs")).filter(F.size("hs") >= t_least)
+    narrow = usable.select(F.col("doc_id").alias("rep"), "n", "k1", "k2").join(classes, ["k1", "k2", "rep"]).distinct()
+    enough = met.groupBy("rep").agg(F.collect_set("h").alias("hs")).join(narrow, "rep").filter(F.size("hs") >= t_least)
     enough = materialize(enough, "meeting-sets")
 
     # Rarest first, the hashes but the last T - 1 must hold one that a partner's also hold.
@@ -196,41 +218,56 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     return joined.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"))
 
 
+def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose doc_id may be in ``ids``: all that are, and a few others.
+
+    A bitmap of hashed ids, of at most ``MOST_BITS`` bits, spares most other texts a shuffle.
+    With so many ids that it fills up it spares none, and nothing else changes.
+    """
+    count = ids.count()
+    bits = min(MOST_BITS, 1 << max(10, (16 * count).bit_length()))
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    slots = ids.select(slot("rep").alias("slot"))
+    one = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    filled = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
+    bitmap = np.zeros(bits // 64, np.int64)
+    bitmap[filled.column("word").to_numpy()] = filled.column("bits").to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(np.unpackbits(bitmap.view(np.uint8), bitorder="little").astype(bool))
+
+    def run(batches):
+        for batch in batches:
+            slots = batch.column("slot").to_numpy(zero_copy_only=False)
+            yield batch.select(["doc_id", "text"]).filter(pa.array(shared.value[slots]))
+
+    known = texts.filter("doc_id IS NOT NULL").select("doc_id", "text", slot("doc_id").alias("slot"))
+    return known.mapInArrow(run, "doc_id long, text string")
+
+
 def _search_parts(texts: DataFrame, parts: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links that join the components of all parts."""
+    """(a, b): links that join the components of all parts.
+
+    Texts travel and not their sets, which are larger and do not compress.
+    """
     weight = parts.groupBy("part").agg(F.ceil(F.sum("n") * 8 / F.lit(float(PART_BYTES))).alias("blocks"))
     placed = parts.join(weight, "part").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     wanted = placed.select("rep", "part", "k1", "k2", "blocks", "own")
-    read = texts.join(wanted, texts["doc_id"] == wanted["rep"]).drop("doc_id")
-    set_schema = pa.schema([("rep", pa.int64()), ("part", pa.int64()), ("blocks", pa.int64()), ("own", pa.int64()), ("elements", pa.binary())])
-
-    def make(batches):
-        for batch in batches:
-            for piece in pieces(batch):
-                keep, sets = [], []
-                keys = zip(piece.column("text").to_pylist(), piece.column("k1").to_pylist(), piece.column("k2").to_pylist(), strict=True)
-                for i, (text, k1, k2) in enumerate(keys):
-                    s = shingle_set(words_of(text), words)
-                    if set_key(s) == (k1, k2):  # another row may have the same doc_id
-                        keep.append(i)
-                        sets.append(s.tobytes())
-                kept = piece.take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in ("rep", "part", "blocks", "own")), pa.array(sets, pa.binary())], schema=set_schema)
-
-    sets = read.select("text", "k1", "k2", "rep", "part", "blocks", "own").mapInArrow(
-        make, "rep long, part long, blocks long, own long, elements binary"
-    )
+    read = _only_wanted(texts, parts.select("rep")).join(wanted, F.col("doc_id") == F.col("rep")).drop("doc_id")
     others = F.when(F.col("blocks") > 1, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))
-    dealt = sets.select("*", F.explode(others).alias("other"))
-    dealt = dealt.select("part", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "rep", "elements")
+    dealt = read.select("*", F.explode(others).alias("other"))
+    dealt = dealt.select("part", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "rep", "k1", "k2", "text")
 
     def find(table: pa.Table) -> pa.Table:
-        reps, at = np.unique(table.column("rep").to_numpy(), return_index=True)
-        elements = table.column("elements").to_pylist()
-        sets = [np.frombuffer(elements[i], np.uint64) for i in at]
+        few_collections()
+        sets: dict[int, np.ndarray] = {}
+        sides: dict[int, int] = {}
+        columns = (table.column(c) for c in ("rep", "own", "k1", "k2", "text"))
+        for rep, own, k1, k2, text in zip(*columns, strict=True):
+            s = shingle_set(words_of(text.as_py()), words)
+            if set_key(s) == (k1.as_py(), k2.as_py()):  # another row may have the same doc_id
+                sets[rep.as_py()], sides[rep.as_py()] = s, own.as_py()
         across = table.column("one")[0].as_py() != table.column("two")[0].as_py()
-        links = search(sets, table.column("own").to_numpy()[at], percent, across)
-        a, b = zip(*links, strict=True) if links else ((), ())
-        return pa.table({"a": pa.array(reps[list(a)], pa.int64()), "b": pa.array(reps[list(b)], pa.int64())})
+        reps = sorted(sets)
+        links = search([sets[r] for r in reps], np.array([sides[r] for r in reps]), percent, across) if reps else []
+        return pa.table({"a": pa.array([reps[i] for i, _ in links], pa.int64()), "b": pa.array([reps[j] for _, j in links], pa.int64())})
 
     return dealt.groupBy("part", "one", "two").applyInArrow(find, StructType.fromDDL("a long, b long"))
