@@ -19,6 +19,7 @@ so a passage that a third of all texts share is one entry per batch.
 
 from __future__ import annotations
 
+import gc
 import math
 import uuid
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
@@ -209,6 +210,12 @@ def _joined(lists: list[bytes] | None) -> np.ndarray:
     return np.sort(np.frombuffer(b"".join(lists or []), "<u4").astype(np.int64))
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps whose results are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class RepeatFinder:
     """The steps over a table of batches."""
 
@@ -298,7 +305,9 @@ class RepeatFinder:
                     if sent is not None:
                         yield pack(number, *sent)
 
-        return materialize(sort_names(rows.mapInArrow(run, _PACKED_DDL), wide, marked), name, self.folder)
+        made = materialize(sort_names(rows.mapInArrow(run, _PACKED_DDL), wide, marked), name, self.folder)
+        release(made.sparkSession)
+        return made
 
     def repeated(self) -> list[DataFrame]:
         """Tables of (batch, places): together, enough starts of repeated strings to cover all."""
@@ -338,10 +347,12 @@ class RepeatFinder:
             change = np.zeros(len(batch.data) + 1, np.int32)
             np.add.at(change, np.maximum(batch.begins[text], at - modulus + 1), 1)
             np.add.at(change, at + 1, -1)
-            near = (np.cumsum(change[:-1]) > 0) & batch.whole_starts(length)
-            return full(batch, np.flatnonzero(near))
+            near = np.flatnonzero((np.cumsum(change[:-1]) > 0) & batch.whole_starts(length))
+            return (near, batch.names(near, length, _FIRST), None, None, buckets) if len(near) else None
 
-        rest = self._names(self._with(shared, wanted), name_rest, True, False, "repeated-rest")
+        # Most of these strings are unique: short names find out, and full ones check the others.
+        likely = self._names(self._with(shared, wanted), name_rest, False, False, "likely-rest")
+        rest = self._names(self._with(likely), full, True, False, "repeated-rest")
         return [tuples, rest]
 
     def cut(self, as_text: bool) -> DataFrame:
