@@ -184,7 +184,7 @@ def screen_dynamic(
     annual: DataFrame,
     quarterly: DataFrame,
     master: DataFrame,
-    selected_date: dt.date | str | None = None,
+    selected_date: dt.date | str | Column | None = None,
     annual_growth: float = 0.10,
     quarterly_growth: float = 0.10,
     annual_years: int = 3,
@@ -199,6 +199,8 @@ def screen_dynamic(
     """User-parameterised screen over the serving snapshots, three-valued flags."""
     if selected_date is None:
         selected = daily.select(F.max("snapshot_date")).scalar()
+    elif isinstance(selected_date, Column):
+        selected = selected_date  # of one row, as a scalar subquery
     else:
         selected = F.lit(selected_date).cast("date")
     rows = daily.filter(F.col("snapshot_date") == selected)
