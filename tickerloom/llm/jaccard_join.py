@@ -23,9 +23,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.workspace import materialize
+from ..sources.workspace import materialize, workspace
 from .components import connected_components
-from .texts import few_collections, pieces, shingle_set
+from .texts import discard, few_collections, pieces, shingle_set
 
 WORDS, PERCENT = 3, 90
 #: Lists up to this length are merged; longer ones are probed where the count allows it.
@@ -184,10 +184,12 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     component.  Repeated rows and equal texts are in one component.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = materialize(shingle_prefixes(texts, words, percent), "shingle-prefixes")
+    folder = workspace(docs.sparkSession)
+    prefixes = materialize(shingle_prefixes(texts, words, percent), "shingle-prefixes", folder)
+    rows = materialize(prefixes.drop("prefix"), "set-keys", folder)
     usable = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = materialize(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
-    one = usable.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "doc_id"]).withColumnRenamed("doc_id", "rep")
+    one = prefixes.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "rep").join(classes, ["k1", "k2", "rep"])
 
     # The least T that any partner of a set of size n brings.
     alpha = lambda n: F.ceil(percent * n / F.lit(100.0))
@@ -198,7 +200,8 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     met = hashes.select("*", F.min("rep").over(by_hash).alias("low"), F.max("rep").over(by_hash).alias("high")).filter("low <> high")
     narrow = usable.select(F.col("doc_id").alias("rep"), "n", "k1", "k2").join(classes, ["k1", "k2", "rep"]).distinct()
     enough = met.groupBy("rep").agg(F.collect_set("h").alias("hs")).join(narrow, "rep").filter(F.size("hs") >= t_least)
-    enough = materialize(enough, "meeting-sets")
+    enough = materialize(enough, "meeting-sets", folder)
+    discard(docs.sparkSession, f"{folder}/shingle-prefixes")
 
     # Rarest first, the hashes but the last T - 1 must hold one that a partner's also hold.
     counted = enough.select("rep", "n", F.explode("hs").alias("h")).withColumn("df", F.count("*").over(by_hash)).filter("df > 1")

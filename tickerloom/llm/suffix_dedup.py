@@ -19,7 +19,6 @@ so a passage that a third of all texts share is one entry per batch.
 
 from __future__ import annotations
 
-import gc
 import math
 import uuid
 from collections.abc import Iterator
@@ -27,13 +26,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
 from ..sources.workspace import materialize, workspace
-from .texts import Rolling, few_collections, mix
+from .texts import Rolling, few_collections, mix, release
 
 LENGTH = 200
 #: A perfect difference set: each difference modulo 133 occurs once (fixed values).
@@ -210,12 +209,6 @@ def _joined(lists: list[bytes] | None) -> np.ndarray:
     return np.sort(np.frombuffer(b"".join(lists or []), "<u4").astype(np.int64))
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark's cleaner drop the shuffle files of steps whose results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 class RepeatFinder:
     """The steps over a table of batches."""
 

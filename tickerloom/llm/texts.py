@@ -39,6 +39,19 @@ def pieces(batch: pa.RecordBatch, column: str = "text", limit: int = PIECE_BYTES
         yield batch.slice(int(low), int(high - low))
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner drop the shuffle files of steps whose results are written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a scratch table that nothing reads any more, and the shuffle files behind it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    release(spark)
+
+
 def few_collections() -> None:
     """Lets Python look for reference cycles seldom: large memos hold none, and cost time."""
     gc.set_threshold(200_000, 20, 100)
