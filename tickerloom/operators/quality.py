@@ -61,14 +61,20 @@ def require_rows(df: DataFrame, table: str) -> None:
 def profile(
     df: DataFrame, distinct: Sequence[str] = (), ranges: Sequence[str] = (), nulls: Sequence[str] = ()
 ) -> DataFrame:
-    """Row count, distinct counts, ranges and NULL counts in one row."""
-    return df.agg(
+    """Row count, distinct counts, ranges and NULL counts in one row.
+
+    Each distinct count is an aggregate of its own over one column: several in one pass would
+    copy every row once per column.
+    """
+    rows = df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        *[F.count_distinct(c).alias(f"distinct_{c}") for c in distinct],
         *[F.min(c).alias(f"min_{c}") for c in ranges],
         *[F.max(c).alias(f"max_{c}") for c in ranges],
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in nulls],
     )
+    for c in distinct:
+        rows = rows.join(F.broadcast(df.agg(F.count_distinct(c).alias(f"distinct_{c}"))))  # one row each
+    return rows
 
 
 def exchange_histogram(daily: DataFrame) -> DataFrame:

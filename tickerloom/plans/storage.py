@@ -400,6 +400,26 @@ def _(spark, sf):
     )
 
 
+_KNOWN = "SELECT * FROM grid WHERE parameter_set_id IN (SELECT parameter_set_id FROM outcomes WHERE screen_type = 'A_H')"
+
+
+@query(
+    "s25_upsert_parameters",
+    "parameter_set_id:long parameter_set_name",
+    f"SELECT parameter_set_id, parameter_set_name FROM ({_KNOWN}) UNION ALL SELECT (SELECT coalesce(max(parameter_set_id), 0) FROM ({_KNOWN})) "
+    "+ row_number() OVER (ORDER BY annual_growth_pct, quarterly_growth_pct, annual_years, quarter_count, volume_ratio_threshold, "
+    f"volume_surge_min_days), parameter_set_name FROM grid WHERE parameter_set_id NOT IN (SELECT parameter_set_id FROM ({_KNOWN}))",
+)
+def _(spark, sf):
+    """The sets with confirmed outcomes are known and keep their ids; the rest of the grid is added."""
+    from ..operators.backtest import PARAMETER_KEY
+    from .evaluation import parameters
+
+    grid = parameters(spark)
+    confirmed = layer(spark, sf, "outcomes").filter("screen_type = 'A_H'").select("parameter_set_id").distinct()
+    return sinks.upsert_parameters(grid.join(confirmed, "parameter_set_id", "left_semi"), grid, PARAMETER_KEY)
+
+
 @query(
     "s26_layer_freshness",
     "layer latest_date row_count unique_gvkeys up_to_date",
