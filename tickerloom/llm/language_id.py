@@ -137,7 +137,7 @@ class Model:
     languages: list[str]
     #: Per order: sorted places, and log probabilities by language (NaN where unseen).
     entries: dict[int, tuple[np.ndarray, np.ndarray]]
-    #: Per order above 1: the same for contexts and their log back-off weights.
+    #: Per order the same for contexts and their log back-off weights.
     contexts: dict[int, tuple[np.ndarray, np.ndarray]]
     temperature: float = 0.1
     limits: np.ndarray = field(default_factory=lambda: np.zeros(0))
@@ -159,9 +159,8 @@ class Model:
             open_, seq = open_[left], seq[left]
             if not len(open_):
                 return out
-            if order > 1:
-                # Languages that have not seen the context back off at no cost.
-                back[open_] += np.nan_to_num(_found(self.contexts[order], place(seq >> np.uint64(16)), n))
+            # Languages that have not seen the context back off at no cost.
+            back[open_] += np.nan_to_num(_found(self.contexts[order], place(seq >> np.uint64(16)), n))
         return np.where(np.isnan(out), back + _FLOOR, out).astype(np.float32)
 
     def cross_entropies(self, texts: list[str | None]) -> np.ndarray:
@@ -184,7 +183,8 @@ class Model:
         """Language, probability and rejection of each row of cross-entropies."""
         known = ~np.isnan(entropies).all(1) if len(self.languages) else np.zeros(len(entropies), bool)
         best = np.zeros(len(entropies), int)
-        best[known] = entropies[known].argmin(1)
+        if known.any():
+            best[known] = entropies[known].argmin(1)
         score = np.zeros(len(entropies))
         if known.any():
             x = entropies[known]
@@ -237,8 +237,7 @@ def _smoothed(counts: DataFrame) -> DataFrame:
         p = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("weight") * rest
         lower = joined.select("lang", "gram", p.alias("p"))
         parts.append(lower.select(F.lit(order).alias("order"), F.lit("entry").alias("kind"), "lang", place_sql(F.col("gram")).alias("place"), F.log("p").alias("value")))
-        if order > 1:
-            parts.append(after.select(F.lit(order).alias("order"), F.lit("context").alias("kind"), "lang", place_sql(F.col("context")).alias("place"), F.log("weight").alias("value")))
+        parts.append(after.select(F.lit(order).alias("order"), F.lit("context").alias("kind"), "lang", place_sql(F.col("context")).alias("place"), F.log("weight").alias("value")))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionAll(part)
@@ -272,7 +271,7 @@ def train(docs: DataFrame) -> Model:
     model = Model(
         languages,
         {o: arrays(kind & (order == o)) for o in range(1, ORDER + 1)},
-        {o: arrays(~kind & (order == o)) for o in range(2, ORDER + 1)},
+        {o: arrays(~kind & (order == o)) for o in range(1, ORDER + 1)},
     )
     if languages:
         calibrate(model, docs)
