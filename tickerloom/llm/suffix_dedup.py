@@ -35,8 +35,9 @@ from ..sources.workspace import materialize, workspace
 from .texts import Rolling, few_collections, mix, release
 
 LENGTH = 200
-#: A perfect difference set: each difference modulo 133 occurs once (fixed values).
-MODULUS, COVER = 133, (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
+#: A perfect difference set, the powers of two: each difference modulo 73 occurs once.
+MODULUS = 73
+COVER = tuple(sorted(pow(2, i, MODULUS) for i in range(9)))
 #: Bytes of text in a batch, and of names in one sorting task.
 BATCH_BYTES, SORT_BYTES = 4 << 20, 4 << 20
 #: Bytes hashed at once.
@@ -299,7 +300,6 @@ class RepeatFinder:
                         yield pack(number, *sent)
 
         made = materialize(sort_names(rows.mapInArrow(run, _PACKED_DDL), wide, marked), name, self.folder)
-        release(made.sparkSession)
         return made
 
     def repeated(self) -> list[DataFrame]:
@@ -310,7 +310,9 @@ class RepeatFinder:
             at = batch.sampled(width, modulus, cover)
             return (at, batch.names(at, width, _FIRST), None, None, buckets) if len(at) else None
 
+        spark = self.batches.sparkSession
         shared = self._names(self._with(), name_sampled, False, False, "shared-names")
+        release(spark)
 
         def full(batch: Batch, at: np.ndarray):
             return (at, batch.names(at, length, _FIRST), batch.names(at, length, _SECOND), None, buckets) if len(at) else None
@@ -319,6 +321,7 @@ class RepeatFinder:
             return full(batch, at[batch.whole_starts(length)[at]]) if len(at) else None
 
         tuples = self._names(self._with(shared), name_tuples, True, False, "repeated-tuples")
+        release(spark)
 
         def name_open(batch: Batch, at: np.ndarray, known: np.ndarray):
             if not len(at):
@@ -330,6 +333,7 @@ class RepeatFinder:
             return at, batch.names(at, width, _FIRST), None, marks.astype(np.float64), buckets
 
         wanted = self._names(self._with(shared, tuples), name_open, False, True, "open-names")
+        release(spark)
 
         def name_rest(batch: Batch, at: np.ndarray, chosen: np.ndarray):
             if not len(chosen):
@@ -345,7 +349,9 @@ class RepeatFinder:
 
         # Most of these strings are unique: short names find out, and full ones check the others.
         likely = self._names(self._with(shared, wanted), name_rest, False, False, "likely-rest")
+        release(spark)
         rest = self._names(self._with(likely), full, True, False, "repeated-rest")
+        release(spark)
         return [tuples, rest]
 
     def cut(self, as_text: bool) -> DataFrame:
