@@ -19,13 +19,13 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.workspace import materialize, workspace
 from .components import connected_components
-from .texts import discard, few_collections, pieces, shingle_set
+from .texts import discard, few_collections, pieces, release, shingle_set
 
 WORDS, PERCENT = 3, 90
 #: Lists up to this length are merged; longer ones are probed where the count allows it.
@@ -188,37 +188,50 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     prefixes = materialize(shingle_prefixes(texts, words, percent), "shingle-prefixes", folder)
     rows = materialize(prefixes.drop("prefix"), "set-keys", folder)
     usable = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = materialize(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes")
-    one = prefixes.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "rep").join(classes, ["k1", "k2", "rep"])
+    classes = materialize(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes", folder)
+    narrow = usable.select(F.col("doc_id").alias("rep"), "n", "k1", "k2").join(classes, ["k1", "k2", "rep"]).distinct()
+    enough = materialize(_meeting_sets(prefixes, classes, narrow, percent), "meeting-sets", folder)
+    discard(docs.sparkSession, f"{folder}/shingle-prefixes")
+    parts = materialize(_parts(enough, percent), "parts", folder)
+    release(docs.sparkSession)
+    links = materialize(_search_parts(texts, parts, words, percent), "found-links", folder)
+    release(docs.sparkSession)
+    final = connected_components(links).withColumnRenamed("node", "rep")
+    labelled = classes.join(final, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+    joined = rows.select("doc_id", "n", "k1", "k2").join(labelled, ["k1", "k2"], "left")
+    found = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"))
+
 
-    # The least T that any partner of a set of size n brings.
+def _least_t(percent: int) -> Column:
+    """The least T that any partner of a set of size ``n`` brings."""
     alpha = lambda n: F.ceil(percent * n / F.lit(100.0))
-    t_of = lambda n: F.least(alpha(n), F.floor((n - alpha(n)) / 2) + 2)
-    t_least = t_of(alpha(F.col("n")))
+    n = alpha(F.col("n"))
+    return F.least(alpha(n), F.floor((n - alpha(n)) / 2) + 2)
+
+
+def _meeting_sets(prefixes: DataFrame, classes: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
+    """(rep, hs, n, k1, k2) of the classes that share enough hashes of their prefix with any other."""
     by_hash = Window.partitionBy("h")
-    hashes = one.select("rep", F.explode("prefix").alias("h"))
+    usable = prefixes.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "rep")
+    hashes = usable.join(classes, ["k1", "k2", "rep"]).select("rep", F.explode("prefix").alias("h"))
     met = hashes.select("*", F.min("rep").over(by_hash).alias("low"), F.max("rep").over(by_hash).alias("high")).filter("low <> high")
-    narrow = usable.select(F.col("doc_id").alias("rep"), "n", "k1", "k2").join(classes, ["k1", "k2", "rep"]).distinct()
-    enough = met.groupBy("rep").agg(F.collect_set("h").alias("hs")).join(narrow, "rep").filter(F.size("hs") >= t_least)
-    enough = materialize(enough, "meeting-sets", folder)
-    discard(docs.sparkSession, f"{folder}/shingle-prefixes")
+    return met.groupBy("rep").agg(F.collect_set("h").alias("hs")).join(narrow, "rep").filter(F.size("hs") >= _least_t(percent))
+
+
+def _parts(enough: DataFrame, percent: int) -> DataFrame:
+    """(rep, part, n, k1, k2): classes that may link are in one part.
 
-    # Rarest first, the hashes but the last T - 1 must hold one that a partner's also hold.
+    Of a class's hashes, rarest first, those but the last T - 1 must hold one that a partner's
+    also hold.
+    """
+    by_hash, t_least = Window.partitionBy("h"), _least_t(percent)
     counted = enough.select("rep", "n", F.explode("hs").alias("h")).withColumn("df", F.count("*").over(by_hash)).filter("df > 1")
     ranked = counted.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs")).filter(F.size("hs") >= t_least)
     routes = ranked.select("rep", F.explode(F.slice("hs", F.lit(1), (F.size("hs") - t_least + 1).cast("int"))).alias("x"))
-    routes = routes.select("rep", F.col("x.h").alias("h"))
-    star = routes.select(F.col("rep").alias("a"), F.min("rep").over(by_hash).alias("b"))
+    star = routes.select(F.col("rep").alias("a"), F.min("rep").over(Window.partitionBy("x.h")).alias("b"))
     parts = connected_components(star).withColumnRenamed("node", "rep").withColumnRenamed("component", "part")
-    parts = parts.join(enough.select("rep", "n", "k1", "k2"), "rep")
-    parts = materialize(parts, "parts")
-
-    links = materialize(_search_parts(texts, parts, words, percent), "found-links")
-    final = connected_components(links).withColumnRenamed("node", "rep")
-    labelled = classes.join(final, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
-    joined = rows.select("doc_id", "n", "k1", "k2").join(labelled, ["k1", "k2"], "left")
-    found = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"))
+    return parts.join(enough.select("rep", "n", "k1", "k2"), "rep")
 
 
 def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
