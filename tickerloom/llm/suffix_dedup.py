@@ -51,7 +51,7 @@ def difference_cover(length: int) -> tuple[int, tuple[int, ...]]:
     """A modulus below ``length`` and residues whose differences are all residues."""
     if length >= MODULUS + 50:
         return MODULUS, COVER
-    modulus = max(1, length // 2)
+    modulus = max(1, min(length // 2, MODULUS))
     cover, missing = [0], set(range(1, modulus))
     while missing:
         gain = lambda x: len(missing & {d for c in cover for d in ((x - c) % modulus, (c - x) % modulus)})  # noqa: B023, E731
@@ -116,43 +116,42 @@ class Batch:
 
 
 _PACKED = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("local", pa.bool_()), ("data", pa.binary())])
-_PLACES = pa.schema([("batch", pa.int64()), ("places", pa.binary())])
-_PACKED_DDL, _PLACES_DDL = "bucket long, batch long, local boolean, data binary", "batch long, places binary"
+_PACKED_DDL, _PLACES_DDL = "bucket long, batch long, local boolean, data binary", "batch long, places binary, ranges binary"
 
 
-def pack(batch: int, places: np.ndarray, h1: np.ndarray, h2: np.ndarray | None, marks: np.ndarray | None, buckets: int) -> pa.RecordBatch:
+def pack(batch: int, places: np.ndarray, h1: np.ndarray, h2: np.ndarray | None, ranges: np.ndarray | None, buckets: int) -> pa.RecordBatch:
     """Rows that send the names of a batch to their sorting tasks.
 
-    Each name is sent once, with its first place and a flag.  Without ``marks`` the flag says
-    that the name occurs again in the batch, whose places are all kept here; with ``marks`` it
-    says that one of its places is marked.
+    Each name is sent once, with its first place.  Without ``ranges`` a flag goes with it that
+    says that the name occurs again in the batch, whose places are all kept here.  With
+    ``ranges`` (first and last of each place, first above last for none) their union goes.
+    A name is its bucket, 32 bits of the first hash, and 32 bits of the second one if given.
     """
     order = np.argsort(h1, kind="stable") if h2 is None else np.lexsort((h2, h1))
     places, h1 = places[order], h1[order]
     h2 = None if h2 is None else h2[order]
     new = np.ones(len(places), bool)
     new[1:] = h1[1:] != h1[:-1] if h2 is None else (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-    group = np.cumsum(new) - 1
     first = np.flatnonzero(new)
-    if marks is None:
-        size = np.bincount(group, minlength=len(first))
-        flag = size > 1
-        kept = places[flag[group]]
+    kept = places[:0]
+    extra = [] if h2 is None else [(h2[first] >> np.uint64(32)).astype("<u4")]
+    sent = places[first].astype(np.uint32)
+    if ranges is None:
+        again = np.diff(np.append(first, len(places))) > 1
+        kept = places[again[np.cumsum(new) - 1]]
+        sent |= np.where(again, FLAG, np.uint32(0))
     else:
-        flag = np.bincount(group, marks[order], len(first)) > 0
-        kept = places[first[flag]]
-    sent = places[first].astype(np.uint32) | np.where(flag, FLAG, np.uint32(0))
+        low, high = ranges[order].T
+        extra += [np.minimum.reduceat(low, first).astype(np.uint8), np.maximum.reduceat(high, first).astype(np.uint8)]
     h1 = h1[first]
-    h2 = None if h2 is None else h2[first]
     shift = np.uint64(64 - (buckets - 1).bit_length()) if buckets > 1 else None
     bucket = (h1 >> shift).astype(np.int64) if shift is not None else np.zeros(len(h1), np.int64)
     edges = np.searchsorted(bucket, np.arange(buckets + 1))  # h1 ascends, and so do buckets
-    low = (h1 & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    columns = [(h1 & np.uint64(0xFFFFFFFF)).astype("<u4"), sent, *extra]
     numbers, data = [], []
     for b in np.flatnonzero(np.diff(edges)).tolist():
-        s = slice(edges[b], edges[b + 1])
         numbers.append(b)
-        data.append(low[s].tobytes() + sent[s].tobytes() + (b"" if h2 is None else h2[s].tobytes()))
+        data.append(b"".join(c[edges[b] : edges[b + 1]].tobytes() for c in columns))
     local = [False] * len(numbers)
     if len(kept):
         numbers.append(int(mix(np.array([batch], np.uint64))[0] % np.uint64(buckets)))
@@ -163,47 +162,68 @@ def pack(batch: int, places: np.ndarray, h1: np.ndarray, h2: np.ndarray | None,
     )
 
 
-def sort_names(packed: DataFrame, wide: bool, marked: bool) -> DataFrame:
-    """(batch, places) of names that occur in several batches, or with a mark anywhere."""
+def sort_names(packed: DataFrame, twice: bool, ranged: bool) -> DataFrame:
+    """(batch, places, ranges) of names that occur in several batches.
+
+    ``ranged``: of all names that have a range in any batch, with the union of their ranges.
+    """
+    types = ["<u4", "<u4", *(["<u4"] if twice else []), *(["u1", "u1"] if ranged else [])]
+    size = sum(np.dtype(t).itemsize for t in types)
 
     def run(table: pa.Table) -> pa.Table:
-        batches, out = [], []
-        low, places, high, owner = [], [], [], []
+        batches, out, out_ranges = [], [], []
+        held: list[list[np.ndarray]] = [[] for _ in types]
+        owner = []
         for batch, local, data in zip(*(table.column(c).to_pylist() for c in ("batch", "local", "data")), strict=True):
             if local:
                 batches.append(batch)
                 out.append(data)
+                out_ranges.append(b"")
                 continue
-            n = len(data) // (16 if wide else 8)
-            low.append(np.frombuffer(data, "<u4", n))
-            places.append(np.frombuffer(data, "<u4", n, 4 * n))
-            if wide:
-                high.append(np.frombuffer(data, "<u8", n, 8 * n))
+            n, at = len(data) // size, 0
+            for column, t in zip(held, types, strict=True):
+                column.append(np.frombuffer(data, t, n, at))
+                at += n * np.dtype(t).itemsize
             owner.append(np.full(n, batch, np.int64))
-        if low:
-            low, places, owner = np.concatenate(low), np.concatenate(places), np.concatenate(owner)
-            high = np.concatenate(high) if wide else None
-            order = np.lexsort((high, low)) if wide else np.argsort(low, kind="stable")
-            low, places, owner = low[order], places[order], owner[order]
-            new = np.ones(len(low), bool)
-            new[1:] = low[1:] != low[:-1]
-            if wide:
-                high = high[order]
-                new[1:] |= high[1:] != high[:-1]
-            group = np.cumsum(new) - 1
-            flagged = (places & FLAG) > 0
-            hit = (np.bincount(group, flagged) if marked else np.bincount(group) - 1) > 0
-            chosen = hit[group] & ~flagged
+        if owner:
+            columns, owner = [np.concatenate(c) for c in held], np.concatenate(owner)
+            names = columns[0].astype(np.uint64)
+            if twice:
+                names |= columns[2].astype(np.uint64) << np.uint64(32)
+            order = np.argsort(names, kind="stable")
+            names, owner, places = names[order], owner[order], columns[1][order]
+            first = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+            size_of = np.diff(np.append(first, len(names)))
+            if ranged:
+                low, high = (f.reduceat(c[order], first) for f, c in zip((np.minimum, np.maximum), columns[-2:], strict=True))
+                chosen = np.repeat(low <= high, size_of)
+                found = np.stack([np.repeat(low, size_of), np.repeat(high, size_of)], axis=1)[chosen]
+            else:
+                chosen = np.repeat(size_of > 1, size_of) & ((places & FLAG) == 0)
+                found = np.zeros((int(chosen.sum()), 0), np.uint8)
             owner, places = owner[chosen], places[chosen]
             order = np.argsort(owner, kind="stable")
-            owner, places = owner[order], places[order]
+            owner, places, found = owner[order], places[order], found[order]
             for b in np.unique(owner).tolist():
                 s = slice(*np.searchsorted(owner, [b, b + 1]))
                 batches.append(b)
                 out.append(places[s].tobytes())
-        return pa.table({"batch": pa.array(batches, pa.int64()), "places": pa.array(out, pa.binary())})
+                out_ranges.append(found[s].tobytes())
+        return pa.table({"batch": pa.array(batches, pa.int64()), "places": pa.array(out, pa.binary()), "ranges": pa.array(out_ranges, pa.binary())})
+
+    made = packed.groupBy("bucket").applyInArrow(run, _PLACES_DDL)
+    if not ranged:
+        return made.groupBy("batch").agg(F.collect_list("places").alias("places"))
+    # Places and ranges stay together, so that their order is the same.
+    return made.groupBy("batch").agg(F.collect_list(F.struct("places", "ranges")).alias("places"))
 
-    return packed.groupBy("bucket").applyInArrow(run, _PLACES_DDL).groupBy("batch").agg(F.collect_list("places").alias("places"))
+
+def _ranged(lists: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending places and their ranges."""
+    places = np.frombuffer(b"".join(x["places"] for x in lists or []), "<u4").astype(np.int64)
+    ranges = np.frombuffer(b"".join(x["ranges"] for x in lists or []), np.uint8).reshape(-1, 2)
+    order = np.argsort(places)
+    return places[order], ranges[order].astype(np.int64)
 
 
 def _joined(lists: list[bytes] | None) -> np.ndarray:
@@ -286,71 +306,83 @@ class RepeatFinder:
             out = out.join(x.withColumnRenamed("places", f"places{i}").hint("shuffle_hash"), "batch", "left")
         return out
 
-    def _names(self, rows: DataFrame, send, wide: bool, marked: bool, name: str) -> DataFrame:
+    def _names(self, rows: DataFrame, send, twice: bool, ranged: bool, name: str) -> DataFrame:
         """Runs ``send`` on each batch and its lists and sorts what it sends."""
+        buckets = self.buckets
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             few_collections()
             for rows in batches:
                 for i in range(rows.num_rows):
                     number, texts, *lists = (c[i].as_py() for c in rows.columns)
-                    batch = Batch(texts)
-                    sent = send(batch, *map(_joined, lists))
+                    sent = send(Batch(texts), *lists)
                     if sent is not None:
-                        yield pack(number, *sent)
+                        yield pack(number, *sent, buckets)
 
-        made = materialize(sort_names(rows.mapInArrow(run, _PACKED_DDL), wide, marked), name, self.folder)
-        return made
+        return materialize(sort_names(rows.mapInArrow(run, _PACKED_DDL), twice, ranged), name, self.folder)
 
     def repeated(self) -> list[DataFrame]:
         """Tables of (batch, places): together, enough starts of repeated strings to cover all."""
-        length, width, modulus, cover, buckets = self.length, self.width, self.modulus, self.cover, self.buckets
+        length, width, modulus, cover = self.length, self.width, self.modulus, self.cover
+        spark = self.batches.sparkSession
 
         def name_sampled(batch: Batch):
             at = batch.sampled(width, modulus, cover)
-            return (at, batch.names(at, width, _FIRST), None, None, buckets) if len(at) else None
+            return (at, batch.names(at, width, _FIRST), None, None) if len(at) else None
 
-        spark = self.batches.sparkSession
         shared = self._names(self._with(), name_sampled, False, False, "shared-names")
         release(spark)
 
         def full(batch: Batch, at: np.ndarray):
-            return (at, batch.names(at, length, _FIRST), batch.names(at, length, _SECOND), None, buckets) if len(at) else None
+            return (at, batch.names(at, length, _FIRST), batch.names(at, length, _SECOND), None) if len(at) else None
 
-        def name_tuples(batch: Batch, at: np.ndarray):
+        def name_tuples(batch: Batch, shared):
+            at = _joined(shared)
             return full(batch, at[batch.whole_starts(length)[at]]) if len(at) else None
 
         tuples = self._names(self._with(shared), name_tuples, True, False, "repeated-tuples")
         release(spark)
 
-        def name_open(batch: Batch, at: np.ndarray, known: np.ndarray):
+        def name_open(batch: Batch, shared, tuples):
+            """How far before each place the strings begin that are not covered: nearest, farthest."""
+            at = _joined(shared)
             if not len(at):
                 return None
-            open_ = np.concatenate([[0], np.cumsum(batch.open_starts(batch.covered(known, length), length))])
+            open_ = np.flatnonzero(batch.open_starts(batch.covered(_joined(tuples), length), length))
             text = np.searchsorted(batch.ends, at, "right")
-            low = np.maximum(batch.begins[text], at - modulus + 1)
-            marks = open_[at + 1] > open_[low]
-            return at, batch.names(at, width, _FIRST), None, marks.astype(np.float64), buckets
+            low = np.searchsorted(open_, np.maximum(batch.begins[text], at - modulus + 1))
+            high = np.searchsorted(open_, at, "right")
+            some = high > low
+            ranges = np.empty((len(at), 2), np.int64)
+            ranges[:] = 255, 0
+            ranges[some, 0] = at[some] - open_[high[some] - 1]
+            ranges[some, 1] = at[some] - open_[low[some]]
+            return at, batch.names(at, width, _FIRST), None, ranges
 
         wanted = self._names(self._with(shared, tuples), name_open, False, True, "open-names")
         release(spark)
 
-        def name_rest(batch: Batch, at: np.ndarray, chosen: np.ndarray):
+        def name_rest(batch: Batch, shared, wanted):
+            chosen, ranges = _ranged(wanted)
             if not len(chosen):
                 return None
+            at = _joined(shared)
             names = batch.names(at, width, _FIRST)
-            at = at[np.isin(names, names[np.searchsorted(at, chosen)])]
-            text = np.searchsorted(batch.ends, at, "right")
+            known = names[np.searchsorted(at, chosen)]  # the first place of each name in this batch
+            order = np.argsort(known)
+            known, ranges = known[order], ranges[order]
+            where = np.minimum(np.searchsorted(known, names), len(known) - 1)
+            hit = known[where] == names
+            at, ranges = at[hit], ranges[where[hit]]
+            begin = batch.begins[np.searchsorted(batch.ends, at, "right")]
+            low, high = np.maximum(begin, at - ranges[:, 1]), at - ranges[:, 0]
+            some = high >= low
             change = np.zeros(len(batch.data) + 1, np.int32)
-            np.add.at(change, np.maximum(batch.begins[text], at - modulus + 1), 1)
-            np.add.at(change, at + 1, -1)
-            near = np.flatnonzero((np.cumsum(change[:-1]) > 0) & batch.whole_starts(length))
-            return (near, batch.names(near, length, _FIRST), None, None, buckets) if len(near) else None
+            np.add.at(change, low[some], 1)
+            np.add.at(change, high[some] + 1, -1)
+            return full(batch, np.flatnonzero((np.cumsum(change[:-1]) > 0) & batch.whole_starts(length)))
 
-        # Most of these strings are unique: short names find out, and full ones check the others.
-        likely = self._names(self._with(shared, wanted), name_rest, False, False, "likely-rest")
-        release(spark)
-        rest = self._names(self._with(likely), full, True, False, "repeated-rest")
+        rest = self._names(self._with(shared, wanted), name_rest, True, False, "repeated-rest")
         release(spark)
         return [tuples, rest]
 
