@@ -149,6 +149,36 @@ def test_models_equal_brute_force(spark):
             assert abs(got[i, column] - want) < 0.02, (lang, t)
 
 
+def test_sequences_are_told_apart_by_themselves(spark, monkeypatch):
+    """Unseen sequences back off whatever places they share with seen ones, in arrays and in a table."""
+    rows = languages(1, 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    shared = li.train(docs)
+    seen = {int(g) for _, t, _ in rows for g in li.grams(t)}
+    taken = set(li.place(np.array(sorted(seen), np.uint64)).tolist())
+    r = random.Random(5)
+    letter = lambda: chr(r.randrange(0x4E00, 0x9FA5))
+    words = ["".join(letter() for _ in range(4)) for _ in range(60_000)]
+    keys = np.array([int(li.grams(w)[1]) for w in words], np.uint64)
+    hits = [w for w, x in zip(words, li.place(keys).tolist(), strict=True) if x in taken][:5]
+    assert hits
+    texts = [*hits, "the que sch", "Ω", "12", None]
+    monkeypatch.setattr(li, "SHARED_CELLS", 0)
+    table = li.train(docs)
+    assert shared.table is None and table.table is not None
+    tried = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x["doc_id"]: x["entropies"] for x in li.entropies(tried, table, ["doc_id"]).collect()}
+    arrays = shared.cross_entropies(texts)
+    for column, lang in enumerate(shared.languages):
+        p = brute_model([t for _, t, x in rows if x == lang])
+        for i, t in enumerate(texts[:-2]):
+            want = -sum(math.log(p(int(g))) for g in li.grams(t)) / len(li.grams(t))
+            assert abs(arrays[i, column] - want) < 1e-4 and abs(got[i][column] - want) < 1e-4, (lang, t)
+    assert got[len(texts) - 1] is None and got[len(texts) - 2] is None
+    decided = [{x["doc_id"]: (x["lang_pred"], x["rejected"]) for x in li.identify(tried, m).collect()} for m in (shared, table)]
+    assert decided[0] == decided[1] and len(decided[0]) == len(texts)
+
+
 def test_probabilities_sum_to_one():
     p = brute_model([t for _, t, x in languages(1, 60) if x == "aa"])
     context = int(li.grams("the and")[2]) >> 16

@@ -1,9 +1,11 @@
 """Language identification by character language models.
 
 For each language an interpolated Kneser-Ney model of four characters is counted over all
-training texts.  The model's entries are kept in sorted arrays of hashes; a text gets the
-language whose model gives it the lowest cross-entropy per character, with a probability
-from a fitted temperature and a flag on texts that no model explains.
+training texts.  The model's entries are keyed by the sequences themselves: in sorted arrays
+that every task gets, or, when these outgrow ``SHARED_CELLS``, in a table that the sequences
+of the texts are joined with.  A text gets the language whose model gives it the lowest
+cross-entropy per character, with a probability from a fitted temperature and a flag on texts
+that no model explains.
 
 Characters are lower-cased letters; everything else is one space.  A character is 16 bits
 (rarer planes fold onto the first), so four are a 64-bit number.
@@ -11,20 +13,24 @@ Characters are lower-cased letters; everything else is one space.  A character i
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..sources.workspace import materialize
 from .texts import few_collections, map_texts, pieces
 
 ORDER = 4
-#: Entries hash to this many places per order and language, which bounds the model's size;
-#: colliding entries keep the larger probability.
+#: Numbers (rows times languages) of a model that is sent to every task; larger ones stay a
+#: table on Spark.  Both ways give the same results.
+SHARED_CELLS = 32_000_000
+#: Range of ``place``, which spreads sequences; models do not use it.
 PLACES = 1_048_573
 FACTOR = 65_599
 #: More languages than this are an error, because the model is sent to every executor.
@@ -135,12 +141,14 @@ def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
 @dataclass
 class Model:
     languages: list[str]
-    #: Per order: sorted places, and log probabilities by language (NaN where unseen).
+    #: Per order: sorted sequences, and log probabilities by language (NaN where unseen).
     entries: dict[int, tuple[np.ndarray, np.ndarray]]
     #: Per order the same for contexts and their log back-off weights.
     contexts: dict[int, tuple[np.ndarray, np.ndarray]]
     temperature: float = 0.1
     limits: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: The table of ``_smoothed`` if it is too large for the arrays above, which are then empty.
+    table: DataFrame | None = None
 
     def log_probabilities(self, sequences: np.ndarray) -> np.ndarray:
         n = len(self.languages)
@@ -150,7 +158,7 @@ class Model:
         for order in range(ORDER, 0, -1):
             mask = np.uint64((1 << 16 * order) - 1)
             seq = sequences[open_] & mask
-            values = _found(self.entries[order], place(seq), n)
+            values = _found(self.entries[order], seq, n)
             here = out[open_]
             fill = np.isnan(here) & ~np.isnan(values)
             here[fill] = (back[open_] + values)[fill]
@@ -160,7 +168,7 @@ class Model:
             if not len(open_):
                 return out
             # Languages that have not seen the context back off at no cost.
-            back[open_] += np.nan_to_num(_found(self.contexts[order], place(seq >> np.uint64(16)), n))
+            back[open_] += np.nan_to_num(_found(self.contexts[order], seq >> np.uint64(16), n))
         return np.where(np.isnan(out), back + _FLOOR, out).astype(np.float32)
 
     def cross_entropies(self, texts: list[str | None]) -> np.ndarray:
@@ -195,18 +203,18 @@ class Model:
         return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)], score, rejected
 
 
-def _found(table: tuple[np.ndarray, np.ndarray], places: np.ndarray, n: int) -> np.ndarray:
+def _found(table: tuple[np.ndarray, np.ndarray], sequences: np.ndarray, n: int) -> np.ndarray:
     keys, values = table
     if not len(keys):
-        return np.full((len(places), n), np.nan, np.float32)
-    at = np.minimum(np.searchsorted(keys, places), len(keys) - 1)
+        return np.full((len(sequences), n), np.nan, np.float32)
+    at = np.minimum(np.searchsorted(keys, sequences), len(keys) - 1)
     out = values[at]
-    out[keys[at] != places] = np.nan
+    out[keys[at] != sequences] = np.nan
     return out
 
 
 def _smoothed(counts: DataFrame) -> DataFrame:
-    """(order, kind, lang, place, value): log probabilities and log back-off weights.
+    """(order, kind, lang, key, value): log probabilities of sequences, log back-off weights of contexts.
 
     The highest order has counts of occurrences; a lower one counts the different characters
     before each sequence.  Each order is discounted by n1 / (n1 + 2 n2) of its language.
@@ -236,12 +244,12 @@ def _smoothed(counts: DataFrame) -> DataFrame:
             rest = F.col("rest")
         p = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("weight") * rest
         lower = joined.select("lang", "gram", p.alias("p"))
-        parts.append(lower.select(F.lit(order).alias("order"), F.lit("entry").alias("kind"), "lang", place_sql(F.col("gram")).alias("place"), F.log("p").alias("value")))
-        parts.append(after.select(F.lit(order).alias("order"), F.lit("context").alias("kind"), "lang", place_sql(F.col("context")).alias("place"), F.log("weight").alias("value")))
+        parts.append(lower.select(F.lit(order).alias("order"), F.lit("entry").alias("kind"), "lang", F.col("gram").alias("key"), F.log("p").cast("float").alias("value")))
+        parts.append(after.select(F.lit(order).alias("order"), F.lit("context").alias("kind"), "lang", F.col("context").alias("key"), F.log("weight").cast("float").alias("value")))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionAll(part)
-    return rows.groupBy("order", "kind", "lang", "place").agg(F.max("value").cast("float").alias("value"))
+    return rows
 
 
 def train(docs: DataFrame) -> Model:
@@ -254,13 +262,22 @@ def train(docs: DataFrame) -> Model:
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    # Bounded by languages, orders and PLACES.
-    table = _smoothed(counts).toArrow()
-    number = {lang: i for i, lang in enumerate(languages)}
+    smoothed = materialize(_smoothed(counts), "language-models")
+    if smoothed.count() * len(languages) > SHARED_CELLS:
+        model = Model(languages, {}, {}, table=smoothed)
+    else:
+        model = _shared(languages, smoothed.toArrow())
+    if languages:
+        calibrate(model, docs)
+    return model
+
+
+def _shared(languages: list[str], table: pa.Table) -> Model:
+    """A model whose entries are arrays, from at most ``SHARED_CELLS`` / languages rows."""
     order = table.column("order").to_numpy()
-    kind = np.array(table.column("kind").to_pylist(), dtype=object) == "entry"
-    lang = np.array([number[x] for x in table.column("lang").to_pylist()], int)
-    where, value = table.column("place").to_numpy(), table.column("value").to_numpy()
+    kind = pc.equal(table.column("kind"), "entry").to_numpy()
+    lang = pc.index_in(table.column("lang"), value_set=pa.array(languages, pa.string())).to_numpy()
+    where, value = table.column("key").to_numpy().view(np.uint64), table.column("value").to_numpy()
 
     def arrays(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys, at = np.unique(where[rows], return_inverse=True)
@@ -268,14 +285,11 @@ def train(docs: DataFrame) -> Model:
         values[at, lang[rows]] = value[rows]
         return keys, values
 
-    model = Model(
+    return Model(
         languages,
         {o: arrays(kind & (order == o)) for o in range(1, ORDER + 1)},
         {o: arrays(~kind & (order == o)) for o in range(1, ORDER + 1)},
     )
-    if languages:
-        calibrate(model, docs)
-    return model
 
 
 def calibrate(model: Model, docs: DataFrame) -> None:
@@ -299,7 +313,58 @@ def calibrate(model: Model, docs: DataFrame) -> None:
     model.limits = np.array([1.2 * (np.quantile(own[truth == i], 1 - REJECTED) if (truth == i).sum() >= 20 else everywhere) for i in range(len(model.languages))])
 
 
+def _sequence_values(sequences: DataFrame, model: Model) -> DataFrame:
+    """(key, values): the log probability of each distinct sequence in all languages."""
+    number = F.array_position(F.lit(model.languages), F.col("lang")).cast("int")
+    rows = sequences
+    for order in range(ORDER, 0, -1):
+        key = F.col("key") if order == ORDER else F.col("key").bitwiseAND(F.lit((1 << 16 * order) - 1))
+        context = F.shiftrightunsigned(key, 16) if order > 1 else F.lit(0).cast("long")
+        for kind, at in (("entry", key), ("context", context)):
+            part = model.table.filter((F.col("order") == order) & (F.col("kind") == kind))
+            pairs = F.collect_list(F.struct(number.alias("number"), F.col("value").cast("double").alias("value")))
+            found = part.groupBy(F.col("key").alias("_at")).agg(F.map_from_entries(pairs).alias(f"{kind}{order}"))
+            if order == 1 and kind == "context":
+                found = F.broadcast(found)  # one row
+            rows = rows.join(found, at == F.col("_at"), "left").drop("_at")
+
+    def value(i):
+        back, choices = F.lit(0.0), []
+        for order in range(ORDER, 0, -1):
+            choices.append(back + F.try_element_at(F.col(f"entry{order}"), i))
+            # Languages that have not seen the context back off at no cost.
+            back = back + F.coalesce(F.try_element_at(F.col(f"context{order}"), i), F.lit(0.0))
+        return F.coalesce(*choices, back + F.lit(float(_FLOOR)))
+
+    return rows.select("key", F.transform(F.sequence(F.lit(1), F.lit(len(model.languages))), value).alias("values"))
+
+
+def _joined_entropies(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+    """``entropies`` by a join of each text's distinct sequences with the model's table."""
+
+    def start():
+        def call(texts):
+            found = [np.unique(grams(t or ""), return_counts=True) for t in texts]
+            return [[k.view(np.int64) for k, _ in found], [c / max(1, c.sum()) for _, c in found]]
+
+        return call
+
+    numbered = docs.select(*columns, F.col("text").cast("string").alias("text"), F.monotonically_increasing_id().alias("_row"))
+    rows = materialize(map_texts(numbered, [*columns, "_row"], "_keys array<long>, _weights array<double>", start), "text-sequences")
+    pairs = rows.select("_row", F.explode(F.arrays_zip("_keys", "_weights")).alias("_pair"))
+    pairs = pairs.select("_row", F.col("_pair._keys").alias("key"), F.col("_pair._weights").alias("weight"))
+    values = materialize(_sequence_values(pairs.select("key").distinct(), model), "sequence-values")
+    each = pairs.join(values, "key").select("_row", "weight", F.posexplode("values").alias("_pos", "_value"))
+    sums = each.groupBy("_row", "_pos").agg(F.sum(F.col("weight") * -F.col("_value")).alias("_sum"))
+    whole = sums.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", "_sum"))).alias("_sums"))
+    whole = whole.select("_row", F.col("_sums._sum").alias("entropies"))
+    return rows.join(whole, "_row", "left").select(*columns, "entropies")
+
+
 def entropies(docs: DataFrame, model: Model, columns) -> DataFrame:
+    """``columns`` and the cross-entropies by language of every text; null if it has no letter."""
+    if model.table is not None:
+        return _joined_entropies(docs, model, list(columns))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
@@ -311,15 +376,43 @@ def entropies(docs: DataFrame, model: Model, columns) -> DataFrame:
     return map_texts(docs, list(columns), "entropies array<double>", start)
 
 
+def map_rows(df: DataFrame, columns: list[str], name: str, added: str, call) -> DataFrame:
+    """``columns`` of ``df`` and the columns ``added`` that ``call`` makes from lists of ``name``."""
+    schema = StructType([*df.select(*columns).schema.fields, *StructType.fromDDL(added).fields])
+    arrow = to_arrow_schema(schema)
+    n = len(columns)
+
+    def run(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 1000):
+                part = batch.slice(low, 1000)
+                made = call(part.column(n).to_pylist())
+                arrays = [part.column(i) for i in range(n)]
+                arrays += [pa.array(x, type=f.type) for x, f in zip(made, list(arrow)[n:], strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
+
+    return df.select(*columns, name).mapInArrow(run, schema)
+
+
 def identify(docs: DataFrame, model: Model, columns=("doc_id",)) -> DataFrame:
     """``columns``, ``lang_pred``, ``score`` and ``rejected`` of every whole text.
 
     Null texts and texts without a letter get ``und``, score 0, rejected.  A rejected text
     keeps its nearest language.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded as above
+    added = "lang_pred string, score double, rejected boolean"
+    # Bounded by SHARED_CELLS.
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, table=None))
+    if model.table is not None:
+        n = len(model.languages)
+
+        def decide(rows):
+            known = np.array([[np.nan] * n if r is None else r for r in rows], float).reshape(len(rows), n)
+            return shared.value.decide(known)
+
+        return map_rows(entropies(docs, model, columns), list(columns), "entropies", added, decide)
 
     def start():
         return lambda texts: shared.value.decide(shared.value.cross_entropies(texts))
 
-    return map_texts(docs, list(columns), "lang_pred string, score double, rejected boolean", start)
+    return map_texts(docs, list(columns), added, start)
