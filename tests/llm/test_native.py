@@ -101,6 +101,18 @@ def test_pseudonyms_equal_brute_force(spark):
     assert got[8]["text"] == CASES[8]
 
 
+def test_capitals_hide_nothing_and_keep_links(spark):
+    secret, mail = "9233a8ecf7c5b09fe5949719b6b82bc439e9329b", "the.65@mail7.example.com"
+    texts = [f'token = "{secret}" of {mail}', f'TOKEN = "{secret.upper()}" OF {mail.upper()}', f"{secret.capitalize()} A{secret[1:]}", "DEADBEEF" * 4]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in ps.pseudonymise(docs).collect()}
+    new, address = _replace(secret), _replace(mail)
+    assert got[0]["text"] == f'token = "{new}" of {address}'
+    assert got[1]["text"] == f'TOKEN = "{new.upper()}" OF {address}'
+    assert got[2]["text"] == f"{new} {_replace('a' + secret[1:])}"
+    assert [got[i]["n_replaced"] for i in range(4)] == [2, 2, 2, 0] and got[3]["text"] == texts[3]
+
+
 def test_permutations_are_one_to_one(spark):
     digits = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 4, "0").alias("d"))
     out = digits.select(ps.permute_digits(F.col("d"), "k", F.lit("t")).alias("x"))

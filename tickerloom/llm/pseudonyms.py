@@ -4,7 +4,9 @@ Card numbers, telephone numbers, social security numbers, network addresses and
 validated and then permuted within their format by a keyed Feistel network: the result has the
 same length, separators and check digit or calendar validity, different values stay different,
 and equal values stay equal in all documents.  Mail addresses and long hexadecimal secrets,
-which have no small number format, become keyed digests of the same kind.  What fails its check stays as it is.
+which have no small number format, become keyed digests of the same kind, equal for all
+spellings in capitals or not; a secret without small letters gets a digest in capitals.  What
+fails its check stays as it is.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ KEY = "pseudonym-key-1"
 ROUNDS = 5
 
 MAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+"
-SECRET = r"(?<![A-Za-z0-9])(?=[0-9]*[a-f])(?=[a-f]*[0-9])[0-9a-f]{32,64}+(?![A-Za-z0-9])"
+SECRET = r"(?<![A-Za-z0-9])(?=[0-9]*[a-fA-F])(?=[a-fA-F]*[0-9])[0-9a-fA-F]{32,64}+(?![A-Za-z0-9])"
 ADDRESS = r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?![0-9]|\.[0-9])"
 DAY = r"(?<![0-9-])(?:19|20)[0-9]{2}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12][0-9]|3[01])(?![0-9-])"
 DAY_FIRST = r"(?<![0-9./])(?:0[1-9]|[12][0-9]|3[01])[./](?:0[1-9]|1[0-2])[./](?:19|20)[0-9]{2}(?![0-9./]*[0-9])"
@@ -155,11 +157,12 @@ def _day(found: Column, key: str) -> Column:
 
 def pseudonym(found: Column, key: str = KEY) -> Column:
     """The pseudonym of one match of ``PATTERN``."""
-    digest = lambda kind: F.sha2(F.concat_ws("/", F.lit(key), F.lit(kind), found).cast("binary"), 256)
+    digest = lambda kind: F.sha2(F.concat_ws("/", F.lit(key), F.lit(kind), F.lower(found)).cast("binary"), 256)
+    secret = F.substring(F.concat(digest("secret"), digest("more")), F.lit(1), F.char_length(found))
     whole = lambda p: found.rlike(f"^(?:{p})$")
     return (
         F.when(found.contains("@"), F.concat(F.lit("u"), F.substring(digest("mail"), 1, 16), F.lit("@mail.invalid")))
-        .when(whole(r"[0-9a-f]{32,64}"), F.substring(F.concat(digest("secret"), digest("more")), F.lit(1), F.char_length(found)))
+        .when(whole(r"[0-9a-fA-F]{32,64}"), F.when(found.rlike("[a-f]"), secret).otherwise(F.upper(secret)))
         .when(whole(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"), _address(found, key))
         .when(whole(r"[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4}"), _day(found, key))
         .when(whole(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"), _put_back(found, permute_digits(_digits(found), key, F.lit("social"))))
