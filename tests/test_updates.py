@@ -1,11 +1,13 @@
 """Stored updates, the run log, and windows that must not drop anything."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickerloom.operators import backtest, calendar, quality, screens, weekly
+from tickerloom.plans import storage
 from tickerloom.sources import ingest, lake, sinks
 
 D = dt.date
@@ -53,6 +55,20 @@ def test_date_window_is_replaced_in_the_store(spark, tmp_path):
         sinks.store_date_window(old, path, "2024-01-03", "2024-01-05")
 
 
+def test_replacement_covers_and_checks_all_years(spark):
+    days = [D(1998, 12, 31), D(1999, 1, 4), D(1999, 2, 3), D(1999, 3, 31), D(1999, 4, 1), D(2003, 5, 5)]
+    daily = spark.createDataFrame([(d, g, "01") for d in days for g in "ab"], "date date, gvkey string, iid string")
+    got = {r["date"]: (r["row_count"], r["replaced"]) for r in storage.replaced_window(spark, daily).collect()}
+    assert got == {d: (2, 2 if D(1999, 1, 1) <= d <= D(1999, 3, 31) else 0) for d in days if d != D(1999, 2, 3)}
+
+    def loses_a_later_year(new, path, first, last):
+        sinks.store_date_window(new, path, first, last)
+        shutil.rmtree(f"{path}/year=2003")
+
+    with pytest.raises(ValueError, match="2003-05-05"):
+        storage.replaced_window(spark, daily, loses_a_later_year)
+
+
 def test_runs_are_logged(spark, tmp_path):
     log = str(tmp_path / "runs")
     args = (spark, log, "r", D(2020, 1, 1), D(2021, 1, 1), 3)

@@ -350,17 +350,33 @@ def _(spark, sf):
     "FROM daily WHERE year(date) = 1999 AND date <> DATE '1999-02-03' GROUP BY date",
 )
 def _(spark, sf):
-    """A stored table of which the dates of one quarter are loaded anew, read back."""
+    """The whole daily layer, stored, of which the dates of one quarter are loaded anew, read back.
+
+    Every date is compared with the same replacement without a store, and a difference is an
+    error; the result is 1999.
+    """
+    return replaced_window(spark, layer(spark, sf, "daily")).filter(F.year("date") == 1999)
+
+
+def replaced_window(spark, daily, store=sinks.store_date_window):
+    """(date, row_count, replaced) of all dates after ``store`` has replaced the quarter."""
     first, last = "1999-01-01", "1999-03-31"
     path = f"{workspace(spark)}/daily"
-    in_1999 = F.col("date").between(F.lit("1999-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
-    rows = layer(spark, sf, "daily").filter(in_1999).select("date", "gvkey", "iid")
+    rows = daily.select("date", "gvkey", "iid")
     sinks.write_daily(rows.withColumn("load", F.lit(0)), path)
     odd = F.col("date") != F.lit("1999-02-03").cast("date")  # a day that the new load lacks
     new = rows.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")) & odd)
-    sinks.store_date_window(new.withColumn("load", F.lit(1)), path, first, last)
+    store(new.withColumn("load", F.lit(1)), path, first, last)
     merged = lake.read_parquet(spark, path, merge=False)
-    return merged.groupBy("date").agg(F.count("*").alias("row_count"), F.sum("load").alias("replaced"))
+    got = merged.groupBy("date").agg(F.count("*").alias("row_count"), F.sum("load").alias("replaced"))
+    unstored = sinks.replace_date_window(rows.withColumn("load", F.lit(0)), new.withColumn("load", F.lit(1)), "date")
+    want = unstored.groupBy("date").agg(F.count("*").alias("_rows"), F.sum("load").alias("_replaced"))
+    both = got.join(want, "date", "full")
+    same = F.col("row_count").eqNullSafe(F.col("_rows")) & F.col("replaced").eqNullSafe(F.col("_replaced"))
+    wrong = both.filter(~same).select(F.min("date").alias("first"), F.count("*").alias("n")).first()
+    if wrong["n"]:
+        raise ValueError(f"{wrong['n']} dates differ after the replacement, the first is {wrong['first']}")
+    return got
 
 
 @query(
