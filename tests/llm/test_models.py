@@ -179,6 +179,17 @@ def test_sequences_are_told_apart_by_themselves(spark, monkeypatch):
     assert decided[0] == decided[1] and len(decided[0]) == len(texts)
 
 
+def test_any_number_of_languages(spark, monkeypatch):
+    rows = [(i, f"{chr(0x4E00 + i) * 3} {chr(0x5E00 + i) * 2}", f"l{i:02d}") for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for cells in (li.SHARED_CELLS, 0):
+        monkeypatch.setattr(li, "SHARED_CELLS", cells)
+        model = li.train(docs)
+        assert len(model.languages) == 70 and (model.table is None) == (cells > 0)
+        got = {r["doc_id"]: r["lang_pred"] for r in li.identify(docs, model).collect()}
+        assert got == {i: lang for i, _, lang in rows}
+
+
 def test_probabilities_sum_to_one():
     p = brute_model([t for _, t, x in languages(1, 60) if x == "aa"])
     context = int(li.grams("the and")[2]) >> 16

@@ -33,8 +33,6 @@ SHARED_CELLS = 32_000_000
 #: Range of ``place``, which spreads sequences; models do not use it.
 PLACES = 1_048_573
 FACTOR = 65_599
-#: More languages than this are an error, because the model is sent to every executor.
-MOST_LANGUAGES = 64
 #: Distinct sequences a task holds before it hands them on.
 HELD = 400_000
 #: Most training rows that temperature and rejection limits are fitted to.
@@ -259,11 +257,10 @@ def train(docs: DataFrame) -> Model:
     languages and answers ``und``.
     """
     counts = materialize(count_sequences(docs), "character-sequences")
-    languages = sorted(r["lang"] for r in counts.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
-    if len(languages) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
     smoothed = materialize(_smoothed(counts), "language-models")
-    if smoothed.count() * len(languages) > SHARED_CELLS:
+    # Of few languages the rows weigh more than the numbers.
+    if smoothed.count() * max(8, len(languages)) > SHARED_CELLS:
         model = Model(languages, {}, {}, table=smoothed)
     else:
         model = _shared(languages, smoothed.toArrow())
@@ -273,7 +270,7 @@ def train(docs: DataFrame) -> Model:
 
 
 def _shared(languages: list[str], table: pa.Table) -> Model:
-    """A model whose entries are arrays, from at most ``SHARED_CELLS`` / languages rows."""
+    """A model whose entries are arrays, from at most ``SHARED_CELLS`` / 8 rows."""
     order = table.column("order").to_numpy()
     kind = pc.equal(table.column("kind"), "entry").to_numpy()
     lang = pc.index_in(table.column("lang"), value_set=pa.array(languages, pa.string())).to_numpy()
