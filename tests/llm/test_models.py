@@ -190,6 +190,15 @@ def test_any_number_of_languages(spark, monkeypatch):
         assert got == {i: lang for i, _, lang in rows}
 
 
+def test_rejection_limits_come_from_all_training_rows(spark, monkeypatch):
+    monkeypatch.setattr(li, "CALIBRATION", 10)
+    rows = languages(4, 120)
+    model = li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for i, lang in enumerate(model.languages):
+        own = model.cross_entropies([t for _, t, x in rows if x == lang])[:, i]
+        assert len(own) >= 20 and abs(model.limits[i] - 1.2 * own.max()) < 1e-6  # of so few, the quantile is the maximum
+
+
 def test_probabilities_sum_to_one():
     p = brute_model([t for _, t, x in languages(1, 60) if x == "aa"])
     context = int(li.grams("the and")[2]) >> 16

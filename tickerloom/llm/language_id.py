@@ -35,9 +35,9 @@ PLACES = 1_048_573
 FACTOR = 65_599
 #: Distinct sequences a task holds before it hands them on.
 HELD = 400_000
-#: Most training rows that temperature and rejection limits are fitted to.
+#: Most training rows that the temperature is fitted to.
 CALIBRATION = 1500
-#: Share of the calibration rows that lies beyond a language's rejection limit.
+#: Share of the training rows that lies beyond a language's rejection limit.
 REJECTED = 0.002
 UNKNOWN = "und"
 SPACE = 32
@@ -290,10 +290,11 @@ def _shared(languages: list[str], table: pa.Table) -> Model:
 
 
 def calibrate(model: Model, docs: DataFrame) -> None:
-    """Fits the temperature to log loss, and each language's rejection limit to a quantile,
-    on the ``CALIBRATION`` training rows with the smallest hashes of their ids."""
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    chosen = rows.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
+    """Fits each language's rejection limit to a quantile of all its training rows, and the
+    temperature to log loss on the ``CALIBRATION`` ones with the smallest hashes of their ids."""
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    model.limits = rejection_limits(model, rows)
+    chosen = rows.filter("doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION)
     got = entropies(rows.join(F.broadcast(chosen), "doc_id"), model, ["doc_id", "lang"]).collect()
     x = np.array([r["entropies"] for r in got if r["entropies"] is not None])
     truth = np.array([model.languages.index(r["lang"]) for r in got if r["entropies"] is not None], int)
@@ -304,10 +305,19 @@ def calibrate(model: Model, docs: DataFrame) -> None:
         z = -(x - x.min(1, keepdims=True)) / t
         losses[t] = float(np.mean(np.log(np.exp(z).sum(1)) - z[np.arange(len(x)), truth]))
     model.temperature = float(min(losses, key=losses.get))
-    own = x[np.arange(len(x)), truth]
-    everywhere = np.quantile(own, 1 - REJECTED)
+
+
+def rejection_limits(model: Model, rows: DataFrame) -> np.ndarray:
+    """A limit per language; one with fewer than 20 training rows takes the quantile of all rows."""
+    at = F.array_position(F.lit(model.languages), F.col("lang")).cast("int") - 1
+    own = entropies(rows, model, ["lang"]).select("lang", F.get("entropies", at).alias("own")).filter("own IS NOT NULL")
+    quantile = F.percentile_approx("own", 1 - REJECTED, 10_000)
+    got = {r["lang"]: r for r in own.rollup("lang").agg(F.count("*").alias("n"), quantile.alias("q")).collect()}
+    if None not in got or not got[None]["n"]:
+        return np.zeros(0)
+    chosen = [r if (r := got.get(lang)) and r["n"] >= 20 else got[None] for lang in model.languages]
     # One fifth of room beyond the quantile, because short texts scatter more.
-    model.limits = np.array([1.2 * (np.quantile(own[truth == i], 1 - REJECTED) if (truth == i).sum() >= 20 else everywhere) for i in range(len(model.languages))])
+    return np.array([1.2 * r["q"] for r in chosen])
 
 
 def _sequence_values(sequences: DataFrame, model: Model) -> DataFrame:
