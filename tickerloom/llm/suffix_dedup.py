@@ -6,11 +6,12 @@ the ``length - v + 1`` bytes at the shifted, sampled places.  So:
 
 1. Sampled places are named by the bytes that follow, names are sorted, and only places whose
    name is not unique go on.
-2. The names recurse: the full ``length`` bytes at those places are named by tuples that cover
-   them, sorted, and equal neighbours give repeated strings.
+2. The full ``length`` bytes at those places are hashed directly by two rolling hashes, and
+   equal names give repeated strings.  There is no recursion, no order of suffixes and no
+   comparison of the bytes of neighbours: equal names alone decide.
 3. The remaining suffixes are merged in: of the places between the sampled ones only those can
    matter whose strings reach beyond what is covered by now, and those that share a name with
-   one of them.  They get full names, which are sorted and compared with their neighbours.
+   one of them.  They get full names too, and equal ones give repeated strings.
 
 The texts lie in batches of bounded size that are written once, bucketed, and read by each
 step; what is shuffled is names and places as packed arrays.  A batch sends each name once,
