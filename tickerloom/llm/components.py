@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import materialize
@@ -13,7 +13,8 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     Alternates two steps that keep components: every node hands its smallest neighbour to its
     larger ones, then to its smaller ones.  The rounds grow with the logarithm of the longest
-    path; each is written to shared storage, and a hub is never gathered, only its minimum.
+    path; each is written to shared storage.  The minimum of a hub is combined before the
+    shuffle, and joined back by a join that adaptive execution may split.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     edges = materialize(edges, "links")
@@ -23,13 +24,12 @@ def connected_components(links: DataFrame) -> DataFrame:
         if (found["n"], found["x"]) == state:
             break
         state = (found["n"], found["x"])
-        by_a = Window.partitionBy("a")
-        both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        larger = both.withColumn("m", F.least(F.min("b").over(by_a), F.col("a"))).filter("b > a")
-        larger = larger.select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        smaller = larger.withColumn("m", F.min("b").over(by_a))
-        to_smallest = smaller.select("a", F.col("m").alias("b"))
-        between = smaller.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = materialize(to_smallest.unionAll(between).distinct(), "links")
+        back = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        least = edges.unionAll(back).groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
+        larger = back.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
+        larger = materialize(larger, "larger")
+        least = larger.groupBy("a").agg(F.min("b").alias("m"))
+        between = larger.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = materialize(least.select("a", F.col("m").alias("b")).unionAll(between).distinct(), "links")
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

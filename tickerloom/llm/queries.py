@@ -199,3 +199,101 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2(F.col("kept"), 256).alias("kept_sha256"),
     )
+
+
+_OP11_SQL = """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id, score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id)::INTEGER AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT * FROM n WHERE rank <= 5
+"""
+
+
+@query("op11_hard_negatives", _OP11_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .hard_negatives import mine
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(vectors.select("vec_id", label.alias("label"), F.col("embedding").alias("vector")), "vec_id % 100 = 0")
+
+
+_OP12_SQL = """
+WITH RECURSIVE e AS MATERIALIZED (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+                   WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+walk(a, b) AS (SELECT a, b FROM l UNION SELECT walk.a, l.b FROM walk JOIN l ON l.a = walk.b),
+c AS (SELECT a, min(b) AS b FROM walk GROUP BY a),
+k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(coalesce(c.b, vec_id), vec_id) AS component_id,
+       coalesce(c.b, vec_id) >= vec_id AS kept
+FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN k ON k.a = vec_id
+"""
+
+
+@query("op12_near_vectors", _OP12_SQL)
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .near_vectors import link_vectors
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return link_vectors(vectors.select("vec_id", "label", F.col("embedding").alias("vector")))
+
+
+_OP13_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (
+  SELECT d.*, len(w) < 100 AS a, 100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) AS c,
+         regexp_matches(t, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM d),
+m AS (
+  SELECT part, (CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+                || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END) AS fails,
+         count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM x LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id) USING (doc_id)
+  GROUP BY part, fails),
+f(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+      WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+      FROM o, range(1, 6) AS t(step)),
+r AS (
+  SELECT part, filter_order, step, own,
+         sum(n) FILTER (translate(fails, before || own, '') = fails) AS kept,
+         sum(n) FILTER (contains(fails, own) AND translate(fails, before, '') = fails) AS removed,
+         sum(n) FILTER (contains(fails, own) AND translate(fails, before, '') <> fails) AS redundant,
+         sum(n) FILTER (fails = own) AS unique_fails,
+         sum(good) FILTER (contains(fails, own) AND translate(fails, before, '') = fails) AS good_lost,
+         sum(toxic) FILTER (contains(fails, own) AND translate(fails, before, '') = fails) AS toxic_lost
+  FROM m, s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INTEGER AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM r
+"""
+
+
+@query("op13_filter_audit", _OP13_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .filter_audit import audit
+
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
