@@ -4,8 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.oracle_compare import compare, duck
-
-QUERIES, ORACLES = queries(), oracle_sql()
+from tickerloom.plans.catalog import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +20,7 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry_has_a_stable_schema(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from tickerloom.operators import backtest
+from tickerloom.operators import backtest, daily, rolling
 from tickerloom.plans import tables
 from tickerloom.sources import lake, sinks
 from tickerloom.sources.workspace import workspace
@@ -19,15 +19,6 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture()
-def no_automatic_broadcast(spark):
-    """What large tables would get: only broadcasts that the code itself asks for remain."""
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-
-
 @pytest.mark.parametrize(
     "name",
     [
@@ -56,7 +47,8 @@ def test_no_pairwise_join_and_no_python(spark, sf_dir, no_automatic_broadcast, n
 
 
 def test_daily_windows_share_one_exchange(spark, sf_dir):
-    plan = plan_of(QUERIES["w05_previous_averages"](spark, sf_dir))
+    rows = daily.add_daily_ratios(daily.add_daily_indicators(daily.clean_daily(tables.prices(spark, sf_dir), tables.TIEBREAK)))
+    plan = plan_of(rolling.add_previous(rows, [*daily.MEANS, *daily.RATIOS], "date"))
     # One exchange to deduplicate, one that serves all eleven window columns.
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2, plan
     assert len(re.findall(r"Sort \[gvkey", plan)) == 1, plan

@@ -1,14 +1,13 @@
 """Stored updates, the run log, and windows that must not drop anything."""
 
 import datetime as dt
-import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickerloom.operators import backtest, calendar, quality, screens, weekly
-from tickerloom.plans import storage
-from tickerloom.sources import ingest, lake, sinks
+from tickerloom.sources import ingest, lake, partitions, sinks
 
 D = dt.date
 
@@ -51,22 +50,89 @@ def test_date_window_is_replaced_in_the_store(spark, tmp_path):
     sinks.store_date_window(new, path, "2024-01-03", "2024-01-05")
     got = sorted((r["date"], r["v"]) for r in spark.read.parquet(path).collect())
     assert got == [(D(2024, 1, d), {3: 30, 5: 50}.get(d, d)) for d in (1, 2, 3, 5, 6, 7)]
-    with pytest.raises(Exception, match="outside"):
+    with pytest.raises(partitions.ReplaceError, match="outside"):
         sinks.store_date_window(old, path, "2024-01-03", "2024-01-05")
+    assert sorted((r["date"], r["v"]) for r in spark.read.parquet(path).collect()) == got
 
 
-def test_replacement_covers_and_checks_all_years(spark):
-    days = [D(1998, 12, 31), D(1999, 1, 4), D(1999, 2, 3), D(1999, 3, 31), D(1999, 4, 1), D(2003, 5, 5)]
-    daily = spark.createDataFrame([(d, g, "01") for d in days for g in "ab"], "date date, gvkey string, iid string")
-    got = {r["date"]: (r["row_count"], r["replaced"]) for r in storage.replaced_window(spark, daily).collect()}
-    assert got == {d: (2, 2 if D(1999, 1, 1) <= d <= D(1999, 3, 31) else 0) for d in days if d != D(1999, 2, 3)}
+class Moves:
+    """Renames that fail, or crash, at one move."""
 
-    def loses_a_later_year(new, path, first, last):
-        sinks.store_date_window(new, path, first, last)
-        shutil.rmtree(f"{path}/year=2003")
+    def __init__(self, spark, path, fail_at, crash=False):
+        self.folder, self.fail_at, self.crash, self.n = partitions.Folder(spark, path), fail_at, crash, 0
 
-    with pytest.raises(ValueError, match="2003-05-05"):
-        storage.replaced_window(spark, daily, loses_a_later_year)
+    def __call__(self, source, target):
+        self.n += 1
+        if self.n == self.fail_at:
+            if self.crash:
+                raise KeyboardInterrupt
+            return False
+        return self.folder.rename(source, target)
+
+
+def siblings(path):
+    return sorted(p.name for p in Path(path).parent.iterdir())
+
+
+@pytest.mark.parametrize("crash", [False, True])
+@pytest.mark.parametrize("fail_at", [1, 3, 4, 5])
+def test_a_window_that_fails_between_moves_is_the_old_one(spark, tmp_path, fail_at, crash):
+    """Three folders are set aside and two moved in; the table is whole wherever that ends."""
+    path = str(tmp_path / "t")
+    rows = [(D(2024, 1, d), d) for d in range(1, 8)]
+    sinks.write_daily(spark.createDataFrame(rows, "date date, v int"), path)
+    new = spark.createDataFrame([(D(2024, 1, 3), 30), (D(2024, 1, 5), 50)], "date date, v int")
+    args = (new, path, "2024-01-03", "2024-01-05")
+    with pytest.raises(KeyboardInterrupt if crash else partitions.ReplaceError):
+        sinks.store_date_window(*args, rename=Moves(spark, path, fail_at, crash))
+    if crash:  # nothing was put back yet
+        assert partitions.recover(spark, path) == 1
+    assert sorted((r["date"], r["v"]) for r in spark.read.parquet(path).collect()) == rows
+    assert siblings(path) == ["t"]
+    assert partitions.recover(spark, path) == 0
+    assert sinks.store_date_window(*args) == 2
+    got = sorted((r["date"], r["v"]) for r in spark.read.parquet(path).collect())
+    assert got == [(D(2024, 1, d), {3: 30, 5: 50}.get(d, d)) for d in (1, 2, 3, 5, 6, 7)]
+    assert siblings(path) == ["t"]
+
+
+def test_a_window_with_a_repeated_or_missing_key_is_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_daily(spark.createDataFrame([(D(2024, 1, 3), "a")], "date date, k string"), path)
+    for bad in ([(D(2024, 1, 3), "b"), (D(2024, 1, 3), "b")], [(D(2024, 1, 3), None)]):
+        new = spark.createDataFrame(bad, "date date, k string")
+        with pytest.raises(partitions.ReplaceError, match="keys of k, date"):
+            sinks.store_date_window(new, path, "2024-01-03", "2024-01-03", keys=["k"])
+    assert [r["k"] for r in spark.read.parquet(path).collect()] == ["a"] and siblings(path) == ["t"]
+    sinks.store_date_window(new.limit(0), path, "2024-01-03", "2024-01-03")
+    assert partitions.Folder(spark, path).partitions(["year", "month", "date"]) == {}
+
+
+def test_a_rerun_set_without_rows_loses_its_old_ones(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "parameter_set_id long, screen_type string, gvkey string, iid string"
+    rows = spark.createDataFrame([(i, "A_F", g, "01") for i in range(1, 5) for g in "ab"], schema)
+    sinks.write_sets(rows, path)
+    rerun = rows.filter("parameter_set_id = 2 AND gvkey = 'a'")
+    with pytest.raises(partitions.ReplaceError):
+        sinks.write_sets(rerun, path, [2, 3], rename=Moves(spark, path, 3))
+    assert spark.read.parquet(path).count() == 8
+    with pytest.raises(partitions.ReplaceError, match="outside"):
+        sinks.write_sets(rerun, path, [3])
+    sinks.write_sets(rerun, path, [2, 3])
+    got = sorted((r["parameter_set_id"], r["gvkey"]) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "a"), (1, "b"), (2, "a"), (4, "a"), (4, "b")]
+    sinks.write_sets(rerun.limit(0), path, [1])
+    assert sorted({r["parameter_set_id"] for r in spark.read.parquet(path).collect()}) == [2, 4]
+
+
+def test_the_latest_date_comes_from_folder_names(spark, tmp_path):
+    path = str(tmp_path / "t")
+    columns = ["year", "month", "date"]
+    assert partitions.latest_partition(spark, path, columns) is None
+    rows = [(D(2023, 12, 30), 1), (D(2024, 1, 2), 2), (None, 3)]
+    sinks.write_daily(spark.createDataFrame(rows, "date date, v int"), path)
+    assert partitions.latest_partition(spark, path, columns) == "2024-01-02"
 
 
 def test_runs_are_logged(spark, tmp_path):

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field, fields
 from itertools import product
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -141,15 +142,19 @@ def daily_features(
     end: dt.date | str,
     warmup_days: int = 420,
     tiebreak: Sequence[str] = TIEBREAK,
+    laid_out: bool = False,
 ) -> DataFrame:
-    """Daily features with next-row confirmation columns, warm-up rows dropped at the end."""
+    """Daily features with next-row confirmation columns, warm-up rows dropped at the end.
+
+    ``laid_out``: ``raw`` is stored by security, and no step needs an exchange.
+    """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     rows = raw.filter(
         F.col("date").between(F.date_sub(first, warmup_days), last)
         & F.col("gvkey").isNotNull()
         & F.col("iid").isNotNull()
     )
-    rows = clean_daily(rows, tiebreak, keep_raw=True).select(
+    rows = clean_daily(rows, tiebreak, keep_raw=True, laid_out=laid_out).select(
         F.col("date").alias("snapshot_date"),
         *[F.col(c).cast("string").alias(c) for c in SECURITY],
         "ticker",
@@ -278,25 +283,27 @@ def select_signals(
 ) -> DataFrame:
     """First A_F and A_H selection per parameter set and security, for the whole grid at once.
 
-    A set is a point in four small axes (technical, annual, quarterly, weekly tolerance).
-    Each row carries the *ids of the axis values it passes* as short arrays, so the daily
-    data is scanned and windowed once and no wide row is multiplied by 192.  Of the rows that
-    passed every axis only key, date and ids are exploded, straight into a partial minimum of
-    the date; the first dates take their prices and names by a join on the key and are
-    mapped to parameter sets by a join with the grid.
+    A set is a point in four axes (technical, annual, quarterly, weekly tolerance), and each
+    axis is ordered: a stricter value implies the weaker ones.  So a candidate stands for
+    its *strictest* passing points only, and the first date of every other point is a minimum
+    over the points that imply it.  Candidates are reduced to the earliest one per strictest
+    point before anything is multiplied; then the minimum runs down one axis after the other.
+
+    The daily data is scanned and windowed once, and all reductions use the layout by security
+    that the as-of match leaves, so none of them shuffles.
     """
     spark = daily.sparkSession
-    technical = _axis(p.technical for p in grid)
-    annual_tests = _axis(p.annual for p in grid)
-    quarterly_tests = _axis(p.quarterly for p in grid)
-    tolerances = _axis(p.weekly_ma_tolerance_pct for p in grid)
+    technical = Axis((p.technical for p in grid), _technical_implies)
+    annual_tests = Axis((p.annual for p in grid), _periods_imply)
+    quarterly_tests = Axis((p.quarterly for p in grid), _periods_imply)
+    tolerances = Axis((p.weekly_ma_tolerance_pct for p in grid), lambda a, b: a <= b)
 
-    signals = technical_candidates(daily, list(technical))
+    signals = technical_candidates(daily, technical.values)
     annual_pass = point_in_time_passes(
         annual,
         "annual_revenue_growth",
         "annual_operating_income_growth",
-        list(annual_tests),
+        annual_tests.values,
         "annual_ids",
         annual_order,
     )
@@ -304,20 +311,26 @@ def select_signals(
         quarterly,
         "quarterly_revenue_growth",
         "quarterly_operating_income_growth",
-        list(quarterly_tests),
+        quarterly_tests.values,
         "quarterly_ids",
         quarterly_order,
     )
-    signals = in_force(signals, annual_pass.filter(F.size("annual_ids") > 0), "snapshot_date")
-    signals = in_force(signals, quarterly_pass.filter(F.size("quarterly_ids") > 0), "snapshot_date")
-
+    annual_pass = annual_pass.filter(F.size("annual_ids") > 0)
+    quarterly_pass = quarterly_pass.filter(F.size("quarterly_ids") > 0)
+    signals = signals.withColumn("technical_ids", technical.strictest("technical_ids"))
+    annual_pass = annual_pass.withColumn("annual_ids", annual_tests.strictest("annual_ids"))
+    quarterly_pass = quarterly_pass.withColumn("quarterly_ids", quarterly_tests.strictest("quarterly_ids"))
+    signals = in_force(signals, annual_pass, "snapshot_date")
+    signals = in_force(signals, quarterly_pass, "snapshot_date")
+
+    passing_weeks = _passing_ids([_weekly_pass(t) for t in tolerances.values])
     weeks = weekly.select(
         *SECURITY,
         "week_end_date",
         F.col("future_weekly_confirmation_date").alias("h_date"),
         F.col("future_weekly_close_price").alias("h_price"),
-        _passing_ids([_weekly_pass(t) for t in tolerances]).alias("weekly_ids"),
-    )
+        passing_weeks.alias("weekly_ids"),
+    ).withColumn("weekly_ids", tolerances.strictest("weekly_ids"))
     matched = asof_join(
         signals,
         weeks,
@@ -329,35 +342,37 @@ def select_signals(
     )
     # Which weekly axis values select under each screen: all of them under A_F.
     a_f, a_h = "A_F", "A_H"
-    every_tolerance = F.array(*[F.lit(i) for i in range(len(tolerances))])
     screens = F.array(
-        F.struct(F.lit(a_f).alias("screen_type"), every_tolerance.alias("weekly_ids")),
+        F.struct(F.lit(a_f).alias("screen_type"), _ints(tolerances.top).alias("weekly_ids")),
         F.struct(
             F.lit(a_h).alias("screen_type"),
             F.coalesce("weekly_ids", F.array().cast("array<int>")).alias("weekly_ids"),
         ),
     )
-    combos = (
-        matched.select(*SECURITY, "snapshot_date", "weekly_ids", "technical_ids", "annual_ids", "quarterly_ids")
-        .withColumn("_screen", F.explode(screens))
+    points = (
+        matched.withColumn("_screen", F.explode(screens))
         .withColumn("screen_type", F.col("_screen.screen_type"))
         .withColumn("weekly_id", F.explode("_screen.weekly_ids"))
         .withColumn("technical_id", F.explode("technical_ids"))
         .withColumn("annual_id", F.explode("annual_ids"))
         .withColumn("quarterly_id", F.explode("quarterly_ids"))
+        .drop("_screen", "weekly_ids", "technical_ids", "annual_ids", "quarterly_ids")
     )
-    axis_keys = ["technical_id", "annual_id", "quarterly_id", "weekly_id"]
-    first = combos.groupBy("screen_type", *axis_keys, *SECURITY).agg(F.min("snapshot_date").alias("snapshot_date"))
-    # A security has one row per date.
-    first = first.join(matched.drop("weekly_ids", "technical_ids", "annual_ids", "quarterly_ids"), [*SECURITY, "snapshot_date"])
+    axes = {
+        "technical_id": technical,
+        "annual_id": annual_tests,
+        "quarterly_id": quarterly_tests,
+        "weekly_id": tolerances,
+    }
+    first = lattice_first(points, axes, [*SECURITY, "screen_type"], "snapshot_date")
     ids = spark.createDataFrame(
         [
             (
                 p.parameter_set_id,
-                technical[p.technical],
-                annual_tests[p.annual],
-                quarterly_tests[p.quarterly],
-                tolerances[p.weekly_ma_tolerance_pct],
+                technical.ids[p.technical],
+                annual_tests.ids[p.annual],
+                quarterly_tests.ids[p.quarterly],
+                tolerances.ids[p.weekly_ma_tolerance_pct],
             )
             for p in grid
         ],
@@ -367,7 +382,7 @@ def select_signals(
     confirmed = F.col("screen_type") == a_h
     f_price = F.coalesce("future_daily_adjusted_close_price", "future_daily_close_price")
     passed, unknown = F.lit(True), F.lit(None).cast("boolean")
-    return first.join(ids, axis_keys).select(
+    return first.join(ids, list(axes)).select(
         "parameter_set_id",
         "screen_type",
         F.col("snapshot_date").alias("signal_date"),
@@ -389,6 +404,67 @@ def select_signals(
     )
 
 
+class Axis:
+    """Distinct values of a grid axis, numbered in order of appearance, with their order.
+
+    ``implies(a, b)`` says whether every row that passes value a passes b.
+    """
+
+    def __init__(self, values: Iterable, implies: Callable[[Any, Any], bool]):
+        self.values = list(dict.fromkeys(values))
+        self.ids = {v: i for i, v in enumerate(self.values)}
+        numbered = list(enumerate(self.values))
+        #: Per value the numbers that it implies, itself included, and those that imply it.
+        self.implied = [[j for j, b in numbered if implies(a, b)] for a in self.values]
+        self.stricter = [[j for j, a in numbered if implies(a, b) and not implies(b, a)] for b in self.values]
+        #: Values that no other one implies.
+        self.top = [i for i, s in enumerate(self.stricter) if not s]
+
+    def strictest(self, passed: str) -> Column:
+        """Of the numbers of passed values, those that no other passed value implies."""
+        if len(self.values) == 1:
+            return F.col(passed)
+        stricter = F.array(*[_ints(s) for s in self.stricter])
+        return F.filter(passed, lambda i: ~F.arrays_overlap(F.col(passed), F.element_at(stricter, i + 1)))
+
+
+def _ints(numbers: Sequence[int]) -> Column:
+    return F.array(*[F.lit(i) for i in numbers]).cast("array<int>")
+
+
+def _technical_implies(a: tuple, b: tuple) -> bool:
+    """Starts later and ends earlier, and asks for a larger ratio, more days, a narrower band."""
+    (start, end, ratio, days, tolerance), (other_start, other_end, other_ratio, other_days, other_tolerance) = a, b
+    ends = other_end is None or (end is not None and end <= other_end)
+    return start >= other_start and ends and ratio >= other_ratio and days >= other_days and tolerance <= other_tolerance
+
+
+def _periods_imply(a: tuple, b: tuple) -> bool:
+    """As much growth in as many of the last periods."""
+    return a[0] >= b[0] and a[1] >= b[1]
+
+
+def lattice_first(points: DataFrame, axes: dict[str, Axis], keys: Sequence[str], date: str) -> DataFrame:
+    """The earliest row per key and lattice point, over all points that imply it.
+
+    ``points`` has one column per axis with the number of a value.  Rows are reduced to one
+    per key and point that occurs; then each axis in turn hands its rows to the values that
+    they imply and keeps the earliest again, so no key ever has more rows than lattice points
+    times the values of one axis.  Dates are unique per key; rows keep all their columns.
+    """
+    order = Window.partitionBy(*keys, *axes).orderBy(date)
+
+    def earliest(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_position", F.row_number().over(order)).filter("_position = 1").drop("_position")
+
+    rows = earliest(points)
+    for name, axis in axes.items():
+        if len(axis.values) > 1:
+            implied = F.array(*[_ints(i) for i in axis.implied])
+            rows = earliest(rows.withColumn(name, F.explode(F.element_at(implied, F.col(name) + 1))))
+    return rows
+
+
 def technical_candidates(daily: DataFrame, tests: Sequence[tuple]) -> DataFrame:
     """Rows that pass C, D, E and F for at least one technical axis value, with those ids.
 
@@ -448,11 +524,6 @@ def _passing_ids(conditions: Sequence[Column]) -> Column:
     return F.array_compact(F.array(*[F.when(c, F.lit(i)) for i, c in enumerate(conditions)]))
 
 
-def _axis(values) -> dict:
-    """Distinct axis values numbered in order of appearance."""
-    return {v: i for i, v in enumerate(dict.fromkeys(values))}
-
-
 # --- outcomes -------------------------------------------------------------------------
 
 

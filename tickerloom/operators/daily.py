@@ -58,10 +58,15 @@ def clean_daily(
     tiebreak: Sequence[str] = TIEBREAK,
     need_volume: bool = True,
     keep_raw: bool = False,
+    laid_out: bool = False,
 ) -> DataFrame:
-    """Adjusted, filtered and deduplicated daily rows."""
+    """Adjusted, filtered and deduplicated daily rows.
+
+    ``laid_out``: the rows are stored by security, so one sort by security and date serves the
+    deduplication and every window after it, and nothing is shuffled.
+    """
     rows = priced_rows(raw, need_volume, keep_raw)
-    return daily_rows_once(rows, [*SECURITY, "date"], tiebreak)
+    return daily_rows_once(rows, [*SECURITY, "date"], tiebreak, laid_out)
 
 
 def add_daily_indicators(rows: DataFrame, date: str = "date") -> DataFrame:
@@ -93,9 +98,14 @@ def flag_f(low: float = HELPER_BAND[0], high: float = HELPER_BAND[1]) -> Column:
     return or_false(clustered & crossed_above("prev_ma20", "prev_ma50", "ma20", "ma50"))
 
 
-def daily_history(raw: DataFrame, tiebreak: Sequence[str] = TIEBREAK) -> DataFrame:
+def daily_history(raw: DataFrame, tiebreak: Sequence[str] = TIEBREAK, laid_out: bool = False) -> DataFrame:
     """Metrics for every date of ``raw``."""
-    rows = add_daily_ratios(add_daily_indicators(clean_daily(raw, tiebreak)))
+    return history_of_clean(clean_daily(raw, tiebreak, laid_out=laid_out))
+
+
+def history_of_clean(rows: DataFrame) -> DataFrame:
+    """Metrics of cleaned rows, one per security and date."""
+    rows = add_daily_ratios(add_daily_indicators(rows))
     rows = add_previous(rows, [*MEANS, *RATIOS], "date")
     return rows.withColumns({"flag_e": flag_e(), "flag_f": flag_f()})
 

@@ -26,16 +26,18 @@ def annual_base(raw: DataFrame) -> DataFrame:
     )
 
 
-def annual_growth(raw: DataFrame) -> DataFrame:
+def annual_growth(raw: DataFrame, laid_out: bool = False) -> DataFrame:
     """Annual growth history: each fiscal year against the previous available one.
 
     Deduplication bounds a company to one row per fiscal year, and the lag and the
-    recency rank share its partitioning.
+    recency rank share its partitioning.  ``laid_out``: ``raw`` is stored by company, and nothing
+    is shuffled.
     """
     rows = latest_per_key(
         annual_base(raw),
         ["gvkey", "fyear"],
         ["datadate", "annual_revenue", "annual_operating_income"],
+        laid_out,
     )
     by_year = Window.partitionBy("gvkey").orderBy("fyear")
     recent = Window.partitionBy("gvkey").orderBy(F.desc("fyear"), F.desc_nulls_last("datadate"))
@@ -69,7 +71,7 @@ def quarterly_base(raw: DataFrame) -> DataFrame:
     )
 
 
-def quarterly_growth(raw: DataFrame) -> DataFrame:
+def quarterly_growth(raw: DataFrame, laid_out: bool = False) -> DataFrame:
     """Quarterly growth history: each quarter against the same quarter of the prior year.
 
     The prior-year match is a lag over ``(gvkey, fqtr)`` kept only when the lagged fiscal
@@ -80,6 +82,7 @@ def quarterly_growth(raw: DataFrame) -> DataFrame:
         quarterly_base(raw),
         ["gvkey", "fyearq", "fqtr"],
         ["datadate", "quarterly_revenue", "quarterly_operating_income"],
+        laid_out,
     )
     same_quarter = Window.partitionBy("gvkey", "fqtr").orderBy("fyearq")
     recent = Window.partitionBy("gvkey").orderBy(

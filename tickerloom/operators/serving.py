@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import SECURITY
 from ..functions.dates import months_before
 from .calendar import with_official_week_end
+from .dedup import keep_first
 from .universe import annotate_universe
 
 DAILY_FUTURE = {
@@ -49,17 +50,18 @@ def in_lookback(df: DataFrame, months: int = 3, date: str = "date") -> DataFrame
 def security_master(daily: DataFrame) -> DataFrame:
     """Current state per security: latest identity, first and last seen, activity, universe.
 
-    One partially aggregated pass; the latest row travels as a struct inside ``max_by``.
+    First and last dates are a hash aggregate over fixed-width values; the identity is fetched
+    by a join on the security, of which the row at the last date stays (no other is as late).
+    Rows laid out by security meet without an exchange.  Of rows that share the last date
+    the one with the greatest identity counts.
     """
     identity = ("ticker", "company_name", "exchange_code", "security_status", "issue_type_code")
     carried = [*identity, *(["source_path"] if "source_path" in daily.columns else [])]
+    seen = daily.groupBy(*SECURITY).agg(F.min("date").alias("first_seen_date"), F.max("date").alias("last_seen_date"))
+    last = daily.select(*SECURITY, "date", *carried).join(seen, [*SECURITY]).filter("date >= last_seen_date")
+    rows = keep_first(last, SECURITY, [F.desc_nulls_last(c) for c in carried], laid_out=True)
     latest = daily.select(F.max("date")).scalar()
-    state = daily.groupBy(*SECURITY).agg(
-        F.max_by(F.struct(*carried), F.col("date")).alias("now"),
-        F.min("date").alias("first_seen_date"),
-        F.max("date").alias("last_seen_date"),
-    )
-    rows = state.select(*SECURITY, "now.*", "first_seen_date", "last_seen_date")
+    rows = rows.select(*SECURITY, *carried, "first_seen_date", "last_seen_date")
     rows = rows.withColumnRenamed("issue_type_code", "security_type")
     return annotate_universe(rows.withColumn("is_active", F.col("last_seen_date") == latest))
 

@@ -259,15 +259,18 @@ RUN_VALUES = (
 def run_grid(spark, sf):
     """The whole backtest from raw rows to stored outcomes, logged, and read back from the store."""
     from ..sources import sinks
+    from ..sources.layout import store_by_key
     from ..sources.workspace import materialize, workspace
+    from . import tables
     from .layers import build_annual, build_quarterly
 
     folder = workspace(spark)
     store, log = f"{folder}/outcomes", f"{folder}/runs"
 
     def work() -> int:
-        daily = materialize(build_bt_daily(spark, sf), "daily", folder)
-        weekly = materialize(backtest.weekly_features(daily), "weekly", folder)
+        features = backtest.daily_features(tables.raw_daily(spark, sf), START, END, tiebreak=tables.TIEBREAK)
+        daily = store_by_key(features, "daily", sort_by=["snapshot_date"], folder=folder)
+        weekly = store_by_key(backtest.weekly_features(daily), "weekly", sort_by=["week_end_date"], folder=folder)
         selections = backtest.select_signals(
             daily,
             weekly,
@@ -278,7 +281,8 @@ def run_grid(spark, sf):
             QUARTERLY_ORDER,
         )
         selections = materialize(selections, "selections", folder)
-        sinks.write_sets(backtest.price_outcomes(selections, daily, folder), store)
+        outcomes = backtest.price_outcomes(selections, daily, folder)
+        sinks.write_sets(outcomes, store, [p.parameter_set_id for p in GRID])
         return spark.read.parquet(store).count()
 
     backtest.recorded_run(spark, log, "grid", START, END, len(GRID), work)

@@ -134,7 +134,7 @@ def _(spark, sf):
 
 
 def _daily_rows(spark, sf):
-    return daily.clean_daily(t.prices(spark, sf), t.TIEBREAK)
+    return layer(spark, sf, "prices")
 
 
 def _indicators(spark, sf):
@@ -207,12 +207,13 @@ DAILY_COLUMNS = (
 @query("c03_daily_metrics", DAILY_COLUMNS, "target_daily")
 def daily_metrics(spark, sf):
     """Latest five dates from a 250-day warm-up window."""
-    return daily.daily_metrics(t.raw_daily(spark, sf), tiebreak=t.TIEBREAK)
+    return t.with_names(spark, sf, daily.daily_metrics(t.prices(spark, sf), tiebreak=t.TIEBREAK))
 
 
 @query("c03_daily_metrics_full_history", DAILY_COLUMNS, "daily")
 def _(spark, sf):
-    return daily.daily_history(t.raw_daily(spark, sf), t.TIEBREAK)
+    """Every date, from rows stored by security: no exchange."""
+    return daily.daily_history(layer(spark, sf, "prices"), t.TIEBREAK, laid_out=True)
 
 
 @query("p06_target_dates_after_windows", "date gvkey iid ma100:float", "target_daily")
@@ -513,17 +514,17 @@ QUARTERLY_COLUMNS = (
 
 @query("c01_annual_growth", ANNUAL_COLUMNS, "annual")
 def annual_growth(spark, sf):
-    return growth.annual_growth(t.raw_annual(spark, sf))
+    return growth.annual_growth(t.raw_annual(spark, sf), laid_out=True)
 
 
 @query("c02_quarterly_growth", QUARTERLY_COLUMNS, "quarterly")
 def quarterly_growth(spark, sf):
-    return growth.quarterly_growth(t.raw_quarterly(spark, sf))
+    return growth.quarterly_growth(t.raw_quarterly(spark, sf), laid_out=True)
 
 
 @query("w07_previous_fiscal_year", "gvkey fyear:int prev_annual_revenue prev_annual_operating_income", "annual")
 def _(spark, sf):
-    return growth.annual_growth(t.raw_annual(spark, sf))
+    return growth.annual_growth(t.raw_annual(spark, sf), laid_out=True)
 
 
 @query(
@@ -532,7 +533,7 @@ def _(spark, sf):
     "quarterly",
 )
 def _(spark, sf):
-    return growth.quarterly_growth(t.raw_quarterly(spark, sf))
+    return growth.quarterly_growth(t.raw_quarterly(spark, sf), laid_out=True)
 
 
 @query(
@@ -541,12 +542,12 @@ def _(spark, sf):
     "annual",
 )
 def _(spark, sf):
-    return growth.annual_growth(t.raw_annual(spark, sf))
+    return growth.annual_growth(t.raw_annual(spark, sf), laid_out=True)
 
 
 @query("w11_recency_rank", "gvkey fyearq:int fqtr:int quarterly_rank_desc:int", "quarterly")
 def _(spark, sf):
-    return growth.quarterly_growth(t.raw_quarterly(spark, sf))
+    return growth.quarterly_growth(t.raw_quarterly(spark, sf), laid_out=True)
 
 
 _IDENTITY = """
@@ -630,8 +631,8 @@ LEFT JOIN ({growth_flag_sql("annual", ANNUAL_STATS, 2, -0.2, "flag_a")}) x ON i.
 LEFT JOIN ({growth_flag_sql("quarterly", QUARTERLY_STATS, 2, -0.2, "flag_b")}) y ON i.gvkey = y.gvkey)""",
 )
 def screen_fundamentals(spark, sf):
-    a = growth.annual_growth(t.raw_annual(spark, sf))
-    q = growth.quarterly_growth(t.raw_quarterly(spark, sf))
+    a = growth.annual_growth(t.raw_annual(spark, sf), laid_out=True)
+    q = growth.quarterly_growth(t.raw_quarterly(spark, sf), laid_out=True)
     return growth.screen_fundamentals(a, q, n_pct=-20, annual_years=2, quarter_count=2)
 
 

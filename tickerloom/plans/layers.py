@@ -10,8 +10,12 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import SECURITY
 from ..operators import backtest, daily, growth, weekly
-from ..sources.workspace import materialize
+from ..sources import sinks
+from ..sources.layout import store_by_key
+from ..sources.partitions import DATE_PARTITIONS, Folder
+from ..sources.workspace import materialize, workspace
 from . import tables
 
 START, END = dt.date(1996, 1, 1), dt.date(2001, 12, 31)
@@ -31,28 +35,50 @@ AXES = backtest.GridAxes(
 )
 GRID = AXES.sets(START)
 
-_written: dict[tuple[str, str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], tuple[DataFrame, str]] = {}
+
+
+def build_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows with a known adjusted close and volume, one per security and date, with names.
+
+    Copies go before the rows are laid out by security: a hot one does not fill a bucket.
+    """
+    return tables.with_names(spark, sf_dir, daily.clean_daily(tables.prices(spark, sf_dir), tables.TIEBREAK))
+
+
+def build_bt_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``prices``, with the backtest's adjusted close, which falls back on the raw one."""
+    rows = daily.clean_daily(tables.prices(spark, sf_dir), tables.TIEBREAK, keep_raw=True)
+    return tables.with_names(spark, sf_dir, rows)
 
 
 def build_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily.daily_history(tables.raw_daily(spark, sf_dir), tables.TIEBREAK)
+    return daily.daily_history(layer(spark, sf_dir, "prices"), tables.TIEBREAK, laid_out=True)
 
 
 def build_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.weekly_history(tables.raw_daily(spark, sf_dir), tiebreak=tables.TIEBREAK)
 
 
+def build_raw_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.prices(spark, sf_dir)
+
+
+def build_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.quarter_sums(spark, sf_dir)
+
+
 def build_annual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return growth.annual_growth(tables.raw_annual(spark, sf_dir))
+    return growth.annual_growth(tables.raw_annual(spark, sf_dir), laid_out=True)
 
 
 def build_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return growth.quarterly_growth(tables.raw_quarterly(spark, sf_dir))
+    return growth.quarterly_growth(tables.raw_quarterly(spark, sf_dir), laid_out=True)
 
 
 def build_bt_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = tables.raw_daily(spark, sf_dir)
-    return backtest.daily_features(raw, START, END, tiebreak=tables.TIEBREAK)
+    prices = layer(spark, sf_dir, "bt_prices")
+    return backtest.daily_features(prices, START, END, tiebreak=tables.TIEBREAK, laid_out=True)
 
 
 def build_bt_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,6 +103,10 @@ def build_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BUILDERS = {
+    "raw_dated": build_raw_dated,
+    "prices": build_prices,
+    "bt_prices": build_bt_prices,
+    "filings": build_filings,
     "daily": build_daily,
     "weekly": build_weekly,
     "annual": build_annual,
@@ -88,20 +118,42 @@ BUILDERS = {
 }
 
 
+#: Layers stored by key, with the order of a key's rows; the others are plain tables.
+LAID_OUT = {
+    "prices": (SECURITY, ("date",)),
+    "bt_prices": (SECURITY, ("date",)),
+    "filings": (("gvkey",), ("fyearq", "fqtr")),
+    "daily": (SECURITY, ("date",)),
+    "bt_daily": (SECURITY, ("snapshot_date",)),
+    "bt_weekly": (SECURITY, ("week_end_date",)),
+}
+
+
+#: Layers in date partitions.
+DATED = ("raw_dated",)
+
+
 def layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The layer's table; the first caller in a session builds and writes it."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _written or not _readable(_written[key]):
-        _written[key] = materialize(BUILDERS[name](spark, sf_dir), name)
-    return _written[key]
+    return _stored(spark, sf_dir, name)[0]
+
+
+def layer_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Where the layer's table is stored."""
+    return f"{_stored(spark, sf_dir, name)[1]}/{name}"
 
 
-def _readable(df: DataFrame) -> bool:
-    """Whether the table's folder still exists."""
-    jvm = df.sparkSession.sparkContext._jvm
-    files = df.inputFiles()
-    if not files:
-        return False
-    path = jvm.org.apache.hadoop.fs.Path(files[0])
-    fs = path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(path))
+def _stored(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, str]:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _written or not Folder(spark, _written[key][1]).exists(name):
+        folder, rows = workspace(spark), BUILDERS[name](spark, sf_dir)
+        if name in LAID_OUT:
+            keys, order = LAID_OUT[name]
+            table = store_by_key(rows, name, keys, order, folder=folder)
+        elif name in DATED:
+            sinks.write_daily(rows, f"{folder}/{name}")
+            table = spark.read.parquet(f"{folder}/{name}").drop(*DATE_PARTITIONS)
+        else:
+            table = materialize(rows, name, folder)
+        _written[key] = table, folder
+    return _written[key]

@@ -6,12 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import screens, universe
+from ..operators import refresh, screens, universe
 from ..sources import ingest, lake, sinks
 from ..sources.workspace import workspace
 from . import tables as t
-from .layers import layer
-from .oracle import BT_END, BT_START
+from .layers import layer, layer_path
+from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql
 from .registry import query
 from .screening import KNOBS, _SCREEN, master, screen
 
@@ -50,6 +50,11 @@ def _window_sql(condition: str) -> str:
     return f"SELECT * FROM raw WHERE {condition}"
 
 
+def _dated(spark, sf):
+    """The raw rows in date partitions; bounds of windows come from the names of their folders."""
+    return lake.DatedTable(spark, layer_path(spark, sf, "raw_dated"))
+
+
 @query(
     "s04_target_window",
     _RAW_COLUMNS,
@@ -58,12 +63,12 @@ def _window_sql(condition: str) -> str:
     ),
 )
 def _(spark, sf):
-    return lake.window_for_targets(t.prices(spark, sf))
+    return _dated(spark, sf).target_window()
 
 
 @query("s05_weekly_window", _RAW_COLUMNS, _window_sql("date >= (SELECT max(date) FROM raw) - 500"))
 def _(spark, sf):
-    return lake.window_for_weeks(t.prices(spark, sf))
+    return _dated(spark, sf).week_window()
 
 
 @query(
@@ -72,12 +77,12 @@ def _(spark, sf):
     _window_sql(f"date BETWEEN DATE '{BT_START}' - 420 AND DATE '{BT_END}'"),
 )
 def _(spark, sf):
-    return lake.window_for_backtest(t.prices(spark, sf), BT_START, BT_END)
+    return _dated(spark, sf).backtest_window(dt.date.fromisoformat(BT_START), dt.date.fromisoformat(BT_END))
 
 
 @query("s07_lookback_window", _RAW_COLUMNS, _window_sql("date >= (SELECT max(date) FROM raw) - INTERVAL 3 MONTH"))
 def _(spark, sf):
-    return lake.window_for_lookback(t.prices(spark, sf), 3)
+    return _dated(spark, sf).lookback_window(3)
 
 
 @query(
@@ -161,12 +166,14 @@ def _(spark, sf):
     return ingest.ingest_quarterly(t.vendor_quarterly(spark, sf), t.vendor_daily(spark, sf), "1998-01-01")
 
 
-# Archived source: names change every year, and a name record can fail the listing filters.
+# Archived source: names change every year, a third of the securities have a further name without
+# an end beside them, and a name record can fail the listing filters.
 _NAMES = """
 SELECT l_suppkey AS permno, make_date(CAST(y AS INTEGER), 1, 1) AS namedt, make_date(CAST(y AS INTEGER), 12, 31) AS nameenddt,
   'N' || CAST(l_suppkey AS VARCHAR) || '-' || CAST(y AS VARCHAR) AS ticker, CASE WHEN lowest_tax = 0 THEN 3 ELSE 1 END AS exchcd,
   CASE WHEN lowest_discount = 0 THEN 10 ELSE 12 END AS shrcd
-FROM (SELECT l_suppkey, year(l_shipdate) AS y, min(l_tax) AS lowest_tax, min(l_discount) AS lowest_discount FROM lineitem GROUP BY ALL)"""
+FROM (SELECT l_suppkey, year(l_shipdate) AS y, min(l_tax) AS lowest_tax, min(l_discount) AS lowest_discount FROM lineitem GROUP BY ALL)
+UNION ALL SELECT DISTINCT l_suppkey, DATE '1996-06-15', NULL, 'X' || CAST(l_suppkey AS VARCHAR), 3, 10 FROM lineitem WHERE l_suppkey % 3 = 0"""
 
 
 def _archive(spark, sf):
@@ -188,14 +195,22 @@ def _archive(spark, sf):
         F.when(F.col("lowest_tax") == 0, 3).otherwise(1).alias("exchcd"),
         F.when(F.col("lowest_discount") == 0, 10).otherwise(12).alias("shrcd"),
     )
-    return prices, names
+    other = line.filter(F.col("l_suppkey") % 3 == 0).select(
+        F.col("l_suppkey").alias("permno"),
+        F.lit("1996-06-15").cast("date").alias("namedt"),
+        F.lit(None).cast("date").alias("nameenddt"),
+        F.concat(F.lit("X"), F.col("l_suppkey")).alias("ticker"),
+        F.lit(3).alias("exchcd"),
+        F.lit(10).alias("shrcd"),
+    )
+    return prices, names.unionByName(other.distinct())
 
 
 @query(
     "s15_ingest_archive",
     "permno date prc vol ticker exchcd:int shrcd:int",
     f"SELECT l_suppkey AS permno, CAST(l_shipdate AS DATE) AS date, l_extendedprice AS prc, l_quantity AS vol, n.ticker, n.exchcd, n.shrcd "
-    f"FROM lineitem JOIN ({_NAMES}) n ON l_suppkey = n.permno AND CAST(l_shipdate AS DATE) BETWEEN namedt AND nameenddt "
+    f"FROM lineitem JOIN ({_NAMES}) n ON l_suppkey = n.permno AND CAST(l_shipdate AS DATE) BETWEEN namedt AND coalesce(nameenddt, DATE '9999-12-31') "
     "WHERE year(l_shipdate) = 1997 AND exchcd = 3 AND shrcd IN (10, 11)",
 )
 def _(spark, sf):
@@ -206,7 +221,7 @@ def _(spark, sf):
     "j13_names_in_force",
     "permno date ticker row_count",
     f"SELECT l_suppkey AS permno, CAST(l_shipdate AS DATE) AS date, n.ticker, count(*) AS row_count FROM lineitem JOIN ({_NAMES}) n "
-    "ON l_suppkey = n.permno AND CAST(l_shipdate AS DATE) BETWEEN namedt AND nameenddt GROUP BY ALL",
+    "ON l_suppkey = n.permno AND CAST(l_shipdate AS DATE) BETWEEN namedt AND coalesce(nameenddt, DATE '9999-12-31') GROUP BY ALL",
 )
 def _(spark, sf):
     rows = ingest.with_names_in_force(*_archive(spark, sf))
@@ -317,66 +332,85 @@ def _(spark, sf):
     return lake.read_parquet(spark, path, merge=False)
 
 
-_MASTER_SPLIT = "first_seen_date >= DATE '1995-02-01'"
-
-
 @query(
     "s22_upsert_by_key",
     "gvkey iid last_seen_date source created_at",
-    f"SELECT gvkey, iid, last_seen_date, CASE WHEN {_MASTER_SPLIT} THEN 'new' ELSE 'old' END AS source, "
-    "'first load' AS created_at FROM master WHERE first_seen_date < DATE '1995-03-01' UNION ALL "
-    "SELECT gvkey, iid, last_seen_date, 'new', 'second load' FROM master WHERE first_seen_date >= DATE '1995-03-01'",
+    "SELECT gvkey, iid, last_seen_date, CASE WHEN CAST(gvkey AS BIGINT) % 2 = 0 THEN 'new' ELSE 'old' END AS source, "
+    "CASE WHEN CAST(gvkey AS BIGINT) % 4 = 0 THEN 'second load' ELSE 'first load' END AS created_at FROM master",
 )
 def _(spark, sf):
     """Matched keys take the new values but keep ``created_at``; unmatched ones are inserted."""
-    rows = master(spark, sf).select("gvkey", "iid", "first_seen_date", "last_seen_date")
-    target = rows.filter("first_seen_date < DATE '1995-03-01'").withColumns(
-        {"source": F.lit("old"), "created_at": F.lit("first load")}
-    )
-    updates = rows.filter(_MASTER_SPLIT).withColumns(
-        {"source": F.lit("new"), "created_at": F.lit("second load")}
-    )
+    rows = master(spark, sf).select("gvkey", "iid", "last_seen_date")
+    number = F.col("gvkey").cast("long")
+    target = rows.filter(number % 4 != 0).withColumns({"source": F.lit("old"), "created_at": F.lit("first load")})
+    updates = rows.filter(number % 2 == 0).withColumns({"source": F.lit("new"), "created_at": F.lit("second load")})
     path = f"{workspace(spark)}/master"
-    sinks.write_parquet(target, path)
-    stored = lake.read_parquet(spark, path, merge=False)
-    sinks.replace_table(sinks.upsert(stored, updates, ["gvkey", "iid"]), path)
+    sinks.write_buckets(target, path, ["gvkey", "iid"], 16)
+    sinks.upsert_buckets(spark, path, updates, ["gvkey", "iid"])
     return lake.read_parquet(spark, path, merge=False)
 
 
 @query(
     "s23_replace_date_window",
-    "date row_count replaced:long",
-    "SELECT date, count(*) AS row_count, CASE WHEN date BETWEEN DATE '1999-01-01' AND DATE '1999-03-31' THEN count(*) ELSE 0 END AS replaced "
-    "FROM daily WHERE year(date) = 1999 AND date <> DATE '1999-02-03' GROUP BY date",
+    "date row_count replaced:long volume volume_ratio:float",
+    "SELECT date, count(*) AS row_count, CASE WHEN date BETWEEN DATE '1999-01-01' AND DATE '1999-03-31' THEN count(*) ELSE 0 END AS replaced, "
+    "sum(volume) AS volume, avg(volume_ratio) AS volume_ratio FROM daily WHERE date <> DATE '1999-02-03' GROUP BY date",
 )
 def _(spark, sf):
-    """The whole daily layer, stored, of which the dates of one quarter are loaded anew, read back.
-
-    Every date is compared with the same replacement without a store, and a difference is an
-    error; the result is 1999.
-    """
-    return replaced_window(spark, layer(spark, sf, "daily")).filter(F.year("date") == 1999)
-
-
-def replaced_window(spark, daily, store=sinks.store_date_window):
-    """(date, row_count, replaced) of all dates after ``store`` has replaced the quarter."""
+    """All dates of the stored daily layer after one quarter was loaded anew; the load lacks a day."""
     first, last = "1999-01-01", "1999-03-31"
     path = f"{workspace(spark)}/daily"
-    rows = daily.select("date", "gvkey", "iid")
+    rows = layer(spark, sf, "daily").select("date", "gvkey", "iid", "volume", "volume_ratio")
     sinks.write_daily(rows.withColumn("load", F.lit(0)), path)
-    odd = F.col("date") != F.lit("1999-02-03").cast("date")  # a day that the new load lacks
+    odd = F.col("date") != F.lit("1999-02-03").cast("date")
     new = rows.filter(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")) & odd)
-    store(new.withColumn("load", F.lit(1)), path, first, last)
-    merged = lake.read_parquet(spark, path, merge=False)
-    got = merged.groupBy("date").agg(F.count("*").alias("row_count"), F.sum("load").alias("replaced"))
-    unstored = sinks.replace_date_window(rows.withColumn("load", F.lit(0)), new.withColumn("load", F.lit(1)), "date")
-    want = unstored.groupBy("date").agg(F.count("*").alias("_rows"), F.sum("load").alias("_replaced"))
-    both = got.join(want, "date", "full")
-    same = F.col("row_count").eqNullSafe(F.col("_rows")) & F.col("replaced").eqNullSafe(F.col("_replaced"))
-    wrong = both.filter(~same).select(F.min("date").alias("first"), F.count("*").alias("n")).first()
-    if wrong["n"]:
-        raise ValueError(f"{wrong['n']} dates differ after the replacement, the first is {wrong['first']}")
-    return got
+    sinks.store_date_window(new.withColumn("load", F.lit(1)), path, first, last, keys=["gvkey", "iid"])
+    return lake.read_parquet(spark, path, merge=False).groupBy("date").agg(
+        F.count("*").alias("row_count"),
+        F.sum("load").alias("replaced"),
+        F.sum("volume").alias("volume"),
+        F.avg("volume_ratio").alias("volume_ratio"),
+    )
+
+
+_FIRST_CHANGE, _SECOND_CHANGE = "1998-06-03", "1999-02-03"
+_REVISED = f"""
+SELECT * REPLACE (CASE WHEN adjusted_close_price IS NOT NULL THEN adjusted_close_price
+                       WHEN adjustment_factor <> 0 THEN close_price_raw / adjustment_factor END AS adjusted_close_price)
+FROM (SELECT * REPLACE (CASE WHEN date = DATE '{_FIRST_CHANGE}' THEN 2 * close_price_raw ELSE close_price_raw END AS close_price_raw,
+                        CASE WHEN date = DATE '{_FIRST_CHANGE}' THEN volume + 1 ELSE volume END AS volume)
+      FROM raw WHERE date <> DATE '{_SECOND_CHANGE}' OR CAST(gvkey AS BIGINT) % 2 = 1)"""
+_REVISED_ONCE = f"""
+(SELECT * FROM ({_REVISED}) WHERE adjusted_close_price IS NOT NULL AND volume IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY gvkey, iid, date ORDER BY {RAW_ORDER}) = 1) AS revised"""
+
+
+@query(
+    "s09_c03_rebuild_changed",
+    "date gvkey iid ticker company_name adjusted_close_price volume volume_ma30 volume_ratio ma20:float ma50:float ma100:float "
+    "daily_ma_cluster_ratio:float prev_ma20:float prev_ma100:float prev_ma50_ma100_ratio:float flag_e flag_f",
+    daily_sql(_REVISED_ONCE),
+)
+def rebuild_changed(spark, sf):
+    """All dates of the stored daily metrics after rows of two dates were downloaded anew.
+
+    Prices and volumes of the first date changed, half of the second date's rows are gone.  Only
+    rows that depend on them are computed again; the SQL rebuilds everything.
+    """
+    raw = t.prices(spark, sf)
+    path = f"{workspace(spark)}/daily"
+    sinks.write_daily(layer(spark, sf, "daily"), path)
+    first = F.col("date") == F.lit(_FIRST_CHANGE).cast("date")
+    second = F.col("date") == F.lit(_SECOND_CHANGE).cast("date")
+    revised = raw.withColumns(
+        {
+            "close_price_raw": F.when(first, 2 * F.col("close_price_raw")).otherwise(F.col("close_price_raw")),
+            "volume": F.when(first, F.col("volume") + 1).otherwise(F.col("volume")),
+        }
+    ).filter(~second | (F.col("gvkey").cast("long") % 2 == 1))
+    changed = refresh.changed_keys(raw.filter(first | second), revised.filter(first | second))
+    refresh.refresh_daily_store(spark, path, t.with_names(spark, sf, revised), changed, t.TIEBREAK)
+    return lake.read_parquet(spark, path, merge=False)
 
 
 @query(
@@ -389,9 +423,8 @@ def _(spark, sf):
     target = rows.withColumn("is_active", F.lit(True))
     updates = rows.filter("last_seen_date >= DATE '2001-10-15'")
     path = f"{workspace(spark)}/master"
-    sinks.write_parquet(target, path)
-    stored = lake.read_parquet(spark, path, merge=False)
-    sinks.replace_table(sinks.deactivate_then_upsert(stored, updates, ["gvkey", "iid"]), path)
+    sinks.write_buckets(target, path, ["gvkey", "iid"], 16)
+    sinks.upsert_buckets(spark, path, updates, ["gvkey", "iid"], deactivate="is_active")
     return lake.read_parquet(spark, path, merge=False)
 
 
@@ -406,10 +439,9 @@ def _(spark, sf):
     columns = ["parameter_set_id", "screen_type", "gvkey", "iid"]
     rows = layer(spark, sf, "outcomes").select(*columns).withColumn("run", F.lit(0))
     new = rows.filter("parameter_set_id BETWEEN 40 AND 60").withColumn("run", F.lit(1))
-    replaced = spark.range(40, 71).select(F.col("id").alias("parameter_set_id"))
     path = f"{workspace(spark)}/outcomes"
-    sinks.write_parquet(rows, path)
-    sinks.replace_table(sinks.replace_sets(lake.read_parquet(spark, path, merge=False), new, replaced), path)
+    sinks.write_sets(rows, path)
+    sinks.write_sets(new, path, range(40, 71))
     merged = lake.read_parquet(spark, path, merge=False)
     return merged.groupBy("parameter_set_id").agg(
         F.count("*").alias("row_count"), F.sum("run").alias("rerun")

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.asof import asof_join
+
 # Vendor column -> our column.
 DAILY_COLUMNS = {
     "datadate": "date",
@@ -155,10 +157,33 @@ def with_names_in_force(
     start: str = "namedt",
     end: str = "nameenddt",
 ) -> DataFrame:
-    """Attach the name record whose interval holds the price date (equi join with a range)."""
-    right = names.withColumnRenamed(key, "_key")
-    match = (F.col(key) == F.col("_key")) & F.col(date).between(F.col(start), F.col(end))
-    return prices.join(right, match).drop("_key")
+    """Attach each name record whose interval holds the price date.
+
+    Intervals may overlap; one without an end is open, one without a start is in force at no
+    time.  The records of a security are cut into segments in which the same ones are in force;
+    each of its dates meets one segment, by an ordered scan of both, and never the other
+    records.  Prices join their date again, so copies of a row are not gathered.  Dates without
+    a record in force are dropped.
+    """
+    dates = prices.select(key, date).distinct()
+    matched = asof_join(dates, name_segments(names, key, start, end), [key], date, "_begin", direction="backward")
+    known = matched.select(key, date, F.inline("_records"))
+    return prices.join(known, [key, date])
+
+
+def name_segments(names: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """(key, _begin, _records): from ``_begin`` to the next segment, these records are in force.
+
+    A security has some dozen name records in its life, so its list is small.
+    """
+    fields = [c for c in names.columns if c != key]
+    records = names.filter(F.col(start).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(*fields)).alias("_all"))
+    # The day after an end begins a segment too, possibly an empty one.
+    ends = F.array_compact(F.transform("_all", lambda r: F.date_add(r[end], 1)))
+    begins = F.array_distinct(F.concat(F.transform("_all", lambda r: r[start].cast("date")), ends))
+    cut = records.select(key, "_all", F.explode(begins).alias("_begin"))
+    in_force = F.filter("_all", lambda r: (r[start] <= F.col("_begin")) & (r[end].isNull() | (r[end] >= F.col("_begin"))))
+    return cut.select(key, "_begin", in_force.alias("_records"))
 
 
 def _within_year(date: str, year: int) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import months_before
 from ..operators.daily import target_bounds
+from .partitions import DATE_PARTITIONS, Folder
 
 
 def read_parquet(
@@ -61,6 +62,52 @@ def window_for_lookback(df: DataFrame, months: int = 3, date: str = "date") -> D
     return df.filter(F.col(date) >= months_before(latest, months))
 
 
+class DatedTable:
+    """A table in ``year=/month=/date=`` partitions, whose windows come from folder names.
+
+    The latest dates are known without reading data, so the bounds of a window are literals
+    and prune partitions when the query is planned.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, date: str = "date"):
+        self._spark, self._date = spark, date
+        columns = [*DATE_PARTITIONS, date]
+        found = Folder(spark, path).partitions(columns).values()
+        #: All dates that have a partition, ascending.
+        self.dates = sorted(dt.date.fromisoformat(p[date]) for p in found if p[date][:1].isdigit())
+        self.rows = spark.read.parquet(path).drop(*DATE_PARTITIONS)
+
+    @property
+    def latest(self) -> dt.date | None:
+        return self.dates[-1] if self.dates else None
+
+    def between(self, first: dt.date | None, last: dt.date | None = None) -> DataFrame:
+        """Rows from ``first`` to ``last``, or to the end; none if there is no first date."""
+        if first is None:
+            return self.rows.limit(0)
+        rows = self.rows.filter(F.col(self._date) >= F.lit(first))
+        return rows if last is None else rows.filter(F.col(self._date) <= F.lit(last))
+
+    def target_window(self, target_days: int = 5, warmup_days: int = 250) -> DataFrame:
+        """As ``window_for_targets``."""
+        targets = self.dates[-target_days:]
+        return self.between(targets[0] - dt.timedelta(warmup_days) if targets else None, self.latest)
+
+    def week_window(self, warmup_days: int = 500) -> DataFrame:
+        """As ``window_for_weeks``."""
+        return self.between(self.latest and self.latest - dt.timedelta(warmup_days))
+
+    def backtest_window(self, start: dt.date, end: dt.date, warmup_days: int = 420) -> DataFrame:
+        """As ``window_for_backtest``."""
+        return self.between(start - dt.timedelta(warmup_days), end)
+
+    def lookback_window(self, months: int = 3) -> DataFrame:
+        """As ``window_for_lookback``."""
+        if self.latest is None:
+            return self.rows.limit(0)
+        return self.rows.filter(F.col(self._date) >= months_before(F.lit(self.latest), months))
+
+
 def freshness(layers: dict[str, DataFrame], date: str = "date", reference: str | None = None) -> DataFrame:
     """Latest date per layer, rows and securities on it, and whether it matches the reference layer.
 

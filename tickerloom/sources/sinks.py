@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import SECURITY
+from .partitions import DATE_PARTITIONS, Folder, ReplaceError, replace_partitions, unique_keys
 
 MAX_RECORDS_PER_FILE = 20_000_000
 
@@ -25,14 +26,17 @@ def write_partitions(
 
     The rebalance hint lays rows out by partition (one file for a normal one) and lets
     adaptive execution split a partition that is too large for one task.  Rows are ordered
-    by key within a file, so that row-group statistics serve filters on a security.
+    by key within a file, so that row-group statistics serve filters on a security.  A table
+    that is not there yet needs no replacement of single partitions, which costs several
+    calls to the file system for each.
     """
     order = [*partition_by, *[c for c in sort_by if c in df.columns]]
+    mode = "dynamic" if Folder(df.sparkSession, path).exists() else "static"
     (
         df.hint("rebalance", *partition_by)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", mode)
         .option("compression", "zstd")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*partition_by)
@@ -113,6 +117,65 @@ def upsert(
     return merged.select(*columns)
 
 
+BUCKET = "bucket"
+
+
+def write_buckets(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Store a table by the hash of its keys, as the target of ``upsert_buckets``.
+
+    A few hundred MB per bucket are a good size; the number is kept beside the data.
+    """
+    write_partitions(_bucketed(df, keys, buckets), path, [BUCKET], sort_by=keys)
+    Folder(df.sparkSession, path).write_text("_buckets", str(buckets))
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+
+
+def upsert_buckets(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    keys: Sequence[str],
+    preserve: Sequence[str] = ("created_at",),
+    deactivate: str | None = None,
+    rename=None,
+) -> int:
+    """``upsert`` into a table stored by ``write_buckets``; returns the buckets rewritten.
+
+    Only buckets with updates are read, joined and replaced, all of them or none; the files of
+    the others stay as they are.  With ``deactivate``, the column of that name is first set
+    to false in all rows, which rewrites every bucket.  No updates, updates without their keys,
+    columns that the table does not have and a key that occurs twice are refused.
+    """
+    table = Folder(spark, path)
+    buckets = int(table.read_text("_buckets"))
+    stored = spark.read.parquet(path)
+    missing = [k for k in keys if k not in updates.columns]
+    strange = [c for c in updates.columns if c not in stored.columns]
+    if missing or strange:
+        raise ReplaceError(f"updates lack {missing} and have unknown columns {strange}")
+    new = _bucketed(updates, keys, buckets)
+    touched = sorted(r[BUCKET] for r in new.select(BUCKET).distinct().collect())  # at most one row per bucket
+    if not touched:
+        raise ReplaceError("there are no updates")
+    old = stored
+    if deactivate:
+        old, touched = stored.withColumn(deactivate, F.lit(False)), list(range(buckets))
+    rows = upsert(old.filter(F.col(BUCKET).isin(touched)), new, [BUCKET, *keys], preserve)
+    names = {str(b) for b in touched}
+    return replace_partitions(
+        spark,
+        path,
+        [BUCKET],
+        lambda stage: write_partitions(rows, stage, [BUCKET], sort_by=keys),
+        lambda values: values[BUCKET] in names,
+        unique_keys(keys),
+        rename,
+    )
+
+
 def deactivate_then_upsert(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], active: str = "is_active"
 ) -> DataFrame:
@@ -179,25 +242,25 @@ def replace_table(df: DataFrame, path: str, rename=None) -> None:
         fs.delete(hadoop(retired), True)
 
 
-def store_date_window(new: DataFrame, path: str, first: str, last: str, date: str = "date") -> None:
-    """Replace the dates ``first`` to ``last`` of a date-partitioned table by ``new``.
-
-    Partitions that ``new`` has are overwritten in one commit; dates of the window that it does
-    not have are dropped afterwards.  Dates outside the window must not occur in ``new``.
+def store_date_window(
+    new: DataFrame,
+    path: str,
+    first: str,
+    last: str,
+    date: str = "date",
+    keys: Sequence[str] | None = None,
+    rename=None,
+) -> int:
+    """Replace the dates ``first`` to ``last`` of a date-partitioned table by ``new``, or leave it as it is.
+
+    The window is staged, checked for ``keys`` that are null or occur twice, and moved in
+    partition by partition; a failure puts the old partitions back.  Dates of the window
+    that ``new`` does not have go.  A date outside the window is an error.
     """
-    bounds = F.col(date).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
-    checked = new.withColumn(
-        date, F.when(bounds, F.col(date)).otherwise(F.raise_error(F.lit(f"a date outside {first} to {last}")).cast("date"))
-    )
-    write_daily(checked, path, date)
-    spark = new.sparkSession
-    stored = spark.read.parquet(path)
-    parts = stored.filter(bounds).select("year", "month", date).distinct()
-    stale = parts.join(new.select(date).distinct(), date, "left_anti").collect()  # one row per day of the window
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for r in stale:
-        fs.delete(hadoop(f"{path}/year={r['year']}/month={int(r['month']):02d}/{date}={r[date]}"), True)
+    inside = lambda values: first <= values[date] <= last
+    columns = [*DATE_PARTITIONS, date]
+    check = unique_keys([*keys, date]) if keys else None
+    return replace_partitions(new.sparkSession, path, columns, lambda stage: write_daily(new, stage, date), inside, check, rename)
 
 
 def append_event(spark: SparkSession, path: str, event: DataFrame) -> None:
@@ -205,6 +268,20 @@ def append_event(spark: SparkSession, path: str, event: DataFrame) -> None:
     event.coalesce(1).write.mode("append").option("compression", "zstd").parquet(path)
 
 
-def write_sets(df: DataFrame, path: str, key: str = "parameter_set_id") -> None:
-    """Replace exactly the parameter sets that occur in ``df``."""
-    write_partitions(df, path, [key], sort_by=("screen_type", *SECURITY))
+def write_sets(
+    df: DataFrame, path: str, set_ids: Sequence[int] | None = None, key: str = "parameter_set_id", rename=None
+) -> int:
+    """Replace the rows of the parameter sets that were run, or leave the table as it is.
+
+    ``set_ids`` are the sets of the run (a list on the driver); one without rows loses those of
+    its last run.  Without it, the sets that occur in ``df`` are replaced.
+    """
+    ran = None if set_ids is None else {str(i) for i in set_ids}
+
+    def write(stage: str) -> None:
+        write_partitions(df, stage, [key], sort_by=("screen_type", *SECURITY))
+        nonlocal ran
+        if ran is None:
+            ran = {values[key] for values in Folder(df.sparkSession, stage).partitions([key]).values()}
+
+    return replace_partitions(df.sparkSession, path, [key], write, lambda values: values[key] in ran, rename=rename)
