@@ -72,6 +72,13 @@ def near_texts(seed, n):
     return rows
 
 
+def test_one_id_with_two_texts_keeps_the_links_of_both(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(5, one), (5, two), (9, one + " x"), (7, two + " y"), (5, one)]
+    got = jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == sorted([(5, 58, 5), (5, 58, 5), (5, 58, 5), (9, 59, 5), (7, 59, 5)])
+
+
 @pytest.mark.parametrize("words,percent,part_bytes", [(3, 90, 16 << 20), (5, 80, 16 << 20), (3, 80, 3000)])
 def test_join_equals_all_pairs(spark, monkeypatch, words, percent, part_bytes):
     monkeypatch.setattr(jaccard_join, "PART_BYTES", part_bytes)  # small: parts are searched block against block

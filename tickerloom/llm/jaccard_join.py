@@ -19,7 +19,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -181,26 +181,31 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     ``words`` words (ASCII letters lower-cased); a component's id is its smallest doc_id.
     A text of fewer words has one element, all its words; null texts and texts without words
     have none and stand alone.  Rows with a null doc_id link with nothing and have a null
-    component.  Repeated rows and equal texts are in one component.
+    component.  Repeated rows and equal texts are in one component.  A doc_id with several texts
+    is several texts: each links by itself, and each of its rows has that text's component.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     folder = workspace(docs.sparkSession)
     prefixes = materialize(shingle_prefixes(texts, words, percent), "shingle-prefixes", folder)
     rows = materialize(prefixes.drop("prefix"), "set-keys", folder)
     usable = rows.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = materialize(usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "classes", folder)
-    narrow = usable.select(F.col("doc_id").alias("rep"), "n", "k1", "k2").join(classes, ["k1", "k2", "rep"]).distinct()
-    enough = materialize(_meeting_sets(prefixes, classes, narrow, percent), "meeting-sets", folder)
+    classes = usable.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
+    classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes", folder)
+    enough = materialize(_meeting_sets(prefixes, classes, percent), "meeting-sets", folder)
     discard(docs.sparkSession, f"{folder}/shingle-prefixes")
     parts = materialize(_parts(enough, percent), "parts", folder)
     release(docs.sparkSession)
     links = materialize(_search_parts(texts, parts, words, percent), "found-links", folder)
     release(docs.sparkSession)
-    final = connected_components(links).withColumnRenamed("node", "rep")
-    labelled = classes.join(final, "rep", "left").select("k1", "k2", F.coalesce("component", "rep").alias("component"))
+    # Links are between classes; a component of them is named by the smallest doc_id in it.
+    found = connected_components(links).withColumnRenamed("node", "cid")
+    known = classes.select("cid", "k1", "k2", "rep").join(found, "cid", "left")
+    known = known.withColumn("component", F.coalesce("component", "cid"))
+    named = known.groupBy("component").agg(F.min("rep").alias("component_id"))
+    labelled = known.join(named, "component").select("k1", "k2", "component_id")
     joined = rows.select("doc_id", "n", "k1", "k2").join(labelled, ["k1", "k2"], "left")
-    found = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), found.alias("component_id"))
+    found_id = F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), found_id.alias("component_id"))
 
 
 def _least_t(percent: int) -> Column:
@@ -210,28 +215,37 @@ def _least_t(percent: int) -> Column:
     return F.least(alpha(n), F.floor((n - alpha(n)) / 2) + 2)
 
 
-def _meeting_sets(prefixes: DataFrame, classes: DataFrame, narrow: DataFrame, percent: int) -> DataFrame:
-    """(rep, hs, n, k1, k2) of the classes that share enough hashes of their prefix with any other."""
-    by_hash = Window.partitionBy("h")
+def _meeting_sets(prefixes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(cid, hs, rep, n, k1, k2) of the classes that share enough hashes of their prefix with any other.
+
+    What a hash's classes have in common is combined before the shuffle and joined back, so
+    the classes of a frequent hash do not meet in one task.
+    """
     usable = prefixes.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "rep")
-    hashes = usable.join(classes, ["k1", "k2", "rep"]).select("rep", F.explode("prefix").alias("h"))
-    met = hashes.select("*", F.min("rep").over(by_hash).alias("low"), F.max("rep").over(by_hash).alias("high")).filter("low <> high")
-    return met.groupBy("rep").agg(F.collect_set("h").alias("hs")).join(narrow, "rep").filter(F.size("hs") >= _least_t(percent))
+    own = usable.select("rep", "k1", "k2", "prefix").join(classes.select("k1", "k2", "rep", "cid"), ["k1", "k2", "rep"])
+    hashes = own.select("cid", F.explode("prefix").alias("h"))
+    shared = hashes.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low <> high")
+    met = hashes.join(shared.select("h"), "h", "left_semi")
+    return met.groupBy("cid").agg(F.collect_set("h").alias("hs")).join(classes, "cid").filter(F.size("hs") >= _least_t(percent))
 
 
 def _parts(enough: DataFrame, percent: int) -> DataFrame:
-    """(rep, part, n, k1, k2): classes that may link are in one part.
+    """(cid, part, rep, n, k1, k2): classes that may link are in one part.
 
     Of a class's hashes, rarest first, those but the last T - 1 must hold one that a partner's
     also hold.
     """
-    by_hash, t_least = Window.partitionBy("h"), _least_t(percent)
-    counted = enough.select("rep", "n", F.explode("hs").alias("h")).withColumn("df", F.count("*").over(by_hash)).filter("df > 1")
-    ranked = counted.groupBy("rep", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs")).filter(F.size("hs") >= t_least)
-    routes = ranked.select("rep", F.explode(F.slice("hs", F.lit(1), (F.size("hs") - t_least + 1).cast("int"))).alias("x"))
-    star = routes.select(F.col("rep").alias("a"), F.min("rep").over(Window.partitionBy("x.h")).alias("b"))
-    parts = connected_components(star).withColumnRenamed("node", "rep").withColumnRenamed("component", "part")
-    return parts.join(enough.select("rep", "n", "k1", "k2"), "rep")
+    t_least = _least_t(percent)
+    each = enough.select("cid", "n", F.explode("hs").alias("h"))
+    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    counted = each.join(often, "h")
+    ranked = counted.groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs")).filter(F.size("hs") >= t_least)
+    routes = ranked.select("cid", F.explode(F.slice("hs", F.lit(1), (F.size("hs") - t_least + 1).cast("int"))).alias("x"))
+    routes = routes.select("cid", F.col("x.h").alias("h"))
+    least = routes.groupBy("h").agg(F.min("cid").alias("b"))
+    star = routes.join(least, "h").select(F.col("cid").alias("a"), "b")
+    parts = connected_components(star).withColumnRenamed("node", "cid").withColumnRenamed("component", "part")
+    return parts.join(enough.select("cid", "rep", "n", "k1", "k2"), "cid")
 
 
 def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -248,12 +262,13 @@ def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
     filled = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(one).alias("bits")).toArrow()
     bitmap = np.zeros(bits // 64, np.int64)
     bitmap[filled.column("word").to_numpy()] = filled.column("bits").to_numpy()
-    shared = texts.sparkSession.sparkContext.broadcast(np.unpackbits(bitmap.view(np.uint8), bitorder="little").astype(bool))
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
         for batch in batches:
             slots = batch.column("slot").to_numpy(zero_copy_only=False)
-            yield batch.select(["doc_id", "text"]).filter(pa.array(shared.value[slots]))
+            wanted = (shared.value[slots >> 6] >> (slots & 63)) & 1
+            yield batch.select(["doc_id", "text"]).filter(pa.array(wanted.astype(bool)))
 
     known = texts.filter("doc_id IS NOT NULL").select("doc_id", "text", slot("doc_id").alias("slot"))
     return known.mapInArrow(run, "doc_id long, text string")
@@ -265,25 +280,25 @@ def _search_parts(texts: DataFrame, parts: DataFrame, words: int, percent: int)
     Texts travel and not their sets, which are larger and do not compress.
     """
     weight = parts.groupBy("part").agg(F.ceil(F.sum("n") * 8 / F.lit(float(PART_BYTES))).alias("blocks"))
-    placed = parts.join(weight, "part").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    wanted = placed.select("rep", "part", "k1", "k2", "blocks", "own")
+    placed = parts.join(weight, "part").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    wanted = placed.select("cid", "rep", "part", "k1", "k2", "blocks", "own")
     read = _only_wanted(texts, parts.select("rep")).join(wanted, F.col("doc_id") == F.col("rep")).drop("doc_id")
     others = F.when(F.col("blocks") > 1, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))
     dealt = read.select("*", F.explode(others).alias("other"))
-    dealt = dealt.select("part", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "rep", "k1", "k2", "text")
+    dealt = dealt.select("part", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "cid", "k1", "k2", "text")
 
     def find(table: pa.Table) -> pa.Table:
         few_collections()
         sets: dict[int, np.ndarray] = {}
         sides: dict[int, int] = {}
-        columns = (table.column(c) for c in ("rep", "own", "k1", "k2", "text"))
-        for rep, own, k1, k2, text in zip(*columns, strict=True):
+        columns = (table.column(c) for c in ("cid", "own", "k1", "k2", "text"))
+        for cid, own, k1, k2, text in zip(*columns, strict=True):
             s = shingle_set(words_of(text.as_py()), words)
             if set_key(s) == (k1.as_py(), k2.as_py()):  # another row may have the same doc_id
-                sets[rep.as_py()], sides[rep.as_py()] = s, own.as_py()
+                sets[cid.as_py()], sides[cid.as_py()] = s, own.as_py()
         across = table.column("one")[0].as_py() != table.column("two")[0].as_py()
-        reps = sorted(sets)
-        links = search([sets[r] for r in reps], np.array([sides[r] for r in reps]), percent, across) if reps else []
-        return pa.table({"a": pa.array([reps[i] for i, _ in links], pa.int64()), "b": pa.array([reps[j] for _, j in links], pa.int64())})
+        ids = sorted(sets)
+        links = search([sets[i] for i in ids], np.array([sides[i] for i in ids]), percent, across) if ids else []
+        return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
 
     return dealt.groupBy("part", "one", "two").applyInArrow(find, StructType.fromDDL("a long, b long"))
