@@ -55,6 +55,24 @@ def require_rows(df: DataFrame, table: str) -> None:
         raise QualityError(f"{table} is empty")
 
 
+def load_checks(tables: dict[str, DataFrame], required: dict[str, Sequence[str]]) -> DataFrame:
+    """One check row per table and requirement: columns that it lacks, and whether it is empty.
+
+    Missing columns come from the schema; one row is enough to know that a table has some.
+    """
+    checks = None
+    for name, df in tables.items():
+        lacking = sum(c not in df.columns for c in required[name])
+        rows = df.limit(1).agg((1 - F.count(F.lit(1))).alias("empty"))
+        cells = F.array(
+            F.struct(F.lit(f"{name}_missing_columns").alias("check_name"), F.lit(lacking).cast("long").alias("failures")),
+            F.struct(F.lit(f"{name}_empty").alias("check_name"), F.col("empty").alias("failures")),
+        )
+        found = rows.select(F.inline(cells))
+        checks = found if checks is None else checks.unionByName(found)
+    return checks
+
+
 # --- profiles -------------------------------------------------------------------------
 
 
@@ -188,7 +206,10 @@ def daily_future_checks(snapshot: DataFrame) -> DataFrame:
 
 
 def weekly_future_checks(snapshot: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
-    return check_table(
+    """Official week ends, future dates and values, and confirming weeks that are not there."""
+    missing = missing_future_links(snapshot).agg(F.count(F.lit(1)).alias("failures"))
+    missing = missing.select(F.lit("bad_missing_future_week_rows").alias("check_name"), "failures")
+    checks = check_table(
         with_official_week_end(snapshot, calendar),
         {
             "bad_official_week_end_rows": ~F.col("week_end_date").eqNullSafe(
@@ -201,6 +222,7 @@ def weekly_future_checks(snapshot: DataFrame, calendar: DataFrame | None = None)
             ),
         },
     )
+    return checks.unionByName(missing)
 
 
 def missing_future_links(

@@ -154,18 +154,23 @@ def ranked_screen(screen: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def numbered_screen(screen: DataFrame) -> DataFrame:
-    """The whole screen with its position in report order.
+    """The whole screen with its position in report order."""
+    return numbered(screen.orderBy(*_report_order()), "report_rank")
+
+
+def numbered(ordered: DataFrame, rank: str) -> DataFrame:
+    """The rows of a sorted DataFrame with their position in it.
 
     Rows are sorted in ranges and numbered within each, and the ranges' sizes, a row per
     task, give where each begins; no task sees all rows.
     """
-    rows = materialize(screen.orderBy(*_report_order()).withColumn("_at", F.monotonically_increasing_id()), "report")
+    rows = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), rank)
     placed = rows.withColumns({"_range": F.shiftright("_at", 33), "_row": F.col("_at").bitwiseAND((1 << 33) - 1)})
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    numbered = placed.join(F.broadcast(starts), "_range")
-    return numbered.withColumn("report_rank", F.col("_start") + F.col("_row") + 1).drop("_at", "_range", "_row", "_start")
+    found = placed.join(F.broadcast(starts), "_range")
+    return found.withColumn(rank, F.col("_start") + F.col("_row") + 1).drop("_at", "_range", "_row", "_start")
 
 
 def top_candidates(screen: DataFrame, n: int = 30, passing: str = "flag_all") -> DataFrame:

@@ -472,9 +472,7 @@ def _(spark, sf):
 # --- result validation ----------------------------------------------------------------
 
 
-@query(
-    "q08_outcome_integrity",
-    "check_name failures",
+_INTEGRITY = (
     "SELECT 'missing_core_price_outcome' AS check_name, count(*) FILTER (WHERE selected_price IS NULL OR latest_price IS NULL OR high_price IS NULL "
     "OR low_price IS NULL OR high_price_date IS NULL OR low_price_date IS NULL) AS failures FROM outcomes UNION ALL "
     "SELECT 'bad_date_rows', count(*) FILTER (WHERE latest_price_date < selected_date OR high_price_date < selected_date OR low_price_date < selected_date) FROM outcomes UNION ALL "
@@ -482,20 +480,62 @@ def _(spark, sf):
     "SELECT 'inconsistent_fixed_horizon_rows', count(*) FILTER (WHERE (return_6m_date IS NULL) <> (price_6m IS NULL) OR (return_1y_date IS NULL) <> (price_1y IS NULL) "
     "OR (return_2y_date IS NULL) <> (return_2y_pct IS NULL)) FROM outcomes UNION ALL "
     "SELECT 'bad_fixed_horizon_date_rows', count(*) FILTER (WHERE return_6m_date < selected_date + INTERVAL 6 MONTH OR return_1y_date < return_6m_date "
-    "OR return_2y_date < return_1y_date) FROM outcomes",
+    "OR return_2y_date < return_1y_date) FROM outcomes"
 )
+
+
+@query("q08_outcome_integrity", "check_name failures", _INTEGRITY)
 def _(spark, sf):
     return quality.outcome_checks(layer(spark, sf, "outcomes"))
 
 
-@query(
-    "q09_confirmation_timing",
-    "check_name failures",
+# Outcomes of which the sets with each remainder of 7 break another rule; the rest is as stored.
+_KIND = "parameter_set_id % 7"
+_BROKEN = {
+    "selected_price": (1, "NULL"),
+    "latest_price_date": (2, "selected_date - 1"),
+    "high_price": (3, "low_price - 1"),
+    "return_6m_date": (4, "NULL"),
+    "return_1y_date": (5, "return_6m_date - 1"),
+}
+_MISTIMED = {
+    "f_confirmation_date": (1, "signal_date"),
+    "g_confirmation_date": (2, "CASE WHEN screen_type = 'A_F' THEN f_confirmation_date ELSE NULL END"),
+    "h_confirmation_date": (3, "CASE WHEN screen_type = 'A_H' THEN g_confirmation_date END"),
+}
+
+
+def _broken_sql(changes: dict[str, tuple[int, str]]) -> str:
+    columns = ", ".join(f"CASE WHEN {_KIND} = {k} THEN {x} ELSE {c} END AS {c}" for c, (k, x) in changes.items())
+    return f"(SELECT * REPLACE ({columns}) FROM outcomes)"
+
+
+def _broken(rows, changes: dict[str, tuple[int, str]]):
+    kept = {c: F.expr(f"CASE WHEN {_KIND} = {k} THEN {x} ELSE {c} END") for c, (k, x) in changes.items()}
+    return rows.withColumns(kept)
+
+
+@query("q08_broken_outcomes", "check_name failures", _INTEGRITY.replace("FROM outcomes", f"FROM {_broken_sql(_BROKEN)}"))
+def _(spark, sf):
+    """The same checks on outcomes that break each rule."""
+    return quality.outcome_checks(_broken(layer(spark, sf, "outcomes"), _BROKEN))
+
+
+_TIMING = (
     "SELECT 'bad_signal_order' AS check_name, count(*) FILTER (WHERE f_confirmation_date <= signal_date OR selected_date < f_confirmation_date) AS failures FROM outcomes "
     "UNION ALL SELECT 'bad_a_f_timing', count(*) FILTER (WHERE screen_type = 'A_F' AND (selected_date <> f_confirmation_date OR g_confirmation_date IS NOT NULL "
     "OR h_confirmation_date IS NOT NULL)) FROM outcomes UNION ALL SELECT 'bad_a_h_timing', count(*) FILTER (WHERE screen_type = 'A_H' AND (g_confirmation_date IS NULL "
-    "OR h_confirmation_date IS NULL OR g_confirmation_date < f_confirmation_date OR h_confirmation_date <= g_confirmation_date OR selected_date <> h_confirmation_date)) FROM outcomes",
+    "OR h_confirmation_date IS NULL OR g_confirmation_date < f_confirmation_date OR h_confirmation_date <= g_confirmation_date OR selected_date <> h_confirmation_date)) FROM outcomes"
 )
+
+
+@query("q09_broken_timing", "check_name failures", _TIMING.replace("FROM outcomes", f"FROM {_broken_sql(_MISTIMED)}"))
+def _(spark, sf):
+    """The same checks on outcomes whose dates are out of order."""
+    return quality.confirmation_timing_checks(_broken(layer(spark, sf, "outcomes"), _MISTIMED))
+
+
+@query("q09_confirmation_timing", "check_name failures", _TIMING)
 def _(spark, sf):
     return quality.confirmation_timing_checks(layer(spark, sf, "outcomes"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import months_before, week_start
 from ..functions.flags import cluster_flag, strict_cluster_flag
 from ..functions.prices import adjusted_close, cluster_ratio, safe_ratio
-from ..operators import calendar, daily, dedup, growth, rolling, weekly
+from ..operators import calendar, daily, dedup, growth, rolling, screens, weekly
 from . import tables as t
 from .layers import layer
 from .registry import query
@@ -619,21 +619,47 @@ def _(spark, sf):
     return growth.recent_pass_count(serving, "annual", 3, 0.05)
 
 
-@query(
-    "c09_screen_fundamentals",
-    "gvkey ticker company_name currency annual_revenue_growth_obs annual_min_revenue_growth latest_annual_fyear:int "
-    "quarterly_revenue_growth_obs quarterly_min_revenue_growth latest_quarterly_datadate flag_a flag_b flag_ab",
-    f"""SELECT *, flag_a AND flag_b AS flag_ab FROM (
+def _fundamentals_sql(years: int, quarters: int, threshold: float) -> str:
+    return f"""SELECT *, flag_a AND flag_b AS flag_ab FROM (
 SELECT i.*, annual_revenue_growth_obs, annual_min_revenue_growth, latest_annual_fyear, quarterly_revenue_growth_obs,
   quarterly_min_revenue_growth, latest_quarterly_datadate, coalesce(x.flag_a, FALSE) AS flag_a, coalesce(y.flag_b, FALSE) AS flag_b
 FROM ({_IDENTITY}) i
-LEFT JOIN ({growth_flag_sql("annual", ANNUAL_STATS, 2, -0.2, "flag_a")}) x ON i.gvkey = x.gvkey
-LEFT JOIN ({growth_flag_sql("quarterly", QUARTERLY_STATS, 2, -0.2, "flag_b")}) y ON i.gvkey = y.gvkey)""",
+LEFT JOIN ({growth_flag_sql("annual", ANNUAL_STATS, years, threshold, "flag_a")}) x ON i.gvkey = x.gvkey
+LEFT JOIN ({growth_flag_sql("quarterly", QUARTERLY_STATS, quarters, threshold, "flag_b")}) y ON i.gvkey = y.gvkey)"""
+
+
+FUNDAMENTAL_COLUMNS = (
+    "gvkey ticker company_name currency annual_revenue_growth_obs annual_min_revenue_growth latest_annual_fyear:int "
+    "quarterly_revenue_growth_obs quarterly_min_revenue_growth latest_quarterly_datadate flag_a flag_b flag_ab"
 )
-def screen_fundamentals(spark, sf):
+
+
+def _fundamentals(spark, sf, n_pct: float, annual_years: int, quarter_count: int):
     a = growth.annual_growth(t.raw_annual(spark, sf), laid_out=True)
     q = growth.quarterly_growth(t.raw_quarterly(spark, sf), laid_out=True)
-    return growth.screen_fundamentals(a, q, n_pct=-20, annual_years=2, quarter_count=2)
+    return growth.screen_fundamentals(a, q, n_pct, annual_years, quarter_count)
+
+
+@query("c09_screen_fundamentals", FUNDAMENTAL_COLUMNS, _fundamentals_sql(2, 2, -0.2))
+def screen_fundamentals(spark, sf):
+    return _fundamentals(spark, sf, -20, 2, 2)
+
+
+@query("c09_screen_fundamentals_relaxed", FUNDAMENTAL_COLUMNS, _fundamentals_sql(1, 1, -0.4))
+def _(spark, sf):
+    """At thresholds that some companies pass on either side, on both and on none."""
+    return _fundamentals(spark, sf, -40, 1, 1)
+
+
+@query(
+    "o05_fundamental_order",
+    "place:int flag_ab flag_a flag_b annual_min_revenue_growth quarterly_min_revenue_growth",
+    "SELECT *, row_number() OVER (ORDER BY flag_ab DESC, flag_a DESC, flag_b DESC, annual_min_revenue_growth DESC NULLS LAST, "
+    f"quarterly_min_revenue_growth DESC NULLS LAST) AS place FROM ({_fundamentals_sql(1, 1, -0.4)})",
+)
+def _(spark, sf):
+    """The place of each row in the returned order; companies that tie have equal rows."""
+    return screens.numbered(_fundamentals(spark, sf, -40, 1, 1), "place")
 
 
 @query(

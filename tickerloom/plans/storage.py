@@ -6,14 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import refresh, screens, universe
+from ..operators import quality, refresh, screens, universe
 from ..sources import ingest, lake, sinks
 from ..sources.workspace import workspace
 from . import tables as t
 from .layers import layer, layer_path
 from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql
 from .registry import query
-from .screening import KNOBS, _SCREEN, master, screen
+from .screening import KNOBS, _ANNOTATED, _SUMMARY, master, screen
 
 # --- reads ----------------------------------------------------------------------------
 
@@ -298,33 +298,74 @@ def _(spark, sf):
     return rows.groupBy("date").agg(F.count("*").alias("row_count"))
 
 
+_OUTPUTS = ("parquet", "csv", "excluded", "excluded_csv", "unfiltered", "unfiltered_csv")
+
+
 @query(
     "s20_screen_outputs",
-    "output row_count",
-    f"SELECT 'parquet' AS output, count(*) AS row_count FROM ({_SCREEN}) UNION ALL SELECT 'csv', count(*) FROM ({_SCREEN}) "
-    f"UNION ALL SELECT 'excluded', 0 UNION ALL SELECT 'summary', 12",
+    "output row_count excluded_rows:long volume:float",
+    " UNION ALL ".join(
+        f"SELECT '{o}' AS output, count(*) AS row_count, count(*) FILTER (WHERE excluded) AS excluded_rows, sum(volume) AS volume FROM {_ANNOTATED}"
+        + (" WHERE excluded" if o.startswith("excluded") else "" if o.startswith("unfiltered") else " WHERE NOT excluded")
+        for o in _OUTPUTS
+    )
+    + f" UNION ALL SELECT 'summary', sum(before_filter)::BIGINT, sum(before_filter - after_filter)::BIGINT, NULL FROM ({_SUMMARY})",
 )
 def _(spark, sf):
+    """All outputs of the screen, the unfiltered audit included, read back."""
     rows = universe.annotate_universe(screen(spark, sf))
     tag = screens.parameter_tag(**KNOBS)
     folder = f"{workspace(spark)}/{tag}"
-    sinks.write_screen(rows, universe.universe_summary(rows), folder)
-    outputs = {
-        "parquet": spark.read.parquet(f"{folder}/screening_results.parquet"),
-        "csv": spark.read.option("header", True).csv(f"{folder}/screening_results.csv"),
-        "excluded": spark.read.parquet(f"{folder}/excluded_universe/excluded_universe.parquet"),
-        "summary": spark.read.json(f"{folder}/screening_summary.json"),
-    }
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).withColumn("output", F.lit(name))
-        for name, df in outputs.items()
-    ]
-    out = counts[0]
-    for df in counts[1:]:
-        out = out.unionByName(df)
+    sinks.write_screen(rows, universe.universe_summary(rows), folder, unfiltered_audit=True)
+    paths = ("screening_results", "excluded_universe/excluded_universe", "unfiltered/screening_results_unfiltered")
+    tables = [f for p in paths for f in (spark.read.parquet(f"{folder}/{p}.parquet"), spark.read.option("header", True).csv(f"{folder}/{p}.csv"))]
+    excluded = F.count_if(F.col("is_excluded_universe").cast("boolean"))
+    out = spark.read.json(f"{folder}/screening_summary.json").select(
+        F.lit("summary").alias("output"),
+        F.sum("before_filter").alias("row_count"),
+        F.sum(F.col("before_filter") - F.col("after_filter")).alias("excluded_rows"),
+        F.lit(None).cast("double").alias("volume"),
+    )
+    for name, df in zip(_OUTPUTS, tables, strict=True):
+        counts = df.agg(F.count(F.lit(1)).alias("row_count"), excluded.alias("excluded_rows"), F.sum(F.col("volume").cast("double")).alias("volume"))
+        out = out.unionByName(counts.withColumn("output", F.lit(name)))
     return out
 
 
+@query(
+    "o04_stored_order",
+    "week_start_date gvkey iid place:int",
+    "SELECT week_start_date, gvkey, iid, row_number() OVER (PARTITION BY week_start_date ORDER BY gvkey, iid) AS place FROM weekly",
+)
+def _(spark, sf):
+    """The place of each row in its week's stored file: rows are written in the order of their keys."""
+    path = f"{workspace(spark)}/weekly"
+    sinks.write_weekly(layer(spark, sf, "weekly"), path)
+    stored = lake.read_parquet(spark, path, merge=False)
+    return stored.withColumn("place", F.col("_metadata.row_index") + 1)
+
+
+_LOADS = {
+    "daily": ("date", "gvkey", "iid", "adjusted_close_price", "cusip"),
+    "weekly": ("week_start_date", "week_end_date", "gvkey", "iid"),
+    "future": ("date", "cusip", "cik"),
+}
+
+
+@query(
+    "q05_load_checks",
+    "check_name failures",
+    "SELECT 'daily_missing_columns' AS check_name, 1 AS failures UNION ALL SELECT 'daily_empty', (SELECT count(*) = 0 FROM daily)::BIGINT "
+    "UNION ALL SELECT 'weekly_missing_columns', 0 UNION ALL SELECT 'weekly_empty', (SELECT count(*) = 0 FROM weekly)::BIGINT "
+    "UNION ALL SELECT 'future_missing_columns', 2 UNION ALL SELECT 'future_empty', (SELECT count(*) = 0 FROM daily WHERE date > DATE '2005-01-01')::BIGINT",
+)
+def _(spark, sf):
+    """Loads that are complete, lack columns, and have no rows."""
+    daily = layer(spark, sf, "daily")
+    loads = {"daily": daily, "weekly": layer(spark, sf, "weekly"), "future": daily.filter("date > DATE'2005-01-01'")}
+    return quality.load_checks(loads, _LOADS)
+
+
 @query("s21_zstd_round_trip", "gvkey fyear:int annual_rank_desc:int", "annual")
 def _(spark, sf):
     path = f"{workspace(spark)}/annual"
