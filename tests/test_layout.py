@@ -151,7 +151,7 @@ def change(rows, r, kind):
     return out, two
 
 
-@pytest.mark.parametrize("kind", ["changed", "removed", "added", "last", "nothing"])
+@pytest.mark.parametrize("kind", ["changed", "removed", "added", "nothing"])
 def test_refreshed_store_equals_a_full_rebuild(spark, tmp_path, kind):
     r = random.Random(len(kind))
     rows = raw_rows(2, 150, 6)
@@ -176,6 +176,38 @@ def test_refreshed_store_equals_a_full_rebuild(spark, tmp_path, kind):
         assert n > 0 and changed.count() < 8
 
 
+@pytest.mark.parametrize("kind", ["changed", "added", "week"])
+def test_refreshed_weeks_equal_a_full_rebuild(spark, tmp_path, kind):
+    """``week``: the market loses the last session of a week, so that all securities lose its bar."""
+    order = ("volume", "close_price_raw")
+    r = random.Random(3)
+    days = [d for d in (D(2020, 1, 6) + dt.timedelta(i) for i in range(330)) if d.weekday() < 5]
+    rows = [
+        (d, str(s), "01", f"T{s}", "USD", round(10 + 5 * r.random(), 2), None, 1.0, float(r.randrange(1, 500)))
+        for s in range(4)
+        for d in days
+        if s == 0 or r.random() < 0.6
+    ]
+    if kind == "week":
+        fridays = sorted({x[0] for x in rows if x[0].weekday() == 4})
+        new, two = [x for x in rows if x[0] != fridays[20]], {fridays[20]}
+    else:
+        new, two = change(rows, r, kind)
+    before, after = (spark.createDataFrame(r, RAW).withColumn("company_name", F.lit("N")) for r in (rows, new))
+    path = str(tmp_path / "weekly")
+    sinks.write_weekly(weekly.weekly_history(before, tiebreak=order), path)
+    dates = F.col("date").isin(list(two))
+    changed = refresh.changed_keys(before.filter(dates), after.filter(dates))
+    refresh.refresh_weekly_store(spark, path, before, after, changed, tiebreak=order)
+    want = weekly.weekly_history(after, tiebreak=order)
+    got = spark.read.parquet(path).select(*want.columns)
+    key = lambda x: tuple(map(str, x[:8]))
+    a, b = (sorted(map(tuple, df.select("week_start_date", *SECURITY, *[c for c in want.columns if c not in ("week_start_date", *SECURITY)]).collect()), key=key) for df in (got, want))
+    assert len(a) == len(b) > 100
+    for x, y in zip(a, b, strict=True):
+        assert x == pytest.approx(y), (x, y)
+
+
 def test_changed_keys_see_copies_and_nulls(spark):
     schema = "date date, gvkey string, iid string, v double"
     a, b = D(2024, 1, 2), D(2024, 1, 3)

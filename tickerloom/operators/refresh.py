@@ -15,13 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import SECURITY
+from ..functions.dates import week_start
 from ..sources import sinks
 from ..sources.workspace import materialize, workspace
+from . import weekly
 from .daily import MEANS, TIEBREAK, clean_daily, history_of_clean
 from .rolling import by_time
 
 #: Rows after a changed one whose metrics it takes part in: the longest average, then the previous row's.
 REACH = max(MEANS.values())
+#: As many bars: their averages leave out the bar itself, and so reach one further.
+WEEKLY_REACH = max(weekly.MEANS.values()) + 1
 
 
 def changed_keys(old: DataFrame, new: DataFrame, date: str = "date", keys: Sequence[str] = SECURITY) -> DataFrame:
@@ -53,20 +57,56 @@ def daily_refresh(
     ``raw`` has the rows as they are now.  The range (``first_changed``, ``last_affected``) is what
     the recomputed rows stand for: stored rows in it that were not recomputed are gone.
     """
-    affected = raw.join(changed, [*SECURITY])
-    rows = clean_daily(affected, tiebreak)
+    rows = clean_daily(raw.join(changed, [*SECURITY]), tiebreak)
+    metrics = history_of_clean(_within_reach(rows, "date", REACH)).filter("_row >= _from")
+    return _ranges(metrics, changed, "date")
+
+
+def weekly_refresh(
+    old: DataFrame,
+    raw: DataFrame,
+    changed: DataFrame,
+    calendar: DataFrame | None = None,
+    tiebreak: Sequence[str] = TIEBREAK,
+) -> tuple[DataFrame, DataFrame]:
+    """(recomputed weekly rows, range of weeks per changed security) after a change of raw rows.
+
+    ``old`` has all raw rows before the change and ``raw`` all of them after it: a change of one
+    security may complete a week, or undo that, for the whole market.  Then all securities
+    that traded in that week have changed in it.
+    """
+    weeks = weekly.market_weeks(raw, calendar)
+    before = weekly.market_weeks(old, calendar)
+    # Few rows: weeks that are complete in one of the two only, or end on another day.
+    keys = ["week_start_date", "week_end_date"]
+    flipped = weeks.select(*keys).exceptAll(before.select(*keys)).unionByName(before.select(*keys).exceptAll(weeks.select(*keys)))
+    flipped = F.broadcast(flipped.select("week_start_date").distinct())
+    traded = old.select(*SECURITY, "date").unionByName(raw.select(*SECURITY, "date"))
+    traded = traded.select(*SECURITY, week_start("date").alias("week_start_date")).join(flipped, "week_start_date").distinct()
+    own = changed.select(*SECURITY, *[week_start(c).alias(c) for c in ("first_changed", "last_changed")])
+    market = traded.select(*SECURITY, F.col("week_start_date").alias("first_changed"), F.col("week_start_date").alias("last_changed"))
+    ranges = own.unionByName(market).groupBy(*SECURITY).agg(F.min("first_changed").alias("first_changed"), F.max("last_changed").alias("last_changed"))
+    history = weekly.weekly_history(raw.join(ranges.select(*SECURITY), [*SECURITY], "left_semi"), calendar, tiebreak, weeks)
+    rows = _within_reach(history.join(ranges, [*SECURITY]), "week_start_date", WEEKLY_REACH)
+    return _ranges(rows.filter("_row >= _from"), ranges, "week_start_date")
+
+
+def _within_reach(rows: DataFrame, date: str, reach: int) -> DataFrame:
+    """Rows of changed securities that a change affects, and those before them that a frame needs."""
     whole = Window.partitionBy(*SECURITY)
-    rows = rows.withColumn("_row", F.row_number().over(by_time("date")))
+    rows = rows.withColumn("_row", F.row_number().over(by_time(date)))
     rows = rows.withColumns(
         {
-            "_from": F.min(F.when(F.col("date") >= F.col("first_changed"), F.col("_row"))).over(whole),
+            "_from": F.min(F.when(F.col(date) >= F.col("first_changed"), F.col("_row"))).over(whole),
             # A change before the first row that is left reaches as far as one in that row.
-            "_to": F.coalesce(F.max(F.when(F.col("date") <= F.col("last_changed"), F.col("_row"))).over(whole), F.lit(0)) + REACH,
+            "_to": F.coalesce(F.max(F.when(F.col(date) <= F.col("last_changed"), F.col("_row"))).over(whole), F.lit(0)) + reach,
         }
     )
-    rows = rows.filter(F.col("_row").between(F.col("_from") - REACH, F.col("_to")))
-    metrics = history_of_clean(rows).filter("_row >= _from")
-    last = metrics.groupBy(*SECURITY).agg(F.max("date").alias("_last"))
+    return rows.filter(F.col("_row").between(F.col("_from") - reach, F.col("_to")))
+
+
+def _ranges(metrics: DataFrame, changed: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
+    last = metrics.groupBy(*SECURITY).agg(F.max(date).alias("_last"))
     ranges = changed.join(last, [*SECURITY], "left").select(
         *SECURITY, "first_changed", F.greatest("last_changed", "_last").alias("last_affected")
     )
@@ -96,18 +136,40 @@ def refresh_daily_store(
     folder = workspace(spark)
     changed = materialize(changed, "changed", folder)
     metrics, ranges = daily_refresh(raw, changed, tiebreak)
-    stored = spark.read.parquet(path).drop(*sinks.DATE_PARTITIONS)
+    columns = [*sinks.DATE_PARTITIONS, "date"]
+    return _replace_affected(spark, path, metrics, ranges, columns, sinks.write_daily, folder)
+
+
+def refresh_weekly_store(
+    spark: SparkSession,
+    path: str,
+    old: DataFrame,
+    raw: DataFrame,
+    changed: DataFrame,
+    calendar: DataFrame | None = None,
+    tiebreak: Sequence[str] = TIEBREAK,
+) -> int:
+    """As ``refresh_daily_store``, for a table of weekly metrics by week; returns the weeks rewritten."""
+    folder = workspace(spark)
+    metrics, ranges = weekly_refresh(old, raw, materialize(changed, "changed", folder), calendar, tiebreak)
+    return _replace_affected(spark, path, metrics, ranges, ["year", "week_start_date"], sinks.write_weekly, folder)
+
+
+def _replace_affected(
+    spark: SparkSession, path: str, metrics: DataFrame, ranges: DataFrame, partitions: list[str], write, folder: str
+) -> int:
+    date = partitions[-1]
+    stored = spark.read.parquet(path).drop(*partitions[:-1])
     metrics = materialize(metrics.select(*stored.columns), "recomputed", folder)
     ranges = materialize(ranges, "ranges", folder)
     bounds = ranges.agg(F.min("first_changed").alias("first"), F.max("last_affected").alias("last")).first()
     if bounds["first"] is None:
         return 0
-    near = stored.filter(F.col("date").between(bounds["first"], bounds["last"]))
-    inside = near.join(ranges, [*SECURITY]).filter(F.col("date").between(F.col("first_changed"), F.col("last_affected")))
-    dates = inside.select("date").unionByName(metrics.select("date")).distinct()
-    touched = [r["date"] for r in dates.collect()]  # calendar days of the ranges
-    rows = merged(near.filter(F.col("date").isin(touched)), metrics, ranges)
+    near = stored.filter(F.col(date).between(bounds["first"], bounds["last"]))
+    inside = near.join(ranges, [*SECURITY]).filter(F.col(date).between(F.col("first_changed"), F.col("last_affected")))
+    dates = inside.select(date).unionByName(metrics.select(date)).distinct()
+    touched = [r[date] for r in dates.collect()]  # calendar days of the ranges
+    rows = merged(near.filter(F.col(date).isin(touched)), metrics, ranges, date)
     names = {d.isoformat() for d in touched}
-    columns = [*sinks.DATE_PARTITIONS, "date"]
-    check = sinks.unique_keys([*SECURITY, "date"])
-    return sinks.replace_partitions(spark, path, columns, lambda stage: sinks.write_daily(rows, stage), lambda p: p["date"] in names, check)
+    check = sinks.unique_keys([*SECURITY, date])
+    return sinks.replace_partitions(spark, path, partitions, lambda stage: write(rows, stage), lambda p: p[date] in names, check)

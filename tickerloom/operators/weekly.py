@@ -83,19 +83,27 @@ def weekly_history(
     raw: DataFrame,
     calendar: DataFrame | None = None,
     tiebreak: Sequence[str] = TIEBREAK,
+    weeks: DataFrame | None = None,
 ) -> DataFrame:
     """Weekly metrics for every completed week of ``raw``.
 
     Copies of a row do not change the latest date of a week, so the completed weeks come
-    from the rows before deduplication: a plain partial aggregation.
+    from the rows before deduplication: a plain partial aggregation.  ``weeks`` gives them where
+    ``raw`` does not have the whole market.
     """
     rows = clean_daily(raw, tiebreak, need_volume=False)
-    weeks = completed_weeks(priced_rows(raw, need_volume=False), calendar)
+    if weeks is None:
+        weeks = market_weeks(raw, calendar)
     bars = add_weekly_ratios(add_weekly_averages(weekly_bars(rows, weeks)))
     bars = add_previous(bars, ["wma10", "wma30", *RATIOS], "week_end_date")
     return bars.withColumns({"flag_g": flag_g(), "flag_h": flag_h()})
 
 
+def market_weeks(raw: DataFrame, calendar: DataFrame | None = None) -> DataFrame:
+    """The weeks whose official last session the market has reached."""
+    return completed_weeks(priced_rows(raw, need_volume=False), calendar)
+
+
 def latest_weeks(weekly: DataFrame, n: int) -> DataFrame:
     return weekly.select("week_start_date").distinct().orderBy(F.desc("week_start_date")).limit(n)
 
@@ -121,7 +129,7 @@ def weekly_metrics(
     rows = weekly_history(in_window, calendar, tiebreak)
     if start_week is None:
         # Every completed week has bars, so the latest bars are those of the latest weeks.
-        weeks = completed_weeks(priced_rows(in_window, need_volume=False), calendar)
+        weeks = market_weeks(in_window, calendar)
         kept = rows.join(F.broadcast(latest_weeks(weeks, target_weeks)), "week_start_date", "left_semi")
     else:
         monday = week_start(F.lit(start_week).cast("date"))

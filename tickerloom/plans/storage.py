@@ -11,7 +11,7 @@ from ..sources import ingest, lake, sinks
 from ..sources.workspace import workspace
 from . import tables as t
 from .layers import layer, layer_path
-from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql
+from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql, weekly_bars_sql, weekly_sql
 from .registry import query
 from .screening import KNOBS, _ANNOTATED, _SUMMARY, master, screen
 
@@ -425,6 +425,10 @@ _REVISED_ONCE = f"""
 (SELECT * FROM ({_REVISED}) WHERE adjusted_close_price IS NOT NULL AND volume IS NOT NULL
  QUALIFY row_number() OVER (PARTITION BY gvkey, iid, date ORDER BY {RAW_ORDER}) = 1) AS revised"""
 
+_REVISED_PRICED = f"""
+(SELECT * FROM ({_REVISED}) WHERE adjusted_close_price IS NOT NULL
+ QUALIFY row_number() OVER (PARTITION BY gvkey, iid, date ORDER BY {RAW_ORDER}) = 1)"""
+
 
 @query(
     "s09_c03_rebuild_changed",
@@ -438,9 +442,33 @@ def rebuild_changed(spark, sf):
     Prices and volumes of the first date changed, half of the second date's rows are gone.  Only
     rows that depend on them are computed again; the SQL rebuilds everything.
     """
-    raw = t.prices(spark, sf)
+    raw, revised, changed = _revision(spark, sf)
     path = f"{workspace(spark)}/daily"
     sinks.write_daily(layer(spark, sf, "daily"), path)
+    refresh.refresh_daily_store(spark, path, t.with_names(spark, sf, revised), changed, t.TIEBREAK)
+    return lake.read_parquet(spark, path, merge=False)
+
+
+@query(
+    "s09_c04_rebuild_changed",
+    "gvkey iid ticker company_name week_start_date week_end_date security_week_last_trade_date weekly_open_price weekly_high_price "
+    "weekly_low_price weekly_close_price weekly_volume wma5:float wma10:float wma30:float weekly_ma_cluster_ratio:float "
+    "prev_wma10:float prev_wma5_wma30_ratio:float flag_g flag_h",
+    weekly_sql(f"({weekly_bars_sql(_REVISED_PRICED)})"),
+)
+def rebuild_changed_weeks(spark, sf):
+    """All weeks of the stored weekly metrics after the same change."""
+    raw, revised, changed = _revision(spark, sf)
+    path = f"{workspace(spark)}/weekly"
+    sinks.write_weekly(layer(spark, sf, "weekly"), path)
+    old, new = (t.with_names(spark, sf, rows) for rows in (raw, revised))
+    refresh.refresh_weekly_store(spark, path, old, new, changed, tiebreak=t.TIEBREAK)
+    return lake.read_parquet(spark, path, merge=False)
+
+
+def _revision(spark, sf):
+    """Raw rows before and after the change, and the securities and dates that it concerns."""
+    raw = t.prices(spark, sf)
     first = F.col("date") == F.lit(_FIRST_CHANGE).cast("date")
     second = F.col("date") == F.lit(_SECOND_CHANGE).cast("date")
     revised = raw.withColumns(
@@ -449,9 +477,7 @@ def rebuild_changed(spark, sf):
             "volume": F.when(first, F.col("volume") + 1).otherwise(F.col("volume")),
         }
     ).filter(~second | (F.col("gvkey").cast("long") % 2 == 1))
-    changed = refresh.changed_keys(raw.filter(first | second), revised.filter(first | second))
-    refresh.refresh_daily_store(spark, path, t.with_names(spark, sf, revised), changed, t.TIEBREAK)
-    return lake.read_parquet(spark, path, merge=False)
+    return raw, revised, refresh.changed_keys(raw.filter(first | second), revised.filter(first | second))
 
 
 @query(
