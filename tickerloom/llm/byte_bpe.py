@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import uuid
 from itertools import chain
 
 import numpy as np
@@ -21,6 +22,8 @@ from .texts import map_texts
 
 #: Pre-tokens, and as many units, remembered by a worker before it forgets them all.
 MEMO = 500_000
+#: Longer ones are rare and large, and not remembered.
+MEMO_CHARS = 1_000
 #: The pattern of the multi-language vocabulary (a fixed value).
 UNIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -157,6 +160,8 @@ class Memo(dict):
 
     def __missing__(self, key):
         made = self.make(key)
+        if len(key) > MEMO_CHARS:
+            return made
         if len(self) >= self.limit:
             self.clear()
         self[key] = made
@@ -211,14 +216,26 @@ def _digest(text: str | None, codec: Codec, name) -> tuple[int, str, str]:
     return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()
 
 
+#: The codec of this worker, by the key of its broadcast: Spark gives a worker one task after
+#: another, and what a task has merged, the next ones need not merge again.
+_CODEC: dict[str, Codec] = {}
+
+
 def codec_starter(spark: SparkSession, path: str, pattern: str):
-    """Builds the perfect hash once and shares it; the vocabulary file bounds its size."""
+    """Builds the perfect hash once and shares it; the vocabulary file bounds its size.
+
+    A worker keeps the codec with its memos, which have a limit of their own, for the tasks that
+    follow; the codec of another vocabulary takes its place.
+    """
     ranks = load_ranks(path)
-    shared = spark.sparkContext.broadcast((ranks, PerfectHash(list(ranks))))
+    shared = spark.sparkContext.broadcast((uuid.uuid4().hex, ranks, PerfectHash(list(ranks))))
 
     def start() -> Codec:
-        table, hashed = shared.value
-        return Codec(table, pattern, hashed)
+        key, table, hashed = shared.value
+        if key not in _CODEC:
+            _CODEC.clear()
+            _CODEC[key] = Codec(table, pattern, hashed)
+        return _CODEC[key]
 
     return start
 
