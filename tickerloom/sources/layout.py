@@ -28,7 +28,8 @@ def store_by_key(
     """Store ``df`` laid out by ``keys`` and read it back.
 
     ``buckets`` should make a bucket some hundred MB; tables that meet in joins need the same
-    number, which is by default the session's number of shuffle partitions.  The rows are
+    number, which is by default the session's number of shuffle partitions, or two per core of
+    the cluster if that is less.  The rows are
     dealt by the buckets' own hash, so each task writes one file.  The table is known to the
     session's catalog as ``table``, by default a name of its own (``drop_layout`` forgets it); its
     files are in the workspace, as those of any intermediate table.
@@ -39,7 +40,9 @@ def store_by_key(
     """
     spark = df.sparkSession
     keys, order = list(keys), [*keys, *sort_by]
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if buckets is None:
+        cores = spark.sparkContext.defaultParallelism
+        buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, 2 * cores))
     table = table or f"{name}_{uuid.uuid4().hex}"
     (
         df.repartition(buckets, *keys)
