@@ -104,51 +104,56 @@ def lookup(hashed: PerfectHash):
     return place
 
 
-def byte_pairs(ranks: dict[bytes, int]) -> dict[tuple[int, int], int]:
-    return {(k[0], k[1]): r for k, r in ranks.items() if len(k) == 2}
+class Merger:
+    """Ids of pre-tokens by merging: the lowest-ranked neighbours first, the leftmost of equals.
 
-
-def merge_bytes(token: bytes, ranks: dict[bytes, int], pairs: dict[tuple[int, int], int]) -> list[int]:
-    """Ids of one pre-token: the lowest-ranked neighbours merge first, the leftmost of equals.
-
-    Parts of the token are linked by their ends; the heap holds rank, start and end of each
+    Parts of a token are linked by their ends; the heap holds rank, start and end of each
     mergeable neighbour pair as one number, and pairs whose parts have changed are skipped.
+    Ranks are held shifted to their place in that number, which is small for short tokens.
     """
-    n = len(token)
-    if n < 2:
-        return [ranks[token]] if n else []
-    shift = n.bit_length()
-    mask = (1 << shift) - 1
-    twice = 2 * shift
-    get, pop, push = ranks.get, heapq.heappop, heapq.heappush
-    end = list(range(1, n + 1))  # end of the part that starts here; 0 once merged away
-    before = list(range(-1, n - 1))
-    heap = []
-    for i, pair in enumerate(zip(token, token[1:], strict=False)):
-        if (r := pairs.get(pair)) is not None:
-            heap.append(r << twice | i << shift | i + 2)
-    heapq.heapify(heap)
-    while heap:
-        x = pop(heap)
-        stop, i = x & mask, x >> shift & mask
-        middle = end[i]
-        if middle >= stop or not middle or end[middle] != stop:
-            continue
-        end[i], end[middle] = stop, 0
-        if stop < n:
-            before[stop] = i
-            after = end[stop]
-            if (r := get(token[i:after])) is not None:
-                push(heap, r << twice | i << shift | after)
-        left = before[i]
-        if left >= 0 and (r := get(token[left:stop])) is not None:
-            push(heap, r << twice | left << shift | stop)
-    ids, i = [], 0
-    while i < n:
-        stop = end[i]
-        ids.append(ranks[token[i:stop]])
-        i = stop
-    return ids
+
+    def __init__(self, ranks: dict[bytes, int], shift: int):
+        self.ranks, self.shift = ranks, shift
+        self.scaled = {k: r << 2 * shift for k, r in ranks.items()}
+        self.pairs = {(k[0], k[1]): r for k, r in self.scaled.items() if len(k) == 2}
+
+    def __call__(self, token: bytes) -> list[int]:
+        n = len(token)
+        ranks = self.ranks
+        if n < 2:
+            return [ranks[token]] if n else []
+        shift, get, pop, push = self.shift, self.scaled.get, heapq.heappop, heapq.heappush
+        mask = (1 << shift) - 1
+        end = list(range(1, n + 1))  # end of the part that starts here; 0 once merged away
+        before = list(range(-1, n - 1))
+        found = map(self.pairs.get, zip(token, token[1:], strict=False))
+        heap = [r + (i << shift) + i + 2 for i, r in enumerate(found) if r is not None]
+        heapq.heapify(heap)
+        while heap:
+            x = pop(heap)
+            stop, i = x & mask, x >> shift & mask
+            middle = end[i]
+            if middle >= stop or not middle or end[middle] != stop:
+                continue
+            end[i], end[middle] = stop, 0
+            if stop < n:
+                before[stop] = i
+                after = end[stop]
+                if (r := get(token[i:after])) is not None:
+                    push(heap, r + (i << shift) + after)
+            left = before[i]
+            if left >= 0 and (r := get(token[left:stop])) is not None:
+                push(heap, r + (left << shift) + stop)
+        ids, i = [], 0
+        while i < n:
+            stop = end[i]
+            ids.append(ranks[token[i:stop]])
+            i = stop
+        return ids
+
+
+#: Bits of a place in tokens of fewer than 64 bytes, and in all others.
+SHORT, LONG = 6, 40
 
 
 class Memo(dict):
@@ -168,16 +173,17 @@ class Memo(dict):
         return made
 
 
-#: Texts without these split at single spaces: each space and what follows it up to the next
-#: space is then a unit whose pre-tokens do not depend on its neighbours, because white space
-#: joins only what follows it.  Other texts are split as a whole.
+#: A single space between two characters that are none: it and what follows up to the next such
+#: space is a unit whose pre-tokens do not depend on its neighbours, because white space joins only
+#: what follows it.  Texts without runs or an end of white space hold no other spaces.
 _DEPENDENT = regex.compile(r"\s\s|\s\Z")
+_SINGLE = regex.compile(r"(?<=\S) (?=\S)")
 
 
 class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str, hashed: PerfectHash | None = None):
         self.ranks = ranks
-        self.pairs = byte_pairs(ranks)
+        self.merge_short, self.merge_long = Merger(ranks, SHORT), Merger(ranks, LONG)
         self.keys = list(ranks)
         self.ids = list(ranks.values())
         self.place = lookup(hashed or PerfectHash(self.keys))
@@ -187,33 +193,46 @@ class Codec:
         self.words = {i: k for k, i in ranks.items()}
         self.tokens = Memo(self.token, MEMO)
         self.units = Memo(self.unit, MEMO)
+        self.name = {i: str(i) for i in self.words}.__getitem__
+        self.spellings = Memo(self.spelling, MEMO)
 
     def token(self, token: str) -> tuple[int, ...]:
         key = token.encode("utf-8", "replace")
         place = self.place(key)
-        return (self.ids[place],) if self.keys[place] == key else tuple(merge_bytes(key, self.ranks, self.pairs))
+        if self.keys[place] == key:
+            return (self.ids[place],)
+        return tuple((self.merge_short if len(key) >> SHORT == 0 else self.merge_long)(key))
 
     def unit(self, unit: str) -> tuple[int, ...]:
+        if unit.isascii() and unit[1:].isalpha() and (unit[0] == " " or unit[0].isalpha()):  # one pre-token
+            return self.tokens[unit]
         return tuple(chain.from_iterable(map(self.tokens.__getitem__, self.split(unit))))
 
+    def spelling(self, unit: str) -> tuple[str, bytes]:
+        """The ids of a unit as decimals, and the bytes that they decode to."""
+        ids = self.unit(unit)
+        return ",".join(map(self.name, ids)), self.decode(ids)
+
+    def parts(self, text: str) -> list[str]:
+        """The units of a text, none of them empty; one where the pattern is not known."""
+        if not text or not self.by_unit:
+            return [text] if text else []
+        first, *rest = _SINGLE.split(text) if _DEPENDENT.search(text) else text.split(" ")
+        units = [" " + x for x in rest]
+        return [first, *units] if first else units
+
     def encode(self, text: str) -> list[int]:
-        if not text:
-            return []
-        if not self.by_unit or _DEPENDENT.search(text):
-            return list(chain.from_iterable(map(self.tokens.__getitem__, self.split(text))))
-        first, *rest = text.split(" ")
-        ids = list(self.units[first])
-        ids.extend(chain.from_iterable(map(self.units.__getitem__, map(" ".__add__, rest))))
-        return ids
+        return list(chain.from_iterable(map(self.units.__getitem__, self.parts(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.words.__getitem__, ids))
 
 
-def _digest(text: str | None, codec: Codec, name) -> tuple[int, str, str]:
-    ids = codec.encode(text or "")
-    joined = ",".join(map(name, ids)).encode()
-    return len(ids), hashlib.sha256(joined).hexdigest(), hashlib.sha256(codec.decode(ids)).hexdigest()
+def _digest(text: str | None, codec: Codec) -> tuple[int, str, str]:
+    made = list(map(codec.spellings.__getitem__, codec.parts(text or "")))
+    joined = ",".join([ids for ids, _ in made])
+    decoded = b"".join([data for _, data in made])
+    return joined.count(",") + bool(joined), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
 
 
 #: The codec of this worker, by the key of its broadcast: Spark gives a worker one task after
@@ -280,7 +299,6 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def start():
         codec = make()
-        name = {i: str(i) for i in codec.words}.__getitem__
-        return lambda texts: list(zip(*(_digest(t, codec, name) for t in texts), strict=True))
+        return lambda texts: list(zip(*(_digest(t, codec) for t in texts), strict=True))
 
     return map_texts(docs, ["doc_id"], "n_tokens long, ids_sha256 string, decoded_sha256 string", start)
