@@ -120,13 +120,26 @@ _PACKED = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("local", pa
 _PACKED_DDL, _PLACES_DDL = "bucket long, batch long, local boolean, data binary", "batch long, places binary, ranges binary"
 
 
+def planes(values: np.ndarray) -> bytes:
+    """The first bytes of all numbers, then the second ones, and so on: the high bytes of sorted
+    or small numbers are then runs, which the compression of shuffles and tables takes out."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def unplanes(data, kind: str, n: int, at: int = 0) -> np.ndarray:
+    """``n`` numbers from the ``planes`` that begin at byte ``at``."""
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T).view(kind).ravel()
+
+
 def pack(batch: int, places: np.ndarray, h1: np.ndarray, h2: np.ndarray | None, ranges: np.ndarray | None, buckets: int) -> pa.RecordBatch:
     """Rows that send the names of a batch to their sorting tasks.
 
     Each name is sent once, with its first place.  Without ``ranges`` a flag goes with it that
     says that the name occurs again in the batch, whose places are all kept here.  With
     ``ranges`` (first and last of each place, first above last for none) their union goes.
-    A name is its bucket, 32 bits of the first hash, and 32 bits of the second one if given.
+    A name is its bucket (the highest bits of the first hash), the 32 bits of the first hash
+    that follow, and 32 bits of the second one if given.
     """
     order = np.argsort(h1, kind="stable") if h2 is None else np.lexsort((h2, h1))
     places, h1 = places[order], h1[order]
@@ -145,18 +158,18 @@ def pack(batch: int, places: np.ndarray, h1: np.ndarray, h2: np.ndarray | None,
         low, high = ranges[order].T
         extra += [np.minimum.reduceat(low, first).astype(np.uint8), np.maximum.reduceat(high, first).astype(np.uint8)]
     h1 = h1[first]
-    shift = np.uint64(64 - (buckets - 1).bit_length()) if buckets > 1 else None
-    bucket = (h1 >> shift).astype(np.int64) if shift is not None else np.zeros(len(h1), np.int64)
+    bits = (buckets - 1).bit_length()
+    bucket = (h1 >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h1), np.int64)
     edges = np.searchsorted(bucket, np.arange(buckets + 1))  # h1 ascends, and so do buckets
-    columns = [(h1 & np.uint64(0xFFFFFFFF)).astype("<u4"), sent, *extra]
+    columns = [((h1 << np.uint64(bits)) >> np.uint64(32)).astype("<u4"), sent, *extra]
     numbers, data = [], []
     for b in np.flatnonzero(np.diff(edges)).tolist():
         numbers.append(b)
-        data.append(b"".join(c[edges[b] : edges[b + 1]].tobytes() for c in columns))
+        data.append(b"".join(planes(c[edges[b] : edges[b + 1]]) for c in columns))
     local = [False] * len(numbers)
     if len(kept):
         numbers.append(int(mix(np.array([batch], np.uint64))[0] % np.uint64(buckets)))
-        data.append(kept.astype(np.uint32).tobytes())
+        data.append(planes(np.sort(kept.astype("<u4"))))
         local.append(True)
     return pa.RecordBatch.from_arrays(
         [pa.array(numbers, pa.int64()), pa.array([batch] * len(numbers), pa.int64()), pa.array(local), pa.array(data, pa.binary())], schema=_PACKED
@@ -164,7 +177,7 @@ def pack(batch: int, places: np.ndarray, h1: np.ndarray, h2: np.ndarray | None,
 
 
 def sort_names(packed: DataFrame, twice: bool, ranged: bool) -> DataFrame:
-    """(batch, places, ranges) of names that occur in several batches.
+    """(batch, places, ranges) of names that occur in several batches, one row per sorting task and batch.
 
     ``ranged``: of all names that have a range in any batch, with the union of their ranges.
     """
@@ -183,7 +196,7 @@ def sort_names(packed: DataFrame, twice: bool, ranged: bool) -> DataFrame:
                 continue
             n, at = len(data) // size, 0
             for column, t in zip(held, types, strict=True):
-                column.append(np.frombuffer(data, t, n, at))
+                column.append(unplanes(data, t, n, at))
                 at += n * np.dtype(t).itemsize
             owner.append(np.full(n, batch, np.int64))
         if owner:
@@ -203,32 +216,32 @@ def sort_names(packed: DataFrame, twice: bool, ranged: bool) -> DataFrame:
                 chosen = np.repeat(size_of > 1, size_of) & ((places & FLAG) == 0)
                 found = np.zeros((int(chosen.sum()), 0), np.uint8)
             owner, places = owner[chosen], places[chosen]
-            order = np.argsort(owner, kind="stable")
+            order = np.lexsort((places, owner))
             owner, places, found = owner[order], places[order], found[order]
             for b in np.unique(owner).tolist():
                 s = slice(*np.searchsorted(owner, [b, b + 1]))
                 batches.append(b)
-                out.append(places[s].tobytes())
+                out.append(planes(places[s]))
                 out_ranges.append(found[s].tobytes())
         return pa.table({"batch": pa.array(batches, pa.int64()), "places": pa.array(out, pa.binary()), "ranges": pa.array(out_ranges, pa.binary())})
 
-    made = packed.groupBy("bucket").applyInArrow(run, _PLACES_DDL)
-    if not ranged:
-        return made.groupBy("batch").agg(F.collect_list("places").alias("places"))
-    # Places and ranges stay together, so that their order is the same.
-    return made.groupBy("batch").agg(F.collect_list(F.struct("places", "ranges")).alias("places"))
+    return packed.groupBy("bucket").applyInArrow(run, _PLACES_DDL)
 
 
 def _ranged(lists: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:
     """Ascending places and their ranges."""
-    places = np.frombuffer(b"".join(x["places"] for x in lists or []), "<u4").astype(np.int64)
+    places = _places([x["places"] for x in lists or []])
     ranges = np.frombuffer(b"".join(x["ranges"] for x in lists or []), np.uint8).reshape(-1, 2)
     order = np.argsort(places)
     return places[order], ranges[order].astype(np.int64)
 
 
-def _joined(lists: list[bytes] | None) -> np.ndarray:
-    return np.sort(np.frombuffer(b"".join(lists or []), "<u4").astype(np.int64))
+def _places(lists: list[bytes]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, "<u4"), *(unplanes(x, "<u4", len(x) // 4) for x in lists)]).astype(np.int64)
+
+
+def _joined(lists: list[dict] | None) -> np.ndarray:
+    return np.sort(_places([x["places"] for x in lists or []]))
 
 
 class RepeatFinder:
@@ -296,15 +309,18 @@ class RepeatFinder:
             [StructField("batch", LongType()), StructField("texts", ArrayType(BinaryType())), StructField("others", ArrayType(self.kept))]
         )
         made = docs.select(*self.columns, F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8").alias("text")).mapInArrow(run, schema)
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * size // BATCH_BYTES)
+        self.parts = int(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * size // BATCH_BYTES))
         name = f"tickerloom_batches_{uuid.uuid4().hex}"
-        made.write.bucketBy(int(buckets), "batch").option("path", f"{self.folder}/batches").option("compression", "zstd").format("parquet").saveAsTable(name)
+        made.write.bucketBy(self.parts, "batch").option("path", f"{self.folder}/batches").option("compression", "zstd").format("parquet").saveAsTable(name)
         return spark.table(name)
 
     def _with(self, *lists: DataFrame, columns=("batch", "texts")) -> DataFrame:
+        """Batches with what tasks found in them.  The lists are brought to the buckets of the
+        batches by one exchange, in which they are also put together."""
         out = self.batches.select(*columns)
         for i, x in enumerate(lists):
-            out = out.join(x.withColumnRenamed("places", f"places{i}").hint("shuffle_hash"), "batch", "left")
+            found = F.collect_list(F.struct("places", "ranges")).alias(f"places{i}")
+            out = out.join(x.repartition(self.parts, "batch").groupBy("batch").agg(found).hint("shuffle_hash"), "batch", "left")
         return out
 
     def _names(self, rows: DataFrame, send, twice: bool, ranged: bool, name: str) -> DataFrame:
@@ -323,7 +339,7 @@ class RepeatFinder:
         return materialize(sort_names(rows.mapInArrow(run, _PACKED_DDL), twice, ranged), name, self.folder)
 
     def repeated(self) -> list[DataFrame]:
-        """Tables of (batch, places): together, enough starts of repeated strings to cover all."""
+        """Tables of (batch, places, ranges): together, enough starts of repeated strings to cover all."""
         length, width, modulus, cover = self.length, self.width, self.modulus, self.cover
         spark = self.batches.sparkSession
 
