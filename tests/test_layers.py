@@ -1,11 +1,13 @@
 """Stored layers: one narrow exchange by security, bounded buckets, nothing stored that a row gives by itself."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from tickerloom import SECURITY
-from tickerloom.operators import daily, weekly
-from tickerloom.plans import layers, tables
+from tickerloom.operators import backtest, daily, weekly
+from tickerloom.plans import evaluation, layers, tables
 from tickerloom.sources import layout
 
 from .test_plans import plan_of
@@ -66,3 +68,17 @@ def test_copies_of_a_hot_security_go_before_the_layout(spark, sf_dir, key):
         assert same(daily.clean_daily(tables.prices_of(kept), tables.TIEBREAK, keep_raw=keep_raw), want)
     unasked = daily.clean_daily(tables.prices_of(rows), tables.TIEBREAK, need_volume=False)
     assert same(daily.clean_daily(tables.prices_of(kept), tables.TIEBREAK, need_volume=False), unasked)
+
+
+def test_forward_paths_leave_daily_rows_in_their_layout(spark, sf_dir, no_automatic_broadcast):
+    selections, days = (layers.layer(spark, sf_dir, n) for n in ("selections", "bt_daily"))
+    rows = backtest.price_paths(selections, days, layers._buckets(spark, sf_dir))
+    plan = plan_of(rows)
+    assert not re.search(r"Exchange hashpartitioning\(gvkey#\d+, iid#\d+, \d+\), ENSURE", plan), plan
+    want = backtest.price_paths(selections, days)
+    assert want.count() > 0 and same(rows, want)
+
+
+def test_selections_are_reduced_in_the_layout_of_the_match(spark, sf_dir, no_automatic_broadcast):
+    plan = plan_of(evaluation.select_signals(spark, sf_dir))
+    assert not re.search(r"Exchange hashpartitioning\(gvkey#\d+, iid#\d+, screen_type", plan), plan
