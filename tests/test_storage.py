@@ -139,3 +139,18 @@ def test_a_cluster_without_a_shared_folder_is_an_error():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         workspace(Session())
+
+
+def test_all_screen_outputs_come_from_one_run_of_the_screen(spark, sf_dir, monkeypatch):
+    from __spark_entry__ import queries
+
+    write, plans = sinks.write_screen, []
+
+    def seen(annotated, summary, *args, **kwargs):
+        plans.extend(df._jdf.queryExecution().executedPlan().toString() for df in (annotated, summary))
+        write(annotated, summary, *args, **kwargs)
+
+    monkeypatch.setattr(sinks, "write_screen", seen)
+    counts = {r["output"]: r["row_count"] for r in queries()["s20_screen_outputs"](spark, sf_dir).collect()}
+    assert counts["unfiltered"] == counts["parquet"] + counts["excluded"] > 0
+    assert plans and not [p for p in plans if "Join" in p], plans

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality, refresh, screens, universe
 from ..sources import ingest, lake, sinks
-from ..sources.workspace import workspace
+from ..sources.workspace import materialize, workspace
 from . import tables as t
 from .layers import layer, layer_path
 from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql, weekly_bars_sql, weekly_sql
@@ -313,9 +313,10 @@ _OUTPUTS = ("parquet", "csv", "excluded", "excluded_csv", "unfiltered", "unfilte
 )
 def _(spark, sf):
     """All outputs of the screen, the unfiltered audit included, read back."""
-    rows = universe.annotate_universe(screen(spark, sf))
     tag = screens.parameter_tag(**KNOBS)
     folder = f"{workspace(spark)}/{tag}"
+    # All outputs and the summary come from one run of the screen.
+    rows = materialize(universe.annotate_universe(screen(spark, sf)), "screen", folder)
     sinks.write_screen(rows, universe.universe_summary(rows), folder, unfiltered_audit=True)
     paths = ("screening_results", "excluded_universe/excluded_universe", "unfiltered/screening_results_unfiltered")
     tables = [f for p in paths for f in (spark.read.parquet(f"{folder}/{p}.parquet"), spark.read.option("header", True).csv(f"{folder}/{p}.csv"))]
