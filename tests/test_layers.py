@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickerloom import SECURITY
-from tickerloom.operators import backtest, daily, weekly
-from tickerloom.plans import evaluation, layers, tables
-from tickerloom.sources import layout
+from tickerloom.operators import backtest, daily, refresh, weekly
+from tickerloom.plans import evaluation, layers, storage, tables
+from tickerloom.sources import layout, sinks
 
 from .test_plans import plan_of
 
@@ -82,3 +82,43 @@ def test_forward_paths_leave_daily_rows_in_their_layout(spark, sf_dir, no_automa
 def test_selections_are_reduced_in_the_layout_of_the_match(spark, sf_dir, no_automatic_broadcast):
     plan = plan_of(evaluation.select_signals(spark, sf_dir))
     assert not re.search(r"Exchange hashpartitioning\(gvkey#\d+, iid#\d+, screen_type", plan), plan
+
+
+class Stop(Exception):
+    pass
+
+
+@pytest.mark.parametrize("run, write, name", [("rebuild_changed", "write_daily", "daily")])
+def test_rebuilds_store_no_column_that_follows_from_others(spark, sf_dir, monkeypatch, run, write, name):
+    """One narrow exchange by date, straight from the windows: the layer is not written first."""
+    seen = []
+
+    def stop(df, path):
+        seen.append(df)
+        raise Stop
+
+    monkeypatch.setattr(sinks, write, stop)
+    monkeypatch.setattr(layers, "_written", {k: v for k, v in layers._written.items() if k[2] in ("lines", "names")})
+    with pytest.raises(Stop):
+        getattr(storage, run)(spark, sf_dir)
+    assert not [c for c in seen[0].columns if "ratio" in c or c.startswith("flag_")], seen[0].columns
+    assert name not in {k[2] for k in layers._written}
+    assert "hashpartitioning(gvkey" not in plan_of(seen[0])
+
+
+@pytest.mark.parametrize("run", ["rebuild_changed"])
+def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run):
+    """The ranges come from the recomputed rows as stored; what changed is stored before the raw rows meet it."""
+    seen = {}
+
+    def materialize(df, name, folder):
+        seen[name] = plan_of(df)
+        if name == "ranges":
+            raise Stop
+        return keep(df, name, folder)
+
+    keep = refresh.materialize
+    monkeypatch.setattr(refresh, "materialize", materialize)
+    with pytest.raises(Stop):
+        getattr(storage, run)(spark, sf_dir)
+    assert "Window" in seen["recomputed"] and "Window" not in seen["ranges"], seen["ranges"]

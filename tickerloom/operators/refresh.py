@@ -20,7 +20,7 @@ from ..sources import sinks
 from ..sources.workspace import materialize, workspace
 from . import weekly
 from .daily import MEANS, TIEBREAK, clean_daily, history_of_clean
-from .rolling import by_time
+from .rolling import add_previous, by_time
 
 #: Rows after a changed one whose metrics it takes part in: the longest average, then the previous row's.
 REACH = max(MEANS.values())
@@ -57,9 +57,13 @@ def daily_refresh(
     ``raw`` has the rows as they are now.  The range (``first_changed``, ``last_affected``) is what
     the recomputed rows stand for: stored rows in it that were not recomputed are gone.
     """
+    metrics = _daily_recomputed(raw, changed, tiebreak)
+    return _without_marks(metrics), _ranges(metrics, changed, "date")
+
+
+def _daily_recomputed(raw: DataFrame, changed: DataFrame, tiebreak: Sequence[str]) -> DataFrame:
     rows = clean_daily(raw.join(changed, [*SECURITY]), tiebreak)
-    metrics = history_of_clean(_within_reach(rows, "date", REACH)).filter("_row >= _from")
-    return _ranges(metrics, changed, "date")
+    return history_of_clean(_within_reach(rows, "date", REACH)).filter("_row >= _from")
 
 
 def weekly_refresh(
@@ -75,6 +79,13 @@ def weekly_refresh(
     security may complete a week, or undo that, for the whole market.  Then all securities
     that traded in that week have changed in it.
     """
+    changes, weeks = _changed_weeks(old, raw, changed, calendar), weekly.market_weeks(raw, calendar)
+    metrics = _weekly_recomputed(raw, changes, weeks, calendar, tiebreak)
+    return _without_marks(metrics), _ranges(metrics, changes, "week_start_date")
+
+
+def _changed_weeks(old: DataFrame, raw: DataFrame, changed: DataFrame, calendar: DataFrame | None) -> DataFrame:
+    """Per security its first and last changed week, those included that changed for the whole market."""
     weeks = weekly.market_weeks(raw, calendar)
     before = weekly.market_weeks(old, calendar)
     # Few rows: weeks that are complete in one of the two only, or end on another day.
@@ -85,10 +96,16 @@ def weekly_refresh(
     traded = traded.select(*SECURITY, week_start("date").alias("week_start_date")).join(flipped, "week_start_date").distinct()
     own = changed.select(*SECURITY, *[week_start(c).alias(c) for c in ("first_changed", "last_changed")])
     market = traded.select(*SECURITY, F.col("week_start_date").alias("first_changed"), F.col("week_start_date").alias("last_changed"))
-    ranges = own.unionByName(market).groupBy(*SECURITY).agg(F.min("first_changed").alias("first_changed"), F.max("last_changed").alias("last_changed"))
-    history = weekly.weekly_history(raw.join(ranges.select(*SECURITY), [*SECURITY], "left_semi"), calendar, tiebreak, weeks)
-    rows = _within_reach(history.join(ranges, [*SECURITY]), "week_start_date", WEEKLY_REACH)
-    return _ranges(rows.filter("_row >= _from"), ranges, "week_start_date")
+    return own.unionByName(market).groupBy(*SECURITY).agg(F.min("first_changed").alias("first_changed"), F.max("last_changed").alias("last_changed"))
+
+
+def _weekly_recomputed(
+    raw: DataFrame, changes: DataFrame, weeks: DataFrame, calendar: DataFrame | None, tiebreak: Sequence[str]
+) -> DataFrame:
+    history = weekly.weekly_history(raw.join(changes.select(*SECURITY), [*SECURITY], "left_semi"), calendar, tiebreak, weeks)
+    # Stores that derive their ratios on reading keep this one instead of the previous row's ratios.
+    history = add_previous(history, ["wma5"], "week_end_date")
+    return _within_reach(history.join(changes, [*SECURITY]), "week_start_date", WEEKLY_REACH).filter("_row >= _from")
 
 
 def _within_reach(rows: DataFrame, date: str, reach: int) -> DataFrame:
@@ -105,12 +122,15 @@ def _within_reach(rows: DataFrame, date: str, reach: int) -> DataFrame:
     return rows.filter(F.col("_row").between(F.col("_from") - reach, F.col("_to")))
 
 
-def _ranges(metrics: DataFrame, changed: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
+def _ranges(metrics: DataFrame, changed: DataFrame, date: str) -> DataFrame:
     last = metrics.groupBy(*SECURITY).agg(F.max(date).alias("_last"))
-    ranges = changed.join(last, [*SECURITY], "left").select(
+    return changed.join(last, [*SECURITY], "left").select(
         *SECURITY, "first_changed", F.greatest("last_changed", "_last").alias("last_affected")
     )
-    return metrics.drop("_row", "_from", "_to", "first_changed", "last_changed"), ranges
+
+
+def _without_marks(metrics: DataFrame) -> DataFrame:
+    return metrics.drop("_row", "_from", "_to", "first_changed", "last_changed")
 
 
 def merged(stored: DataFrame, recomputed: DataFrame, ranges: DataFrame, date: str = "date") -> DataFrame:
@@ -135,9 +155,9 @@ def refresh_daily_store(
     """
     folder = workspace(spark)
     changed = materialize(changed, "changed", folder)
-    metrics, ranges = daily_refresh(raw, changed, tiebreak)
+    metrics = _daily_recomputed(raw, changed, tiebreak)
     columns = [*sinks.DATE_PARTITIONS, "date"]
-    return _replace_affected(spark, path, metrics, ranges, columns, sinks.write_daily, folder)
+    return _replace_affected(spark, path, metrics, changed, columns, sinks.write_daily, folder)
 
 
 def refresh_weekly_store(
@@ -151,17 +171,20 @@ def refresh_weekly_store(
 ) -> int:
     """As ``refresh_daily_store``, for a table of weekly metrics by week; returns the weeks rewritten."""
     folder = workspace(spark)
-    metrics, ranges = weekly_refresh(old, raw, materialize(changed, "changed", folder), calendar, tiebreak)
-    return _replace_affected(spark, path, metrics, ranges, ["year", "week_start_date"], sinks.write_weekly, folder)
+    # Stored, so that its true size is known and the raw rows of other securities go before any exchange.
+    changes = materialize(_changed_weeks(old, raw, materialize(changed, "changed", folder), calendar), "changes", folder)
+    metrics = _weekly_recomputed(raw, changes, weekly.market_weeks(raw, calendar), calendar, tiebreak)
+    return _replace_affected(spark, path, metrics, changes, ["year", "week_start_date"], sinks.write_weekly, folder)
 
 
 def _replace_affected(
-    spark: SparkSession, path: str, metrics: DataFrame, ranges: DataFrame, partitions: list[str], write, folder: str
+    spark: SparkSession, path: str, metrics: DataFrame, changed: DataFrame, partitions: list[str], write, folder: str
 ) -> int:
     date = partitions[-1]
     stored = spark.read.parquet(path).drop(*partitions[:-1])
     metrics = materialize(metrics.select(*stored.columns), "recomputed", folder)
-    ranges = materialize(ranges, "ranges", folder)
+    # From the stored rows: these are computed once.
+    ranges = materialize(_ranges(metrics, changed, date), "ranges", folder)
     bounds = ranges.agg(F.min("first_changed").alias("first"), F.max("last_affected").alias("last")).first()
     if bounds["first"] is None:
         return 0

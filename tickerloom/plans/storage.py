@@ -6,11 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from .. import SECURITY
 from ..operators import quality, refresh, screens, universe
 from ..sources import ingest, lake, sinks
 from ..sources.workspace import materialize, workspace
 from . import tables as t
-from .layers import layer, layer_path
+from .layers import DAILY_AVERAGES, layer, layer_path, unstored, view_daily, with_daily_ratios
 from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql, weekly_bars_sql, weekly_sql
 from .registry import query
 from .screening import KNOBS, _ANNOTATED, _SUMMARY, master, screen
@@ -426,6 +427,9 @@ _REVISED_ONCE = f"""
 (SELECT * FROM ({_REVISED}) WHERE adjusted_close_price IS NOT NULL AND volume IS NOT NULL
  QUALIFY row_number() OVER (PARTITION BY gvkey, iid, date ORDER BY {RAW_ORDER}) = 1) AS revised"""
 
+#: What the metric stores hold of a row shown by the rebuilds: ratios and flags follow from it on reading.
+DAILY_STORE = ("date", *SECURITY, "ticker", "company_name", "adjusted_close_price", "volume", *DAILY_AVERAGES)
+
 _REVISED_PRICED = f"""
 (SELECT * FROM ({_REVISED}) WHERE adjusted_close_price IS NOT NULL
  QUALIFY row_number() OVER (PARTITION BY gvkey, iid, date ORDER BY {RAW_ORDER}) = 1)"""
@@ -445,9 +449,9 @@ def rebuild_changed(spark, sf):
     """
     raw, revised, changed = _revision(spark, sf)
     path = f"{workspace(spark)}/daily"
-    sinks.write_daily(layer(spark, sf, "daily"), path)
+    sinks.write_daily(view_daily(unstored(spark, sf, "daily")).select(*DAILY_STORE), path)
     refresh.refresh_daily_store(spark, path, t.with_names(spark, sf, revised), changed, t.TIEBREAK)
-    return lake.read_parquet(spark, path, merge=False)
+    return with_daily_ratios(lake.read_parquet(spark, path, merge=False))
 
 
 @query(
