@@ -88,7 +88,7 @@ class Stop(Exception):
     pass
 
 
-@pytest.mark.parametrize("run, write, name", [("rebuild_changed", "write_daily", "daily")])
+@pytest.mark.parametrize("run, write, name", [("rebuild_changed", "write_daily", "daily"), ("rebuild_changed_weeks", "write_weekly", "weekly")])
 def test_rebuilds_store_no_column_that_follows_from_others(spark, sf_dir, monkeypatch, run, write, name):
     """One narrow exchange by date, straight from the windows: the layer is not written first."""
     seen = []
@@ -106,7 +106,7 @@ def test_rebuilds_store_no_column_that_follows_from_others(spark, sf_dir, monkey
     assert "hashpartitioning(gvkey" not in plan_of(seen[0])
 
 
-@pytest.mark.parametrize("run", ["rebuild_changed"])
+@pytest.mark.parametrize("run", ["rebuild_changed", "rebuild_changed_weeks"])
 def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run):
     """The ranges come from the recomputed rows as stored; what changed is stored before the raw rows meet it."""
     seen = {}
@@ -122,3 +122,5 @@ def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run
     with pytest.raises(Stop):
         getattr(storage, run)(spark, sf_dir)
     assert "Window" in seen["recomputed"] and "Window" not in seen["ranges"], seen["ranges"]
+    if run == "rebuild_changed_weeks":
+        assert "changes" in seen and "Union" not in seen["recomputed"], seen["recomputed"]

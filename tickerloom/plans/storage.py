@@ -11,7 +11,7 @@ from ..operators import quality, refresh, screens, universe
 from ..sources import ingest, lake, sinks
 from ..sources.workspace import materialize, workspace
 from . import tables as t
-from .layers import DAILY_AVERAGES, layer, layer_path, unstored, view_daily, with_daily_ratios
+from .layers import DAILY_AVERAGES, layer, layer_path, unstored, view_daily, view_weekly, with_daily_ratios
 from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql, weekly_bars_sql, weekly_sql
 from .registry import query
 from .screening import KNOBS, _ANNOTATED, _SUMMARY, master, screen
@@ -429,6 +429,11 @@ _REVISED_ONCE = f"""
 
 #: What the metric stores hold of a row shown by the rebuilds: ratios and flags follow from it on reading.
 DAILY_STORE = ("date", *SECURITY, "ticker", "company_name", "adjusted_close_price", "volume", *DAILY_AVERAGES)
+WEEKLY_STORE = (
+    *("week_start_date", "week_end_date", *SECURITY, "ticker", "company_name", "security_week_last_trade_date"),
+    *[f"weekly_{c}" for c in ("open_price", "high_price", "low_price", "close_price", "volume")],
+    *("wma5", "wma10", "wma30", "prev_wma5", "prev_wma10", "prev_wma30"),
+)
 
 _REVISED_PRICED = f"""
 (SELECT * FROM ({_REVISED}) WHERE adjusted_close_price IS NOT NULL
@@ -465,10 +470,10 @@ def rebuild_changed_weeks(spark, sf):
     """All weeks of the stored weekly metrics after the same change."""
     raw, revised, changed = _revision(spark, sf)
     path = f"{workspace(spark)}/weekly"
-    sinks.write_weekly(layer(spark, sf, "weekly"), path)
+    sinks.write_weekly(unstored(spark, sf, "weekly").select(*WEEKLY_STORE), path)
     old, new = (t.with_names(spark, sf, rows) for rows in (raw, revised))
     refresh.refresh_weekly_store(spark, path, old, new, changed, tiebreak=t.TIEBREAK)
-    return lake.read_parquet(spark, path, merge=False)
+    return view_weekly(lake.read_parquet(spark, path, merge=False))
 
 
 def _revision(spark, sf):
