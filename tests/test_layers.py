@@ -5,13 +5,16 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tickerloom import SECURITY
-from tickerloom.operators import backtest, daily, refresh, weekly
+from tickerloom.operators import backtest, daily, quality, refresh, weekly
 from tickerloom.plans import evaluation, layers, storage, tables
 from tickerloom.sources import layout, sinks
 
 from .test_plans import plan_of
 
+QUERIES = queries()
+
 
 def same(one, other):
     other = other.select(*one.columns)
@@ -124,3 +127,18 @@ def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run
     assert "Window" in seen["recomputed"] and "Window" not in seen["ranges"], seen["ranges"]
     if run == "rebuild_changed_weeks":
         assert "changes" in seen and "Union" not in seen["recomputed"], seen["recomputed"]
+
+
+@pytest.mark.parametrize(
+    "name", ["p22_parameter_literals"]
+)
+def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch, name):
+    wide = ("daily", "weekly", "bt_daily", "bt_weekly")
+    known = {k: v for k, v in layers._written.items() if k[2] not in wide}
+    monkeypatch.setattr(layers, "_written", known)
+    rows = QUERIES[name](spark, sf_dir)
+    assert not {k[2] for k in known} & set(wide), known.keys()
+    alone = sorted(map(str, rows.collect()))
+    for w in wide:
+        layers.layer(spark, sf_dir, w)
+    assert alone and alone == sorted(map(str, QUERIES[name](spark, sf_dir).collect()))
