@@ -130,7 +130,7 @@ def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run
 
 
 @pytest.mark.parametrize(
-    "name", ["p22_parameter_literals"]
+    "name", ["p22_parameter_literals", "q04_future_field_checks"]
 )
 def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch, name):
     wide = ("daily", "weekly", "bt_daily", "bt_weekly")
@@ -142,3 +142,23 @@ def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch,
     for w in wide:
         layers.layer(spark, sf_dir, w)
     assert alone and alone == sorted(map(str, QUERIES[name](spark, sf_dir).collect()))
+
+
+def test_missing_links_are_found_in_one_pass(spark, sf_dir, no_automatic_broadcast):
+    weeks = layers.layer(spark, sf_dir, "weekly").select(*SECURITY, "week_end_date")
+    linked = weeks.withColumn("link", F.when(F.col("gvkey") > "2", F.date_add("week_end_date", 7)))
+    got = quality.missing_future_links(linked, "week_end_date", "link")
+    plan = plan_of(got)
+    assert "Exchange" not in plan and "Join" not in plan, plan
+    targets = weeks.withColumnRenamed("week_end_date", "link")
+    want = linked.filter("link IS NOT NULL").join(targets, [*SECURITY, "link"], "left_anti")
+    assert want.count() > 0 and same(got, want)
+
+
+def test_missing_links_of_unknown_keys_and_copies(spark):
+    rows = [("1", "F", 1, 2, "a"), ("1", "F", 2, 3, "b"), ("1", "F", 2, 9, "c"), ("1", "F", None, 2, "d"), ("1", "F", 4, None, "e")]
+    rows += [("1", "F", 5, 5, "f"), ("2", "F", 1, 2, "g"), (None, "F", 2, 2, "h"), ("2", None, 2, 2, "i")]
+    df = spark.createDataFrame([(a, b, c, d, e) for a, b, c, d, e in rows], "gvkey string, iid string, week_end_date int, link int, id string")
+    got = quality.missing_future_links(df, "week_end_date", "link")
+    assert got.columns == df.columns
+    assert sorted(r["id"] for r in got.collect()) == ["b", "c", "g", "h", "i"]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import SECURITY
@@ -228,9 +228,27 @@ def weekly_future_checks(snapshot: DataFrame, calendar: DataFrame | None = None)
 def missing_future_links(
     snapshot: DataFrame, date: str = "week_end_date", link: str = "weekly_h_confirmed_using_date"
 ) -> DataFrame:
-    """Rows whose confirming date has no row of the same security."""
-    targets = snapshot.select(*SECURITY, F.col(date).alias(link))
-    return snapshot.filter(F.col(link).isNotNull()).join(targets, [*SECURITY, link], "left_anti")
+    """Rows whose confirming date has no row of the same security.
+
+    Each row stands once at its own date and once at the confirming one, so the table is passed once
+    and, if it is stored by security, nothing is shuffled.  Unknown keys match nothing.
+    """
+    known = F.lit(True)
+    for c in (*SECURITY, date):
+        known = known & F.col(c).isNotNull()
+    sides = F.array(
+        F.struct(F.col(date).alias("at"), known.alias("there")),
+        F.struct(F.col(link).alias("at"), F.lit(None).cast("boolean").alias("there")),
+    )
+    same = Window.partitionBy(*SECURITY, "_at")
+    return (
+        snapshot.withColumn("_side", F.explode(sides))
+        .withColumns({"_at": F.col("_side.at"), "_there": F.col("_side.there")})
+        .filter("_at IS NOT NULL")
+        .withColumn("_found", F.coalesce(F.max("_there").over(same), F.lit(False)))
+        .filter("_there IS NULL AND NOT _found")
+        .select(*snapshot.columns)
+    )
 
 
 def latest_completed_week(weekly: DataFrame, daily: DataFrame) -> DataFrame:
