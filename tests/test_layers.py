@@ -144,6 +144,17 @@ def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch,
     assert alone and alone == sorted(map(str, QUERIES[name](spark, sf_dir).collect()))
 
 
+def test_outcomes_write_no_backtest_rows(spark, sf_dir, monkeypatch):
+    """Checks of outcomes (q08, q09) need selections and outcomes alone."""
+    want = [layers.layer(spark, sf_dir, n) for n in ("selections", "outcomes")]
+    known = {k: v for k, v in layers._written.items() if k[2] in ("lines", "names", "filings", "annual", "quarterly")}
+    monkeypatch.setattr(layers, "_written", known)
+    outcomes = layers.layer(spark, sf_dir, "outcomes")
+    assert not {k[2] for k in known} & {"bt_daily", "bt_weekly"}, known.keys()
+    assert outcomes.count() > 0 and same(outcomes, want[1])
+    assert same(layers.layer(spark, sf_dir, "selections"), want[0])
+
+
 def test_missing_links_are_found_in_one_pass(spark, sf_dir, no_automatic_broadcast):
     weeks = layers.layer(spark, sf_dir, "weekly").select(*SECURITY, "week_end_date")
     linked = weeks.withColumn("link", F.when(F.col("gvkey") > "2", F.date_add("week_end_date", 7)))
