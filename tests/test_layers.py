@@ -130,7 +130,7 @@ def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run
 
 
 @pytest.mark.parametrize(
-    "name", ["p22_parameter_literals", "q04_future_field_checks"]
+    "name", ["p22_parameter_literals", "q04_future_field_checks", "c10_security_master"]
 )
 def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch, name):
     wide = ("daily", "weekly", "bt_daily", "bt_weekly")
@@ -144,6 +144,13 @@ def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch,
     assert alone and alone == sorted(map(str, QUERIES[name](spark, sf_dir).collect()))
 
 
+def test_columns_that_are_not_shown_compute_no_average(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(layers, "_written", {k: v for k, v in layers._written.items() if k[2] in ("lines", "names")})
+    for name in ("c10_security_master",):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        assert "avg(" not in plan and "lead(" not in plan, plan
+
+
 def test_outcomes_write_no_backtest_rows(spark, sf_dir, monkeypatch):
     """Checks of outcomes (q08, q09) need selections and outcomes alone."""
     want = [layers.layer(spark, sf_dir, n) for n in ("selections", "outcomes")]
