@@ -130,7 +130,7 @@ def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run
 
 
 @pytest.mark.parametrize(
-    "name", ["p22_parameter_literals", "q04_future_field_checks", "c10_security_master"]
+    "name", ["p22_parameter_literals", "q04_future_field_checks", "c10_security_master", "j16_traded_on_official_week_end"]
 )
 def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch, name):
     wide = ("daily", "weekly", "bt_daily", "bt_weekly")
@@ -146,7 +146,7 @@ def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch,
 
 def test_columns_that_are_not_shown_compute_no_average(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(layers, "_written", {k: v for k, v in layers._written.items() if k[2] in ("lines", "names")})
-    for name in ("c10_security_master",):
+    for name in ("c10_security_master", "j16_traded_on_official_week_end"):
         plan = plan_of(QUERIES[name](spark, sf_dir))
         assert "avg(" not in plan and "lead(" not in plan, plan
 
