@@ -130,7 +130,7 @@ def test_refreshes_compute_the_changed_rows_once(spark, sf_dir, monkeypatch, run
 
 
 @pytest.mark.parametrize(
-    "name", ["p22_parameter_literals", "q04_future_field_checks", "c10_security_master", "j16_traded_on_official_week_end"]
+    "name", ["p22_parameter_literals", "q04_future_field_checks", "c10_security_master", "j16_traded_on_official_week_end", "q05_load_checks"]
 )
 def test_queries_of_few_columns_write_no_wide_layer(spark, sf_dir, monkeypatch, name):
     wide = ("daily", "weekly", "bt_daily", "bt_weekly")

@@ -11,7 +11,7 @@ from ..operators import quality, refresh, screens, universe
 from ..sources import ingest, lake, sinks
 from ..sources.workspace import materialize, workspace
 from . import tables as t
-from .layers import DAILY_AVERAGES, layer, layer_path, unstored, view_daily, view_weekly, with_daily_ratios
+from .layers import DAILY_AVERAGES, layer, layer_path, rows_of, unstored, view_daily, view_weekly, with_daily_ratios
 from .oracle import BT_END, BT_START, RAW_ORDER, daily_sql, weekly_bars_sql, weekly_sql
 from .registry import query
 from .screening import KNOBS, _ANNOTATED, _SUMMARY, master, screen
@@ -363,8 +363,8 @@ _LOADS = {
 )
 def _(spark, sf):
     """Loads that are complete, lack columns, and have no rows."""
-    daily = layer(spark, sf, "daily")
-    loads = {"daily": daily, "weekly": layer(spark, sf, "weekly"), "future": daily.filter("date > DATE'2005-01-01'")}
+    daily = rows_of(spark, sf, "daily")
+    loads = {"daily": daily, "weekly": rows_of(spark, sf, "weekly"), "future": daily.filter("date > DATE'2005-01-01'")}
     return quality.load_checks(loads, _LOADS)
 
 
