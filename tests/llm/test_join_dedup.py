@@ -126,6 +126,39 @@ def test_prefixes_share_t():
                 assert jaccard_join.shared_least(int(jaccard_join.least_overlap(len(x), percent)), percent) <= t
 
 
+def test_linked_sets_share_buckets():
+    """Different sets that link send two equal buckets at least, whatever their sizes."""
+    r = np.random.default_rng(4)
+    for percent in (60, 80, 90):
+        linked = 0
+        for _ in range(600):
+            a = np.unique(r.integers(0, 1 << 64, int(r.choice([10, 25, 120, 400])) + int(r.integers(0, 9)), dtype=np.uint64))
+            changes = len(a) * (100 - percent) // 100 + 1
+            b = np.concatenate([r.permutation(a)[int(r.integers(0, changes)) :], r.integers(0, 1 << 64, int(r.integers(0, changes)), dtype=np.uint64)])
+            b = np.unique(b)
+            o = len(np.intersect1d(a, b))
+            if 100 * o >= percent * (len(a) + len(b) - o) and o < max(len(a), len(b)):
+                linked += 1
+                none, first, second = jaccard_join.bucket_signs([a[:0], a, b], percent)
+                assert not len(none) and len(np.intersect1d(first, second)) >= jaccard_join.SHARED
+        assert linked > 100
+
+
+def test_single_shared_shingles_make_no_large_part(spark, monkeypatch):
+    """Frequent words bring most texts some shared shingles; that alone puts no two in one part."""
+    r = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(200)]
+    weights = [1 / (i + 1) for i in range(200)]
+    rows = [(i, " ".join(r.choices(vocabulary, weights, k=r.randrange(60, 160)))) for i in range(600)]
+    rows += [(1000 + i, f"{text} end") for i, text in rows[:40]]
+    seen = []
+    search_parts = jaccard_join._search_parts
+    monkeypatch.setattr(jaccard_join, "_search_parts", lambda texts, parts, *a: seen.extend(parts.groupBy("part").count().collect()) or search_parts(texts, parts, *a))
+    got = sorted((tuple(x) for x in jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute(rows, 3, 90)
+    assert len(seen) >= 40 and max(x["count"] for x in seen) <= 4
+
+
 def test_join_on_edges(edges, nothing):
     got = sorted((tuple(r) for r in jaccard_join.link_components(edges).collect()), key=str)
     by = {(d, n): c for d, n, c in got}

@@ -2,8 +2,10 @@
 
 Texts with equal sets form a class and take part once.  Classes meet by prefixes: hashes of
 n-grams are in random order, and two sets that link share at least T of their smallest ones
-(``shared_least``).  What has fewer shared hashes links with nothing; the rest is grouped by
-rare shared hashes into parts that hold all links, and each part is searched for T
+(``shared_least``).  What has fewer shared hashes links with nothing.  In a large table most
+of the rest shares single n-grams with many texts, but never a stretch of n-grams: the range
+of hashes is cut into so many buckets that two sets that link hold the same elements in some
+of them (``bucket_signs``).  Equal buckets group the sets into parts that hold all links, and each part is searched for T
 occurrences with inverted lists over whole sets: short lists are merged with a heap, long
 ones are probed by binary search (or counted, where they are too many to be set aside), and a pair links by its exact overlap.
 
@@ -14,6 +16,7 @@ text that all differ a little cost a search each and not a pair each.
 from __future__ import annotations
 
 import heapq
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -25,9 +28,11 @@ from pyspark.sql.types import StructType
 
 from ..sources.workspace import materialize, workspace
 from .components import connected_components
-from .texts import discard, few_collections, pieces, release, shingle_set
+from .texts import discard, few_collections, mix, pieces, release, shingle_set
 
 WORDS, PERCENT = 3, 90
+#: Sent buckets that two sets that link have in common at least.
+SHARED = 2
 #: Lists up to this length are merged; longer ones are probed where the count allows it.
 SHORT = 8
 #: Bytes of sets that one search holds; larger parts are searched block against block.
@@ -83,6 +88,71 @@ def set_key(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True)
 
 
+@cache
+def bands(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lows, differ, buckets) of each band of sizes, from its smallest size on.
+
+    A pair belongs to the band of its smaller set; ``differ`` is the most elements that only
+    one set of a pair that links has.  With so many buckets, all but ``differ`` hold the same
+    elements in both sets; one in four more than that must, so that small ones are not sent.
+    """
+    lows = [1]
+    while lows[-1] < 1 << 40:
+        lows.append(max(lows[-1] + 1, lows[-1] * 5 // 4))
+    smaller = np.array(lows[1:], np.int64) - 1
+    differ = (smaller + 100 * smaller // percent) * (100 - percent) // (100 + percent)
+    return np.array(lows[:-1], np.int64), differ, differ + SHARED + differ // 4
+
+
+def bucket_signs(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
+    """Hashes of the fullest buckets of each set; two different sets that link share ``SHARED``.
+
+    In a band of sizes every set has equally many buckets, and all but ``differ`` of them are
+    equal in two sets that link.  By one order of all buckets, the fullest first, the first
+    ``differ + SHARED`` then have ``SHARED`` in common.  A set may be the smaller or the larger
+    of a pair, so it sends buckets for each band in which it can have a partner.
+    """
+    lows, differ, buckets = bands(percent)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    first, last = (np.searchsorted(lows, n, "right") - 1 for n in (least_overlap(sizes, percent), sizes))
+    owner = np.repeat(np.arange(len(sets)), last - first + 1)
+    band = np.arange(len(owner)) - np.searchsorted(owner, owner) + first[owner]
+    pairs = (sizes[owner] > 0) & (differ[band] > 0)  # where nothing may differ only equal sets link
+    owner, band = owner[pairs], band[pairs]
+    if not len(owner):
+        return [np.zeros(0, np.uint64) for _ in sets]
+    elements = np.concatenate([sets[i] for i in owner])
+    count, of = buckets[band], np.repeat(np.arange(len(owner)), sizes[owner])
+    start = np.cumsum(count) - count
+    high = elements >> np.uint64(32)
+    full = np.bincount(start[of] + (high * count[of].astype(np.uint64) >> np.uint64(32)).astype(np.int64), minlength=int(count.sum()))
+    sums = np.r_[np.uint64(0), np.cumsum(mix(elements))]
+    ends = np.cumsum(full)
+    of = np.repeat(np.arange(len(owner)), count)
+    place = np.arange(len(of)) - start[of]
+    signs = mix(sums[ends] - sums[ends - full] + mix((band[of] << 40 | place).astype(np.uint64)))
+    order = np.lexsort((signs, -full, of))
+    sent = order[place < differ[band][of] + SHARED]  # sorted by owner, as place is
+    return np.split(signs[sent], np.searchsorted(owner[of[sent]], np.arange(1, len(sets))))
+
+
+def set_signs(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(doc_id, k1, k2, signs): hash of each text's set and of its fullest buckets."""
+    schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("signs", pa.list_(pa.int64()))])
+
+    def run(batches):
+        few_collections()
+        for batch in batches:
+            for part in pieces(batch):
+                sets = [shingle_set(words_of(text), words) for text in part.column("text").to_pylist()]
+                keys = [set_key(s) for s in sets]
+                signs = [s.view(np.int64) for s in bucket_signs(sets, percent)]
+                columns = ([k for k, _ in keys], [k for _, k in keys], signs)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True))], schema=schema)
+
+    return docs.mapInArrow(run, "doc_id long, k1 long, k2 long, signs array<long>")
+
+
 class Lists:
     """Inverted lists over some sets: for each element the ascending numbers of its sets."""
 
@@ -193,7 +263,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()), "classes", folder)
     enough = materialize(_meeting_sets(prefixes, classes, percent), "meeting-sets", folder)
     discard(docs.sparkSession, f"{folder}/shingle-prefixes")
-    parts = materialize(_parts(enough, percent), "parts", folder)
+    parts = materialize(_parts(texts, enough, words, percent), "parts", folder)
     release(docs.sparkSession)
     links = materialize(_search_parts(texts, parts, words, percent), "found-links", folder)
     release(docs.sparkSession)
@@ -215,37 +285,41 @@ def _least_t(percent: int) -> Column:
     return F.least(alpha(n), F.floor((n - alpha(n)) / 2) + 2)
 
 
-def _meeting_sets(prefixes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(cid, hs, rep, n, k1, k2) of the classes that share enough hashes of their prefix with any other.
+def _met(entries: DataFrame) -> DataFrame:
+    """The rows (cid, h) whose h another class has too.
 
     What a hash's classes have in common is combined before the shuffle and joined back, so
     the classes of a frequent hash do not meet in one task.
     """
+    shared = entries.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low <> high")
+    return entries.join(shared.select("h"), "h", "left_semi")
+
+
+def _meeting_sets(prefixes: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(cid, rep, n, k1, k2) of the classes that share enough hashes of their prefix with any other."""
     usable = prefixes.filter((F.col("n") > 0) & F.col("doc_id").isNotNull()).withColumnRenamed("doc_id", "rep")
     own = usable.select("rep", "k1", "k2", "prefix").join(classes.select("k1", "k2", "rep", "cid"), ["k1", "k2", "rep"])
-    hashes = own.select("cid", F.explode("prefix").alias("h"))
-    shared = hashes.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low <> high")
-    met = hashes.join(shared.select("h"), "h", "left_semi")
-    return met.groupBy("cid").agg(F.collect_set("h").alias("hs")).join(classes, "cid").filter(F.size("hs") >= _least_t(percent))
+    met = _met(own.select("cid", F.explode("prefix").alias("h"))).groupBy("cid").agg(F.count(F.lit(1)).alias("met"))
+    return met.join(classes, "cid").filter(F.col("met") >= _least_t(percent)).drop("met")
 
 
-def _parts(enough: DataFrame, percent: int) -> DataFrame:
+def _parts(texts: DataFrame, enough: DataFrame, words: int, percent: int) -> DataFrame:
     """(cid, part, rep, n, k1, k2): classes that may link are in one part.
 
-    Of a class's hashes, rarest first, those but the last T - 1 must hold one that a partner's
-    also hold.
+    Of a class's buckets that others have too, rarest first, those but the last
+    ``SHARED - 1`` must hold one that a partner's also hold.
     """
-    t_least = _least_t(percent)
-    each = enough.select("cid", "n", F.explode("hs").alias("h"))
-    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    counted = each.join(often, "h")
-    ranked = counted.groupBy("cid", "n").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs")).filter(F.size("hs") >= t_least)
-    routes = ranked.select("cid", F.explode(F.slice("hs", F.lit(1), (F.size("hs") - t_least + 1).cast("int"))).alias("x"))
+    signs = set_signs(_only_wanted(texts, enough.select("rep")), words, percent).withColumnRenamed("doc_id", "rep")
+    own = signs.join(enough.select("rep", "k1", "k2", "cid"), ["k1", "k2", "rep"])
+    each = own.select("cid", F.explode("signs").alias("h"))
+    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low <> high")
+    ranked = each.join(often, "h").groupBy("cid").agg(F.array_sort(F.collect_set(F.struct("df", "h"))).alias("hs")).filter(F.size("hs") >= SHARED)
+    routes = ranked.select("cid", F.explode(F.slice("hs", F.lit(1), F.size("hs") - (SHARED - 1))).alias("x"))
     routes = routes.select("cid", F.col("x.h").alias("h"))
     least = routes.groupBy("h").agg(F.min("cid").alias("b"))
     star = routes.join(least, "h").select(F.col("cid").alias("a"), "b")
     parts = connected_components(star).withColumnRenamed("node", "cid").withColumnRenamed("component", "part")
-    return parts.join(enough.select("cid", "rep", "n", "k1", "k2"), "cid")
+    return parts.join(enough, "cid")
 
 
 def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
