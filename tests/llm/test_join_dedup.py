@@ -159,6 +159,26 @@ def test_single_shared_shingles_make_no_large_part(spark, monkeypatch):
     assert len(seen) >= 40 and max(x["count"] for x in seen) <= 4
 
 
+def test_large_groups_are_not_copied_to_all_blocks(spark, monkeypatch):
+    """A group of near copies takes many blocks; each text travels a few times and not once a block."""
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(i, " ".join(base[: (k := r.randrange(100))] + [f"x{i}"] + base[k:])) for i in range(120)]
+    rows += [(200 + i, " ".join(base[:60] + [f"y{i}", f"z{i}", f"v{i}"] + base[60:])) for i in range(9)]
+    rows += [(300 + i, " ".join(base[:30] + [f"q{k}" for k in range(9)] + base[39:] + [f"e{i}"] * (i % 2))) for i in range(2)]
+    monkeypatch.setattr(jaccard_join, "PART_BYTES", 4000)
+    copies, only_wanted = [], jaccard_join._find_links
+
+    def find_links(texts, placed, *a):
+        copies.extend(len(x["units"]) for x in placed.select("units").collect())
+        return only_wanted(texts, placed, *a)
+
+    monkeypatch.setattr(jaccard_join, "_find_links", find_links)
+    got = sorted((tuple(x) for x in jaccard_join.link_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute(rows, 3, 90)
+    assert max(copies) > 20 and sum(copies) < 8 * len(rows)
+
+
 def test_join_on_edges(edges, nothing):
     got = sorted((tuple(r) for r in jaccard_join.link_components(edges).collect()), key=str)
     by = {(d, n): c for d, n, c in got}

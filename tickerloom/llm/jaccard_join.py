@@ -16,6 +16,7 @@ text that all differ a little cost a search each and not a pair each.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 from functools import cache
 from itertools import groupby
 
@@ -33,9 +34,11 @@ from .texts import discard, few_collections, mix, pieces, release, shingle_set
 WORDS, PERCENT = 3, 90
 #: Sent buckets that two sets that link have in common at least.
 SHARED = 2
+#: Bytes of text whose buckets are made at once.
+SIGN_BYTES = 1 << 20
 #: Lists up to this length are merged; longer ones are probed where the count allows it.
 SHORT = 8
-#: Bytes of sets that one search holds; larger parts are searched block against block.
+#: Bytes of sets that one search holds; larger parts are searched in blocks.
 PART_BYTES = 16 << 20
 #: Most bits of the bitmap of ids (16 MB in each executor).
 MOST_BITS = 1 << 27
@@ -136,21 +139,25 @@ def bucket_signs(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
     return np.split(signs[sent], np.searchsorted(owner[of[sent]], np.arange(1, len(sets))))
 
 
-def set_signs(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(doc_id, k1, k2, signs): hash of each text's set and of its fullest buckets."""
-    schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("signs", pa.list_(pa.int64()))])
+def set_signs(texts: DataFrame, ids: DataFrame, words: int, percent: int) -> DataFrame:
+    """(rep, k1, k2, signs): hash of each text's set and of its fullest buckets.
+
+    Of the texts whose doc_id is in ``ids`` (rep), and a few others.
+    """
+    known, wanted = _id_filter(texts, ids)
+    schema = pa.schema([("rep", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("signs", pa.list_(pa.int64()))])
 
     def run(batches):
         few_collections()
-        for batch in batches:
-            for part in pieces(batch):
+        for batch in map(wanted, batches):
+            for part in pieces(batch, limit=SIGN_BYTES):
                 sets = [shingle_set(words_of(text), words) for text in part.column("text").to_pylist()]
                 keys = [set_key(s) for s in sets]
                 signs = [s.view(np.int64) for s in bucket_signs(sets, percent)]
                 columns = ([k for k, _ in keys], [k for _, k in keys], signs)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(schema)[1:], strict=True))], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, k1 long, k2 long, signs array<long>")
+    return known.mapInArrow(run, "rep long, k1 long, k2 long, signs array<long>")
 
 
 class Lists:
@@ -215,16 +222,19 @@ class Lists:
         return list(zip(found[kept].tolist(), total[kept].tolist(), strict=True))
 
 
-def search(sets: list[np.ndarray], sides: np.ndarray, percent: int, across: bool) -> list[tuple[int, int]]:
+def search(sets: list[np.ndarray], sides: np.ndarray, percent: int, across: bool, known: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that join the components of some sets (numbers into ``sets``).
 
-    ``across``: only pairs with one set of either side.
+    ``across``: only pairs with one set of either side, looked for from side 1.
+    ``known``: components found before; links inside them are not looked for.
     """
     lists = Lists(sets)
-    label = np.arange(lists.n)
-    members = {i: [i] for i in range(lists.n)}
+    label = np.arange(lists.n) if known is None else np.unique(known, return_inverse=True)[1]
+    members: dict[int, list[int]] = {}
+    for i, x in enumerate(label.tolist()):
+        members.setdefault(x, []).append(i)
     links = []
-    for query in range(lists.n):
+    for query in np.flatnonzero(sides).tolist() if across else range(lists.n):
         size = int(lists.sizes[query])
         wanted = label != label[query]
         wanted &= (100 * lists.sizes >= percent * size) & (100 * size >= percent * lists.sizes)
@@ -267,8 +277,13 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     release(docs.sparkSession)
     links = materialize(_search_parts(texts, parts, words, percent), "found-links", folder)
     release(docs.sparkSession)
+    found = connected_components(links)
+    rest = materialize(_rest(parts, found), "rest", folder)
+    if not rest.isEmpty():
+        found = connected_components(links.unionAll(materialize(_find_links(texts, rest, words, percent), "rest-links", folder)))
+        release(docs.sparkSession)
     # Links are between classes; a component of them is named by the smallest doc_id in it.
-    found = connected_components(links).withColumnRenamed("node", "cid")
+    found = found.withColumnRenamed("node", "cid")
     known = classes.select("cid", "k1", "k2", "rep").join(found, "cid", "left")
     known = known.withColumn("component", F.coalesce("component", "cid"))
     named = known.groupBy("component").agg(F.min("rep").alias("component_id"))
@@ -309,7 +324,7 @@ def _parts(texts: DataFrame, enough: DataFrame, words: int, percent: int) -> Dat
     Of a class's buckets that others have too, rarest first, those but the last
     ``SHARED - 1`` must hold one that a partner's also hold.
     """
-    signs = set_signs(_only_wanted(texts, enough.select("rep")), words, percent).withColumnRenamed("doc_id", "rep")
+    signs = set_signs(texts, enough.select("rep"), words, percent)
     own = signs.join(enough.select("rep", "k1", "k2", "cid"), ["k1", "k2", "rep"])
     each = own.select("cid", F.explode("signs").alias("h"))
     often = each.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low <> high")
@@ -322,9 +337,10 @@ def _parts(texts: DataFrame, enough: DataFrame, words: int, percent: int) -> Dat
     return parts.join(enough, "cid")
 
 
-def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose doc_id may be in ``ids``: all that are, and a few others.
+def _id_filter(texts: DataFrame, ids: DataFrame) -> tuple[DataFrame, Callable[[pa.RecordBatch], pa.RecordBatch]]:
+    """``texts`` with a slot of their doc_id, and a function that keeps the wanted rows of a batch.
 
+    Those are all whose doc_id is in ``ids``, and a few others.
     A bitmap of hashed ids, of at most ``MOST_BITS`` bits, spares most other texts a shuffle.
     With so many ids that it fills up it spares none, and nothing else changes.
     """
@@ -338,41 +354,88 @@ def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
     bitmap[filled.column("word").to_numpy()] = filled.column("bits").to_numpy()
     shared = texts.sparkSession.sparkContext.broadcast(bitmap)
 
-    def run(batches):
-        for batch in batches:
-            slots = batch.column("slot").to_numpy(zero_copy_only=False)
-            wanted = (shared.value[slots >> 6] >> (slots & 63)) & 1
-            yield batch.select(["doc_id", "text"]).filter(pa.array(wanted.astype(bool)))
+    def wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slots = batch.column("slot").to_numpy(zero_copy_only=False)
+        found = (shared.value[slots >> 6] >> (slots & 63)) & 1
+        return batch.select(["doc_id", "text"]).filter(pa.array(found.astype(bool)))
+
+    return texts.filter("doc_id IS NOT NULL").select("doc_id", "text", slot("doc_id").alias("slot")), wanted
+
+
+def _only_wanted(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose doc_id may be in ``ids``: all that are, and a few others."""
+    known, wanted = _id_filter(texts, ids)
+    return known.mapInArrow(lambda batches: map(wanted, batches), "doc_id long, text string")
+
 
-    known = texts.filter("doc_id IS NOT NULL").select("doc_id", "text", slot("doc_id").alias("slot"))
-    return known.mapInArrow(run, "doc_id long, text string")
+def _in_blocks(parts: DataFrame) -> DataFrame:
+    """``parts`` with the number of blocks of each part, and each class's own block."""
+    weight = parts.groupBy("part").agg(F.ceil(F.sum("n") * 8 / F.lit(float(PART_BYTES))).alias("blocks"))
+    return parts.join(weight, "part").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+
+
+def _unit(one: Column, two: Column, side: Column) -> Column:
+    return F.struct(one.cast("long").alias("one"), two.cast("long").alias("two"), side.cast("int").alias("side"))
+
+
+def _below(n: Column) -> Column:
+    return F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
 
 
 def _search_parts(texts: DataFrame, parts: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): links that join the components of all parts.
 
+    Each block of a large part is searched by itself and against the first block, so a class is
+    copied twice, and those of the first block once for each block; ``_rest`` has what is left.
+    """
+    own, zero, one = F.col("own"), F.lit(0), F.lit(1)
+    first = F.transform(_below(F.col("blocks")), lambda b: _unit(zero, b, b == 0))
+    units = F.when(own == 0, first).otherwise(F.array(_unit(own, own, one), _unit(zero, own, one)))
+    placed = _in_blocks(parts).withColumn("units", units).withColumn("known", F.col("cid"))
+    return _find_links(texts, placed, words, percent)
+
+
+def _rest(parts: DataFrame, found: DataFrame) -> DataFrame:
+    """(cid, rep, part, k1, k2, known, units) of the large parts that are not one component yet.
+
+    What is not in the largest component so far is searched against all blocks of its part.
+    """
+    known = found.select(F.col("node").alias("cid"), F.col("component").alias("known"))
+    large = _in_blocks(parts).filter("blocks > 1").join(known, "cid", "left").withColumn("known", F.coalesce("known", "cid"))
+    sizes = large.groupBy("part", "known").agg(F.sum("n").alias("size"))
+    main = sizes.groupBy("part").agg(F.max(F.struct("size", "known")).alias("main"), F.sum("size").alias("size"))
+    others = F.ceil((F.col("size") - F.col("main.size")) * 8 / F.lit(float(PART_BYTES)))
+    open_parts = large.join(main.select("part", F.col("main.known").alias("main"), others.alias("others")).filter("others > 0"), "part")
+    blocks = F.col("blocks")  # those of the others are numbered after them
+    as_member = F.transform(_below(F.col("others")), lambda c: _unit(F.col("own"), blocks + c, F.lit(0)))
+    as_other = F.transform(_below(blocks), lambda b: _unit(b, blocks + F.pmod(F.xxhash64("cid"), F.col("others")), F.lit(1)))
+    units = F.when(F.col("known") == F.col("main"), as_member).otherwise(F.concat(as_member, as_other))
+    return open_parts.select("cid", "rep", "part", "k1", "k2", "known", units.alias("units"))
+
+
+def _find_links(texts: DataFrame, placed: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links that join known components, from a search in each unit of ``placed``.
+
     Texts travel and not their sets, which are larger and do not compress.
     """
-    weight = parts.groupBy("part").agg(F.ceil(F.sum("n") * 8 / F.lit(float(PART_BYTES))).alias("blocks"))
-    placed = parts.join(weight, "part").withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")))
-    wanted = placed.select("cid", "rep", "part", "k1", "k2", "blocks", "own")
-    read = _only_wanted(texts, parts.select("rep")).join(wanted, F.col("doc_id") == F.col("rep")).drop("doc_id")
-    others = F.when(F.col("blocks") > 1, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("own"))
-    dealt = read.select("*", F.explode(others).alias("other"))
-    dealt = dealt.select("part", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "own", "cid", "k1", "k2", "text")
+    wanted = placed.select("cid", "rep", "part", "k1", "k2", "known", "units")
+    read = _only_wanted(texts, placed.select("rep")).join(wanted, F.col("doc_id") == F.col("rep")).drop("doc_id")
+    dealt = read.select("part", "cid", "k1", "k2", "known", "text", F.explode("units").alias("unit"))
+    dealt = dealt.select("part", "unit.one", "unit.two", "unit.side", "cid", "k1", "k2", "known", "text")
 
     def find(table: pa.Table) -> pa.Table:
         few_collections()
-        sets: dict[int, np.ndarray] = {}
-        sides: dict[int, int] = {}
-        columns = (table.column(c) for c in ("cid", "own", "k1", "k2", "text"))
-        for cid, own, k1, k2, text in zip(*columns, strict=True):
+        sets: dict[tuple[int, int], np.ndarray] = {}
+        known: dict[int, int] = {}
+        columns = (table.column(c) for c in ("cid", "side", "k1", "k2", "known", "text"))
+        for cid, side, k1, k2, component, text in zip(*columns, strict=True):
             s = shingle_set(words_of(text.as_py()), words)
             if set_key(s) == (k1.as_py(), k2.as_py()):  # another row may have the same doc_id
-                sets[cid.as_py()], sides[cid.as_py()] = s, own.as_py()
+                sets[cid.as_py(), side.as_py()], known[cid.as_py()] = s, component.as_py()
         across = table.column("one")[0].as_py() != table.column("two")[0].as_py()
         ids = sorted(sets)
-        links = search([sets[i] for i in ids], np.array([sides[i] for i in ids]), percent, across) if ids else []
-        return pa.table({"a": pa.array([ids[i] for i, _ in links], pa.int64()), "b": pa.array([ids[j] for _, j in links], pa.int64())})
+        components = np.array([known[i] for i, _ in ids], np.int64)
+        links = search([sets[i] for i in ids], np.array([side for _, side in ids]), percent, across, components) if ids else []
+        return pa.table({"a": pa.array([ids[i][0] for i, _ in links], pa.int64()), "b": pa.array([ids[j][0] for _, j in links], pa.int64())})
 
     return dealt.groupBy("part", "one", "two").applyInArrow(find, StructType.fromDDL("a long, b long"))
